@@ -4,11 +4,13 @@ A document's set of 5-word shingles becomes 2**7 registers; each stores the
 leading zeros of its bucket's least hash (6 bits) and the bits after them
 (10 bits).  Equal bands of four registers make candidates, a collision-corrected
 estimate of the Jaccard similarity drops hopeless ones, and the full shingle
-sets confirm the rest.
+sets confirm the rest.  Empty buckets borrow another bucket's register for the
+bands, or else the bands of short documents would be single shingles.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from dataclasses import dataclass
 
@@ -24,7 +26,12 @@ from lakework.llm.components import connected_components
 
 @dataclass(frozen=True)
 class HyperMinHash:
-    """Parameters.  With 32 bands of 4 a pair at similarity 0.75 is missed once in 200,000 times, at 0.8 once in 20 million."""
+    """Parameters.  With 32 bands of 4 a pair at similarity 0.75 is missed once in 200,000 times, at 0.8 once in 20 million.
+
+    Sets of up to ``small`` shingles also get prefix-filter keys, which miss nothing.
+    ``sketch_bits`` of 128 may differ between sets of at least ``sketch_from``
+    shingles: at similarity 0.75 some 16 do, with a standard deviation of 4.5.
+    """
 
     words: int = 5
     bucket_bits: int = 7
@@ -32,6 +39,10 @@ class HyperMinHash:
     rows_per_band: int = 4
     percent: int = 75
     sigmas: float = 5.0
+    small: int = 10
+    sketch_from: int = 200
+    sketch_bits: int = 40
+    block_bytes: int = 16_000_000
 
 
 _SHINGLE = 0xC2B2AE3D27D4EB4F
@@ -72,6 +83,25 @@ def registers(hashes: np.ndarray, p: HyperMinHash) -> np.ndarray:
     return out
 
 
+@functools.cache
+def _probes(buckets: int) -> np.ndarray:
+    """For each bucket the order in which it looks for a register to borrow."""
+    rng = np.random.Generator(np.random.PCG64(20250601))
+    return np.stack([np.concatenate([[i], rng.permutation(np.delete(np.arange(buckets), i))]) for i in range(buckets)])
+
+
+def densified(found: np.ndarray) -> np.ndarray:
+    """Registers in which each empty bucket has the value of the first used one in its own order."""
+    probes = _probes(len(found))
+    return found[probes[np.arange(len(found)), (found > 0)[probes].argmax(axis=1)]]
+
+
+def prefix_keys(hashes: np.ndarray, p: HyperMinHash) -> list[int]:
+    """The least hashes of a small set, so many that similar sets must share one of them."""
+    n = len(hashes)
+    return hashes[: n + (-n * p.percent // 100) + 1].view(np.int64).tolist() if n <= p.small else []
+
+
 def expected_collisions(n: np.ndarray, m: np.ndarray, p: HyperMinHash) -> np.ndarray:
     """Registers of sets of sizes ``n`` and ``m`` that agree by chance alone.
 
@@ -90,26 +120,39 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, p: Hype
     return np.clip((same - expected_collisions(n, m, p)) / used, 0, 1), np.sqrt(t * (1 - t) / used)
 
 
-FEATURES = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType())])
+FEATURES = T.StructType(
+    [T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType()), T.StructField("used", T.BinaryType())]
+    + [T.StructField("s0", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("small", T.ArrayType(T.LongType()))]
+)
 
 
 def features(text: str | None, p: HyperMinHash) -> dict:
+    """Set size, set digest, densified registers, which of them are the set's own, a 128-bit sketch, prefix keys."""
     hashes = shingle_hashes(text, p.words)
     if not len(hashes):
-        return {"n_shingles": 0, "digest": None, "registers": None}
-    return {"n_shingles": len(hashes), "digest": hashlib.md5(hashes.tobytes()).digest(), "registers": registers(hashes, p).tobytes()}
+        return {"n_shingles": 0}
+    found = registers(hashes, p)
+    dense = densified(found)
+    s0, s1 = np.packbits(dense & 1)[:16].view(">i8").tolist()
+    return {"n_shingles": len(hashes), "digest": hashlib.md5(hashes.tobytes()).digest(), "registers": dense.tobytes(), "used": np.packbits(found > 0).tobytes(), "s0": s0, "s1": s1, "small": prefix_keys(hashes, p)}
+
 
+def _promising(a: Column, used_a: Column, b: Column, used_b: Column, n: Column, m: Column, p: HyperMinHash) -> Column:
+    """Can the pair still reach the similarity, by the estimate from the sets' own registers?"""
 
-def _promising(a: Column, b: Column, n: Column, m: Column, p: HyperMinHash) -> Column:
     @F.arrow_udf(T.BooleanType())
-    def apply(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
-        rows = lambda x: np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(len(x), -1)
+    def apply(a: pa.Array, used_a: pa.Array, b: pa.Array, used_b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
         if not len(a):
             return pa.array([], pa.bool_())
-        value, sigma = estimate(rows(a), rows(b), n.to_numpy(zero_copy_only=False).astype(float), m.to_numpy(zero_copy_only=False).astype(float), p)
+
+        def rows(x: pa.Array, used: pa.Array) -> np.ndarray:
+            own = np.unpackbits(np.frombuffer(b"".join(used.to_pylist()), np.uint8)).reshape(len(x), -1)
+            return np.frombuffer(b"".join(x.to_pylist()), "<u2").reshape(len(x), -1) * own
+
+        value, sigma = estimate(rows(a, used_a), rows(b, used_b), n.to_numpy(zero_copy_only=False).astype(float), m.to_numpy(zero_copy_only=False).astype(float), p)
         return pa.array(value + p.sigmas * sigma >= p.percent / 100)
 
-    return apply(a, b, n, m)
+    return apply(a, used_a, b, used_b, n, m)
 
 
 def _common(a: Column, b: Column) -> Column:
@@ -131,20 +174,21 @@ class _Links:
     def __init__(self, docs: DataFrame, classes: DataFrame, p: HyperMinHash):
         self.docs, self.classes, self.p = docs, classes, p
 
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(w, s): the full sets of classes (w, doc), each computed from one of its documents."""
+        size = self.p.words
+        wanted = wanted.select("w", F.col("doc.id").alias("w_id"), F.col("doc.hash").alias("w_hash"))
+        texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("hash") == F.col("w_hash")))
+        sets = texts.select("w", arrow_column(lambda ts: [shingle_hashes(t, size).tobytes() for t in ts], T.BinaryType(), F.col("text")).alias("s"))
+        return staged(sets, "sets").dropDuplicates(["w"])  # repeated rows give equal sets
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        side = lambda k: self.classes.select(F.col("digest").alias(k), F.col("registers").alias(f"r_{k}"), F.col("n_shingles").alias(f"n_{k}"), F.col("doc").alias(f"doc_{k}"))
+        side = lambda k: self.classes.select(F.col("digest").alias(k), F.col("registers").alias(f"r_{k}"), F.col("used").alias(f"u_{k}"), F.col("n_shingles").alias(f"n_{k}"), F.col("doc").alias(f"doc_{k}"))
         p = self.p
         near = pairs.join(side("a"), "a").join(side("b"), "b")
-        # sets whose sizes alone rule out the similarity need no estimate
-        near = near.where((100 * F.least("n_a", "n_b") >= p.percent * F.greatest("n_a", "n_b")))
-        near = near.where(_promising(F.col("r_a"), F.col("r_b"), F.col("n_a"), F.col("n_b"), p))
+        near = near.where(_promising(F.col("r_a"), F.col("u_a"), F.col("r_b"), F.col("u_b"), F.col("n_a"), F.col("n_b"), p))
         near = staged(near.select("a", "b", "n_a", "n_b", "doc_a", "doc_b"), "candidates")
-        # the full sets of just those classes, each computed once from one of its documents
-        wanted = near.select(F.col("a").alias("w"), F.col("doc_a").alias("d")).union(near.select("b", "doc_b")).distinct().select("w", F.col("d.id").alias("w_id"), F.col("d.hash").alias("w_hash"))
-        size = self.p.words
-        texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("hash") == F.col("w_hash")))
-        sets = texts.select("w", arrow_column(lambda ts: [shingle_hashes(t, size).tobytes() for t in ts], T.BinaryType(), F.col("text")).alias("s"))
-        sets = staged(sets, "sets").dropDuplicates(["w"])  # repeated rows give equal sets
+        sets = self.sets(near.select(F.col("a").alias("w"), F.col("doc_a").alias("doc")).union(near.select("b", "doc_b")).distinct())
         full = near.select("a", "b", "n_a", "n_b").join(sets.select(F.col("w").alias("a"), F.col("s").alias("s_a")), "a").join(sets.select(F.col("w").alias("b"), F.col("s").alias("s_b")), "b")
         common = full.select("a", "b", "n_a", "n_b", _common(F.col("s_a"), F.col("s_b")).alias("i"))
         return staged(common.where(100 * F.col("i") >= p.percent * (F.col("n_a") + F.col("n_b") - F.col("i"))).select("a", "b"), "confirmed")
@@ -161,40 +205,98 @@ def near_duplicates(docs: DataFrame, params: HyperMinHash = HyperMinHash(), doc_
 
     Candidates come in two passes.  First each bucket's members against its least
     class: linear in the bucket's size, and enough for buckets that hold one group.
-    Then, only in buckets that still hold several components, members of different
-    components against each other; nothing is capped.
+    Then, only for buckets that still hold several components, members of different
+    components against each other, in blocks of bounded size; nothing is capped.
     """
     rows = _rows(docs, doc_id)
     one = staged(rows.select("id", "hash", arrow_column(lambda ts: [features(t, params) for t in ts], FEATURES, F.col("text")).alias("f")).select("id", "hash", "f.*"), "shingles")
     return _assigned(rows, one, params).select(F.col("id").alias(doc_id), "n_shingles", F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def _possible(n: Column, s0: Column, s1: Column, m: Column, t0: Column, t1: Column, p: HyperMinHash) -> Column:
+    """What set sizes and sketches allow; cheap enough to be a join's condition, so hopeless pairs are never made."""
+    differ = F.bit_count(s0.bitwiseXOR(t0)) + F.bit_count(s1.bitwiseXOR(t1))
+    return (100 * F.least(n, m) >= p.percent * F.greatest(n, m)) & ((F.least(n, m) < p.sketch_from) | (differ <= p.sketch_bits))
+
+
+PAIRS = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+
+
+def _cluster_links(rest: DataFrame, classes: DataFrame, links: _Links, p: HyperMinHash) -> DataFrame:
+    """Links between different components (``root``) of classes that met in open buckets (``first``).
+
+    Classes that meet directly or through others form a cluster.  A cluster's sets
+    are joined through an inverted index in one task if they fit, else in blocks:
+    each pair of blocks is a task, so no task grows with the cluster and no pairs
+    of classes are ever rows; only links that join components are.
+    """
+    clusters = connected_components(rest.select(F.col("first").alias("a"), F.col("digest").alias("b"))).select("node", F.col("root").alias("cluster"))
+    nodes = rest.select("digest", F.col("root").alias("component")).distinct().join(clusters, F.col("digest") == F.col("node")).select("digest", "component", "cluster")
+    nodes = staged(nodes, "clusters")
+    wanted = nodes.join(classes.select(F.col("digest").alias("w"), "doc"), F.col("digest") == F.col("w")).select("w", "doc")
+    sets = links.sets(wanted).join(nodes, F.col("w") == F.col("digest")).select("digest", "component", "cluster", "s")
+    sets = staged(sets, "cluster-sets")
+    sizes = sets.groupBy(F.col("cluster").alias("c")).agg(F.ceil(F.sum(F.length("s")) / p.block_bytes).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
+    placed = sets.join(sizes, F.col("cluster") == F.col("c")).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = placed.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "digest", "component", "s")
+    found = units.groupBy("cluster", "low", "high").applyInArrow(lambda t: _joined(t, p.percent), PAIRS)
+    return staged(found.distinct(), "cluster-links")
+
+
+def _joined(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one unit between different components, no more than join them."""
+    names, components = table.column("digest").to_pylist(), table.column("component").to_pylist()
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("s").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    everything = np.concatenate(sets)
+    order = np.argsort(everything)
+    everything, owner = everything[order], owner[order]
+    number = {c: i for i, c in enumerate(dict.fromkeys(components))}
+    group = np.array([number[c] for c in components])
+    largest = np.bincount(group).argmax()
+    out: list[tuple[bytes, bytes]] = []
+    # all pairs of different components have a member outside the largest one
+    for i in np.flatnonzero(group != largest):
+        low, high = np.searchsorted(everything, sets[i]), np.searchsorted(everything, sets[i], "right")
+        count = high - low
+        at = np.arange(count.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+        common = np.bincount(owner[at], minlength=len(sets))
+        for j in np.flatnonzero((100 * common >= percent * (sizes + sizes[i] - common)) & (group != group[i])):
+            if group[j] != group[i]:
+                out.append((min(names[i], names[j]), max(names[i], names[j])))
+                group[group == group[j]] = group[i]
+    return pa.table([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
 def _rows(docs: DataFrame, doc_id: str) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
 
 
 def _assigned(rows: DataFrame, one: DataFrame, p: HyperMinHash) -> DataFrame:
-    classes = one.where("digest is not null").groupBy("digest").agg(F.min(F.struct("id", "hash")).alias("doc"), F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+    classes = one.where("digest is not null").groupBy("digest").agg(F.min(F.struct("id", "hash")).alias("doc"), F.min("id").alias("least"), *(F.first(c).alias(c) for c in FEATURES.names if c != "digest"))
     classes = staged(classes, "classes")
     width, n_bands = 2 * p.rows_per_band, (1 << p.bucket_bits) // p.rows_per_band
-    key = lambda i: F.when(F.substring(F.col("registers"), F.lit(1) + i * width, F.lit(width)) != F.lit(bytes(width)), F.xxhash64(i, F.substring(F.col("registers"), F.lit(1) + i * width, F.lit(width))))
-    bands = classes.select("digest", F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), key), lambda x: x.isNotNull())).alias("key"))
-    buckets = bands.groupBy("key").agg(F.min("digest").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader")
+    band = lambda i: F.xxhash64(i, F.substring(F.col("registers"), F.lit(1) + i * width, F.lit(width)))
+    keys = F.concat(F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), band), F.col("small"))
+    size = ["n_shingles", "s0", "s1"]
+    bands = classes.select("digest", *size, F.explode(keys).alias("key"))
+    buckets = bands.groupBy("key").agg(F.min(F.struct("digest", *size)).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader")
     members = staged(bands.join(buckets, "key"), "buckets")
 
     links = _Links(rows, classes, p)
-    first = staged(members.where("digest <> leader").select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct(), "pairs")
+    led = members.where((F.col("digest") != F.col("leader.digest")) & _possible(*(F.col(c) for c in size), *(F.col(f"leader.{c}") for c in size), p))
+    first = staged(led.select(F.col("leader.digest").alias("a"), F.col("digest").alias("b")).distinct(), "pairs")
     confirmed = links.confirmed(first)
     roots = staged(connected_components(confirmed), "roots")
 
     placed = members.join(roots, F.col("digest") == F.col("node"), "left").select("key", "digest", F.coalesce("root", "digest").alias("root"))
-    open_buckets = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rest = staged(placed.join(open_buckets, "key"), "open-buckets")
-    x, y = rest.alias("x"), rest.alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.digest") < F.col("y.digest")) & (F.col("x.root") != F.col("y.root")))
-    cross = cross.select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = links.confirmed(cross)
+    state = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("digest").alias("first"), F.count(F.lit(1)).alias("n"))
+    open_buckets = state.where("low <> high and n > 2").select("key", "first")
+    rest = staged(placed.join(open_buckets, "key").select("digest", "root", "first").distinct(), "open-buckets")
+    more = _cluster_links(rest, classes, links, p)
     if not more.isEmpty():
         roots = staged(connected_components(confirmed.union(more)), "roots")
 
