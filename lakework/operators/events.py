@@ -166,7 +166,7 @@ def flatten_fields(fields: Mapping) -> dict[str, str | None]:
 def run_tally(recs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Records, successes, failures and the success rate."""
     ok = F.count_if(F.coalesce("success", F.lit(False)))
-    return recs.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), ok.alias("succeeded"), (F.count(F.lit(1)) - ok).alias("failed"), F.round(ok / F.count(F.lit(1)), 6).alias("success_rate"))
+    return recs.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), ok.alias("succeeded"), (F.count(F.lit(1)) - ok).alias("failed"), F.round(F.try_divide(ok, F.count(F.lit(1))), 6).alias("success_rate"))
 
 
 def run_statistics(recs: DataFrame) -> DataFrame:

@@ -344,18 +344,14 @@ def limit_after_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.notes_page(rows, "o_orderkey", limit=40).select("o_orderkey", "o_custkey")
 
 
-@_query("""SELECT doc_id, item_id FROM (SELECT doc_id, text, doc_id % (SELECT count(*) FROM benchmark) AS pick FROM documents) d JOIN (SELECT item_id, text AS q, row_number() OVER (ORDER BY item_id) - 1 AS i FROM benchmark) b ON b.i = d.pick
-           WHERE trim(q) <> '' AND contains(regexp_replace(lower(text), '\\s+', ' ', 'g'), trim(regexp_replace(lower(substr(q, 1, 12)), '\\s+', ' ', 'g')))""".replace("\\\\", "\\"))
+@_query("""SELECT doc_id, doc_id % 2 = 0 AS own FROM (SELECT doc_id, text, translate(substr(CASE WHEN doc_id % 2 = 0 THEN text ELSE reverse(text) END, 11, 30), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS q FROM documents WHERE lang = 'en')
+           WHERE trim(q, E' \\n\\t') <> '' AND contains(regexp_replace(lower(text), '\\s+', ' ', 'g'), trim(regexp_replace(lower(q), '\\s+', ' ', 'g')))""".replace("\\\\", "\\"))
 def quote_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Is a quote (the start of a benchmark item, one per document) in the text?"""
-    bench = _t(spark, sf_dir, "benchmark")
-    n = bench.count()
-    items = bench.select("item_id", F.col("text").alias("q")).orderBy("item_id")
-    from pyspark.sql import Window as W
-
-    items = items.withColumn("i", F.row_number().over(W.orderBy("item_id")) - 1)  # the quotes are a small fixed list
-    docs = _t(spark, sf_dir, "documents").withColumn("pick", F.col("doc_id") % n)
-    return docs.join(F.broadcast(items) if n <= 100_000 else items, F.col("i") == F.col("pick")).where(text.quote_found(F.col("text"), F.substring("q", 1, 12))).select("doc_id", "item_id")
+    """Passages in other letters and with other whitespace, of the text itself or of its reverse."""
+    docs = _t(spark, sf_dir, "documents").where("lang = 'en'").withColumn("own", F.col("doc_id") % 2 == 0)
+    quote = F.substring(F.when(F.col("own"), F.col("text")).otherwise(F.reverse("text")), 11, 30)
+    quote = F.regexp_replace(F.translate(quote, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), " ", "\n ")
+    return docs.where(text.quote_found(F.col("text"), quote)).select("doc_id", "own")
 
 
 @_query("SELECT k AS user_id, in_left, in_right FROM (SELECT user_id AS k, bool_or(event_type = 'click') AS in_left, bool_or(event_type = 'view') AS in_right FROM events GROUP BY user_id) WHERE in_left OR in_right")
