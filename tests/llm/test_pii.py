@@ -1,0 +1,121 @@
+import hashlib
+import random
+import re
+
+from lakework.llm import pii
+from tests.llm.conftest import as_rows, with_clashes
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def brute(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else True, "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(1)
+    for _ in range(6000):
+        text = "".join(rng.choice(("@", ".", "a", "B", "1", "25", "4", "-", " ", "+", "(", ")", "é", "٣", "\n", "%", "_", "4539578763621486", "10.0.0.1")) for _ in range(rng.randint(0, 25)))
+        assert pii.base_spans(text) == brute(text), repr(text)
+
+
+def test_long_runs_are_linear():
+    for text in ("1" * 200_000, "1." * 100_000, "a@" * 50_000, "+" * 100_000, "a" * 100_000 + "@", "1 " * 50_000):
+        pii.base_spans(text)
+
+
+def test_held_out_accuracy():
+    weights, rng = pii.trained(), random.Random(4321)
+    right = wrong = missed = 0
+    for _ in range(300):
+        text, gold = pii._example(rng)
+        got = set(pii.field_spans(text, weights, []))
+        right, wrong, missed = right + len(got & set(gold)), wrong + len(got - set(gold)), missed + len(set(gold) - got)
+    assert right / (right + wrong) > 0.97 and right / (right + missed) > 0.97
+
+
+def test_training_raises_the_likelihood_and_matches_a_numeric_gradient():
+    import math
+
+    def likelihood(s, gold, w):
+        arcs = pii._arcs(s, w)
+        n, alpha = len(s.tokens), [dict() for _ in range(len(s.tokens) + 1)]
+        alpha[0] = {"^": 0.0}
+        for i in range(n):
+            for end, label, score in arcs[i]:
+                for before, v in alpha[i].items():
+                    x = v + score + w.get((before, label), 0.0)
+                    alpha[end][label] = x if label not in alpha[end] else max(alpha[end][label], x) + math.log1p(math.exp(-abs(alpha[end][label] - x)))
+        z = pii._log_sum(list(alpha[n].values()))
+        at, before, total, spans = 0, "^", 0.0, {a: (k, b) for k, a, b in gold}
+        while at < n:
+            label, end = spans.get(at, ("O", at + 1))
+            total += next(x for e, k, x in arcs[at] if (e, k) == (end, label)) + w.get((before, label), 0.0)
+            at, before = end, label
+        return total - z
+
+    text = "call +49 555 1234 now 10"
+    s = pii.Sentence(text, pii.tokens_of(text))
+    first, last = {a: i for i, (a, _) in enumerate(s.tokens)}, {b: i + 1 for i, (_, b) in enumerate(s.tokens)}
+    gold, rng = [("phone", first[5], last[17])], random.Random(2)
+    weights = {k: rng.uniform(-1, 1) for k in pii._gradient(s, gold, {})}
+    gradient = pii._gradient(s, gold, weights)
+    for key in rng.sample(sorted(gradient), 25):
+        up, down = likelihood(s, gold, weights | {key: weights[key] + 1e-5}), likelihood(s, gold, weights | {key: weights[key] - 1e-5})
+        assert abs((up - down) / 2e-5 - gradient[key]) < 1e-5
+
+
+def test_decoding_is_the_best_segmentation():
+    import itertools
+
+    rng, text = random.Random(3), "a 12 b@c 3"
+    s = pii.Sentence(text, pii.tokens_of(text))
+    n = len(s.tokens)
+    for _ in range(20):
+        w = {(f, k): rng.uniform(-1, 1) for k in pii.KINDS for i in range(n) for _, fs in s.segments[i] for f in fs}
+        w |= {(f, "O"): rng.uniform(-1, 1) for fs in s.outside for f in fs} | {(a, b): rng.uniform(-1, 1) for a in ("^", *pii.LABELS) for b in pii.LABELS}
+        arcs = pii._arcs(s, w)
+
+        def best(at, before):
+            return max(((score + w.get((before, k), 0.0) + best(end, k)) for end, k, score in arcs[at]), default=0.0) if at < n else 0.0
+
+        got, at, before, total = {a: (k, b) for k, a, b in pii.decode(s, w)}, 0, "^", 0.0
+        while at < n:
+            k, end = got.get(at, ("O", at + 1))
+            total += next(x for e, kk, x in arcs[at] if (e, kk) == (end, k)) + w.get((before, k), 0.0)
+            at, before = end, k
+        assert abs(total - best(0, "^")) < 1e-9
+        assert itertools
+
+
+def test_documents(spark, docs):
+    texts = ["mail bob.1@example.com now", "+1 (269) 555-3296 4524132264652876 x", 'token = "0641917ea4e9feb9cda83477b57ac2654884f485"', "Version 2.0 of 2021", None, "", "ssn 123-45-6789."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {r.doc_id: r for r in pii.detect(df).collect()}
+    assert out[0].spans == "email:5:22" and out[0].n_email == 1
+    assert out[0].base_sha256 == hashlib.sha256(b"email:5:22").hexdigest()
+    assert out[1].spans == "card:18:34,phone:0:17" and out[1].n_card == out[1].n_phone == 0
+    assert out[2].spans == "secret:9:49" and out[6].spans == "national_id:4:15"
+    assert [out[i].spans for i in (3, 4, 5)] == ["", "", ""] and out[4].base_sha256 == hashlib.sha256(b"").hexdigest()
+    clean = [r.t for r in df.orderBy("doc_id").select(pii.redacted(df.text).alias("t")).collect()]
+    assert clean[0] == "mail [EMAIL] now" and clean[1] == "[PHONE] [CARD] x" and clean[4] is None and clean[5] == "" and clean[3] == texts[3]
+    for r in docs.collect():
+        got = pii.find_spans(r.text, pii.trained())
+        assert set(got[0]) <= set(got[1]) and got[0] == brute(r.text)
+
+
+def test_edges(docs):
+    assert pii.detect(docs.where("doc_id < 0")).count() == 0
+    assert as_rows(pii.detect(with_clashes(docs))) == as_rows(pii.detect(docs))
+    assert pii.detect(docs.union(docs)).count() == 2 * docs.count()
