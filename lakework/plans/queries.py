@@ -48,14 +48,14 @@ def collate_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
              SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
 def log_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F6."""
-    return versions.latest(_t(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "ts")
+    return versions.latest(_t(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts"), ["user_id", "event_type"], ["ts", "event_id"])
 
 
 @_query("""SELECT user_id, event_type, event_id FROM (
              SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS n FROM events) WHERE n = 1""")
 def log_last_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7."""
-    return versions.last_line(_t(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id")
+    return versions.last_line(_t(spark, sf_dir, "events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"], "event_id")
 
 
 @_query("""SELECT event_type, k, count(*) AS n, count(*) FILTER (WHERE k % 2 = 0) AS succeeded
