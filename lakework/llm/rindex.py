@@ -12,18 +12,31 @@ from __future__ import annotations
 
 import numpy as np
 
-from lakework.llm.common import prefix_hash, range_hash
+
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """Positions sorted by several columns of small integers, ties by position."""
+    n = len(keys[0])
+    bits, width = (max(n, 2) - 1).bit_length(), sum(max(int(k.max(initial=0)), 1).bit_length() for k in keys)
+    if bits + width > 64:
+        return np.lexsort(keys[::-1])
+    packed = np.zeros(n, np.uint64)  # one sort of plain numbers is several times faster than an indirect one
+    for k in keys:
+        packed = (packed << np.uint64(max(int(k.max(initial=0)), 1).bit_length())) | k.astype(np.uint64)
+    packed = np.sort((packed << np.uint64(bits)) | np.arange(n, dtype=np.uint64))
+    return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 class RunLengthIndex:
+    """The index of a list of strings without the bytes 255 (UTF-8 has none)."""
+
     def __init__(self, strings: list[bytes]):
         lengths = np.array([len(s) for s in strings], np.int64)
         self.data = b"\0".join(strings) + b"\0"
         n = len(self.data)
         self.starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         # bytes before the string's end, at each position; 0 at the ends themselves
-        self.left = np.repeat(self.starts + lengths, lengths + 1) - np.arange(n)
-        symbols = np.frombuffer(self.data, np.uint8).astype(np.uint16) + 1
+        self.left = (np.repeat(self.starts + lengths, lengths + 1) - np.arange(n)).astype(np.int32)
+        symbols = np.frombuffer(self.data, np.uint8) + np.uint8(1)
         symbols[self.left == 0] = 0
         order = self._suffix_array(symbols, int(lengths.max(initial=0)))
         before = symbols[order - 1]
@@ -36,47 +49,59 @@ class RunLengthIndex:
         # the samples: suffixes at the runs' ends, and the suffix next to each in the order
         head, tail = order[self.run_heads], order[self.run_tails]
         above, below = order[np.maximum(self.run_heads - 1, 0)], order[np.minimum(self.run_tails + 1, n - 1)]
-        prefix = prefix_hash(self.data)
-        self.head_samples = head, np.where(self.run_heads > 0, self._common(prefix, head, above), 0)
-        self.tail_samples = tail, np.where(self.run_tails < n - 1, self._common(prefix, tail, below), 0)
+        self.head_samples = head, np.where(self.run_heads > 0, self._common(head, above), 0)
+        self.tail_samples = tail, np.where(self.run_tails < n - 1, self._common(tail, below), 0)
+        del self._levels, self._first
 
     def _suffix_array(self, symbols: np.ndarray, longest: int) -> np.ndarray:
-        """Suffixes in order, by prefix doubling; each string ends in a symbol of its own, so ties go by position."""
+        """Suffixes in order, by prefix doubling; each string ends in a symbol of its own, so ties go by position.
+
+        A suffix's rank is the place where its group of equal prefixes starts; only
+        groups of several suffixes are sorted again.  The ranks of every length are
+        kept until the samples are taken.
+        """
         n = len(symbols)
-        padded = np.concatenate([symbols, np.zeros(8, np.uint16)])
+        padded = np.concatenate([symbols, np.zeros(8, np.uint8)])
         key = np.zeros(n, np.uint64)
-        for j in range(7):  # seven symbols of nine bits
-            key = (key << np.uint64(9)) | np.where(self.left > j, padded[j : j + n], 0).astype(np.uint64)
-        rank, count, h = *self._ranks(key), 7
-        while h < longest and count < n:
-            ahead = np.zeros(n, np.int64)
-            reach = np.flatnonzero(self.left > h)
-            ahead[reach] = rank[reach + h] + 1
-            rank, refined = self._ranks(rank * (n + 1) + ahead)
-            if refined == count:
-                break  # equal prefixes of this length are equal to their ends
-            count, h = refined, 2 * h
-        return np.argsort(rank, kind="stable")
-
-    @staticmethod
-    def _ranks(key: np.ndarray) -> tuple[np.ndarray, int]:
+        for j in range(8):
+            key = (key << np.uint64(8)) | np.where(self.left > j, padded[j : j + n], 0).astype(np.uint64)
+        self._first = key
         order = np.argsort(key)
         ordered = key[order]
-        dense = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]).astype(np.int64))
-        rank = np.empty(len(key), np.int64)
-        rank[order] = dense
-        return rank, int(dense[-1]) + 1
+        head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        rank = np.empty(n, np.int32)
+        rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+        open_ = order[~head | ~np.append(head[1:], True)].astype(np.int32)
+        self._levels, h = [(8, rank)], 8
+        while h < longest and len(open_):
+            ahead = np.where(self.left[open_] > h, rank[np.minimum(open_ + np.int32(h), n - 1)] + 1, 0)
+            own = rank[open_]
+            by = _order(own, ahead)
+            open_, own, ahead = open_[by], own[by], ahead[by]
+            group = np.concatenate([[True], own[1:] != own[:-1]])
+            head = group | np.concatenate([[True], ahead[1:] != ahead[:-1]])
+            if head.sum() == group.sum():
+                break  # equal prefixes of this length are equal to their ends
+            at = np.arange(len(open_))
+            rank = rank.copy()
+            rank[open_] = own + np.maximum.accumulate(np.where(head, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+            open_ = open_[~head | ~np.append(head[1:], True)]
+            h *= 2
+            self._levels.append((h, rank))
+        return _order(rank)
 
-    def _common(self, prefix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Lengths of the longest common prefixes of suffixes a and b, by binary search on hashes."""
-        low, high = np.zeros(len(a), np.int64), np.minimum(self.left[a], self.left[b])
-        while (open_ := low < high).any():
-            at = np.flatnonzero(open_)
-            mid = (low[at] + high[at] + 1) // 2
-            same = range_hash(prefix, a[at], a[at] + mid) == range_hash(prefix, b[at], b[at] + mid)
-            low[at] = np.where(same, mid, low[at])
-            high[at] = np.where(same, high[at], mid - 1)
-        return low
+    def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Lengths of the longest common prefixes of suffixes a and b, from the ranks of each length, longest first."""
+        # equal ranks of the longest length are equal to their ends
+        (_, last), *shorter = reversed(self._levels)
+        found = np.where(last[a] == last[b], self.left[a], 0)
+        for h, rank in shorter:
+            x, y = a + found, b + found
+            found += np.where(rank[x] == rank[y], np.minimum(h, self.left[x]), 0)
+        x = a + found
+        differ = self._first[x] ^ self._first[b + found]
+        same_bytes = sum((differ < np.uint64(1 << (64 - 8 * k))).astype(np.int8) for k in range(1, 8))
+        return found + np.where(differ > 0, same_bytes, np.minimum(8, self.left[x]))
 
     def matching_statistics(self) -> np.ndarray:
         """For each position the length of its longest match with any other position of the collection."""
