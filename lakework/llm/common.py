@@ -137,13 +137,10 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mixed((prefix[end] - prefix[start]) * powers(len(prefix))[1][start])
 
 
-def words_of(data: bytes) -> list[bytes]:
-    """The runs of bytes other than space and \\t to \\r (``bytes.split`` splits at just these)."""
-    return data.split()
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of ``words_of(data)``."""
+    """Starts and ends of the runs of bytes other than space and \\t to \\r."""
     a = np.frombuffer(data, np.uint8)
     inside = np.zeros(len(a) + 2, bool)
     inside[1:-1] = ~((a == 32) | ((a >= 9) & (a <= 13)))

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakework.llm.common import arrow_column, fresh, small_or_plain, staged, words_of
+from lakework.llm.common import arrow_column, fresh, mixed, powers, prefix_hash, small_or_plain, staged, word_bounds
 
 #: Frequent function words of English, German, French and Spanish; a parameter, not learnt.
 COMMON_WORDS = (
@@ -51,7 +52,7 @@ FEATURES = T.StructType(
     + [T.StructField("classes", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.LongType()))]
 )
 
-_SYMBOLS = b"[]#*$%&|<>"[2:]
+_SYMBOLS = b"#*$%&|<>"
 _CLASS_BYTES = {
     "lower": bytes(range(97, 123)),
     "upper": bytes(range(65, 91)),
@@ -71,13 +72,41 @@ def _byte_classes() -> list[int]:
     return table
 
 
-def text_features(text: str | None, common: dict[bytes, int]) -> dict:
-    """The counts of one whole text.  Null counts as empty."""
-    import numpy as np
+def _word_hashes(data: bytes) -> np.ndarray:
+    start, end = word_bounds(data)
+    prefix = prefix_hash(data)
+    return mixed((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(np.uint64))
 
+
+def common_hashes(words: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the common words, and each one's place in the histogram."""
+    hashes = np.array([_word_hashes(w.encode())[0] for w in words], np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], order
+
+
+def _repeated_words(word: np.ndarray, size: int = 5) -> int:
+    """Words in windows of ``size`` that occur twice or more, by 64-bit hashes of the windows."""
+    if len(word) <= size:
+        return 0
+    window = np.zeros(len(word) - size + 1, np.uint64)
+    for i in range(size):
+        window = window * np.uint64(0xC2B2AE3D27D4EB4F) + word[i : len(word) - size + 1 + i]
+    ordered = np.sort(window)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    at = np.flatnonzero(np.isin(window, twice))
+    steps = np.zeros(len(word) + 1, np.int64)
+    steps[at] += 1
+    steps[at + size] -= 1
+    return int((np.cumsum(steps) > 0).sum())
+
+
+def text_features(text: str | None, common: tuple[np.ndarray, np.ndarray]) -> dict:
+    """The counts of one whole text; ``common`` is ``common_hashes``.  Null counts as empty."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    words = words_of(data)
-    n = len(words)
+    word = _word_hashes(data)
     per_byte = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     continuation = int(per_byte[128:192].sum())
     blanks = int(per_byte[[32, 9, 10, 11, 12, 13]].sum())
@@ -89,48 +118,40 @@ def text_features(text: str | None, common: dict[bytes, int]) -> dict:
             duplicates += 1
         elif line.strip():
             seen.add(line)
-    repeated = 0
-    if n > 5:
-        grams = list(zip(words, words[1:], words[2:], words[3:], words[4:], strict=False))
-        if len(set(grams)) < len(grams):
-            first, hit = {}, bytearray(n)
-            for i, g in enumerate(grams):
-                j = first.setdefault(g, i)
-                if j != i:
-                    hit[i : i + 5] = hit[j : j + 5] = b"\1\1\1\1\1"
-            repeated = hit.count(1)
-    counts = [0] * (len(common) + 1)
-    get, rest = common.get, len(common)
-    for w in words:
-        counts[get(w, rest)] += 1
+    hashes, places = common
+    counts = np.zeros(len(hashes) + 1, np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, word), len(hashes) - 1)
+        np.add.at(counts, places[at[hashes[at] == word]], 1)
+    counts[-1] = len(word) - counts.sum()
     return {
-        "n_words": n,
+        "n_words": len(word),
         "word_chars": len(data) - continuation - blanks,
         "n_symbols": int(per_byte[list(_SYMBOLS)].sum()),
         "n_dup_lines": duplicates,
-        "n_repeat_words": repeated,
+        "n_repeat_words": _repeated_words(word),
         "classes": classes.tolist(),
-        "words": counts,
+        "words": counts.tolist(),
     }
 
 
 _BYTE_CLASSES = _byte_classes()
 
 
-def _distance(counts, reference):
-    """Jensen-Shannon distance (base 2) of two count arrays; null if one of them is empty."""
-    add = lambda s, x: s + x
-    total = lambda a: F.aggregate(a.cast("array<double>"), F.lit(0.0), add)
-    p_all, q_all = total(counts), total(reference)
+def _distances(counts: list[list[int]], references: list[list[int] | None]) -> list[float | None]:
+    """Jensen-Shannon distances (base 2) of count arrays; null if one of the two is empty."""
+    p, q = np.array(counts, float), np.array([r or [0] * len(counts[0]) for r in references], float)
+    p_all, q_all = p.sum(axis=1, keepdims=True), q.sum(axis=1, keepdims=True)
+    known = ((p_all > 0) & (q_all > 0))[:, 0]
+    p, q = p / np.maximum(p_all, 1), q / np.maximum(q_all, 1)
+    m = np.maximum((p + q) / 2, 1e-300)
+    part = lambda x: np.where(x > 0, x * np.log2(np.maximum(x, 1e-300) / m), 0).sum(axis=1)
+    out = np.sqrt(np.maximum((part(p) + part(q)) / 2, 0))
+    return [d if k else None for d, k in zip(out.tolist(), known.tolist(), strict=True)]
 
-    def term(p, q):
-        p, q = p / p_all, q / q_all
-        m = (p + q) / 2
-        part = lambda x: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-        return (part(p) + part(q)) / 2
 
-    divergence = F.aggregate(F.zip_with(counts, reference, term), F.lit(0.0), add)
-    return F.when((p_all > 0) & (q_all > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
+def _distance(counts: Column, reference: Column) -> Column:
+    return arrow_column(lambda a, b: _distances(a, b) if a else [], T.DoubleType(), counts, reference)
 
 
 def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -143,8 +164,8 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     Texts are read once: counts are staged as narrow rows, the references are
     sums of them per language, and at most one row per language is joined back.
     """
-    common = {w.encode(): i for i, w in enumerate(rules.common_words)}
-    n_words, n_classes = len(common) + 1, len(CLASSES)
+    common = common_hashes(rules.common_words)
+    n_words, n_classes = len(rules.common_words) + 1, len(CLASSES)
     lang = F.col(language).cast("string") if language in docs.columns else F.lit(None).cast("string")
     narrow = docs.select(F.struct(*(F.col(c) for c in keep)).alias("id"), lang.alias("lang"), F.col("text").cast("string").alias("text"))
     counted = narrow.select("id", "lang", arrow_column(lambda texts: [text_features(t, common) for t in texts], FEATURES, F.col("text")).alias("f"))
@@ -160,13 +181,18 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     references = per_lang.join(F.broadcast(pooled), F.lit(True)).select(F.col("lang").alias("ref_lang"), pick("c", n_classes).alias("ref_classes"), pick("w", n_words).alias("ref_words"))
     references = small_or_plain(references, rules.max_broadcast_languages)
 
-    judged = (
-        counted.join(references, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
-        .withColumn("class_distance", F.when(F.aggregate("classes", F.lit(0).cast("long"), lambda s, x: s + x) >= rules.min_chars, _distance(F.col("classes"), F.col("ref_classes"))))
-        .withColumn("word_distance", F.when(F.col("n_words") >= rules.min_words, _distance(F.col("words"), F.col("ref_words"))))
-        .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
-        .withColumn("diverges", F.coalesce(F.col("class_distance") > rules.max_class_distance, F.lit(False)) | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))
+    judged = counted.join(references, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    judged = judged.withColumns({"class_all": _distance(F.col("classes"), F.col("ref_classes")), "word_all": _distance(F.col("words"), F.col("ref_words"))})
+    chars = F.aggregate("classes", F.lit(0).cast("long"), lambda s, x: s + x)
+    judged = judged.withColumns(
+        {
+            "class_distance": F.when(chars >= rules.min_chars, F.col("class_all")),
+            "word_distance": F.when(F.col("n_words") >= rules.min_words, F.col("word_all")),
+            "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
+        }
     )
+    far = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
+    judged = judged.withColumn("diverges", far("class_distance", rules.max_class_distance) | far("word_distance", rules.max_word_distance))
     ids = [F.col("id")[c].alias(c) for c in keep]
     return judged.select(*ids, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.col("diverges")).alias("kept"), "class_distance", "word_distance")
 
