@@ -34,7 +34,7 @@ def test_base_counts_equal_brute_force(docs, texts):
 
 
 def test_whitespace_is_ascii_only():
-    f = quality.text_features("a\x85b c\x1cd\x0be　f", {})
+    f = quality.text_features("a\x85b c\x1cd\x0be　f", quality.common_hashes(()))
     assert (f["n_words"], f["word_chars"]) == (3, 9)
 
 
