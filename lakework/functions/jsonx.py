@@ -59,6 +59,15 @@ def _mapped(fn, kind: T.DataType = T.StringType()):
     return apply
 
 
+def strict_json(text: Column) -> Column:
+    """The one JSON value that a text holds, as a variant; null if it holds none, several, or anything after it.
+
+    Spark's parser stops at the first value's end; inside an array it must go on to the text's.
+    """
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(items) == 1, F.try_element_at(items, F.lit(1)))
+
+
 def stable_json(text: Column, compact: bool = True) -> Column:
     """The JSON in ``text`` in stable bytes; null for null or malformed text."""
     return _mapped(lambda t: None if (v := _parse(t)) is None and (t or "").strip() != "null" else stable(v, compact))(text)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakework.functions.jsonx import strict_json
+
 BUCKETS = ("new", "skipped", "changed", "definition_changed", "forced")
 
 
@@ -64,6 +66,5 @@ def resume(notes: DataFrame, done: DataFrame, id_column: str = "id", hash_column
 
 def prune_failed(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines without those of failed records; malformed lines stay as they are."""
-    success = F.try_variant_get(F.try_parse_json(F.col(value)), "$.success", "boolean")
-    parsed = F.try_parse_json(F.col(value)).isNotNull()
-    return lines.where(~parsed | F.coalesce(success, F.lit(False)))
+    found = strict_json(F.col(value))
+    return lines.where(found.isNull() | F.coalesce(F.try_variant_get(found, "$.success", "boolean"), F.lit(False)))

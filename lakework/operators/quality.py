@@ -9,6 +9,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakework.functions.jsonx import strict_json
+
 LAYOUT = "check string, severity string, dataset string, detail string, n bigint"
 
 
@@ -65,7 +67,7 @@ def duplicate_keys(df: DataFrame, dataset: str, key: str = "key_hash") -> DataFr
 
 def unparseable_lines(lines: DataFrame, dataset: str, value: str = "value") -> DataFrame:
     """Lines that aren't JSON; blank ones don't count."""
-    bad = F.count_if((F.trim(F.col(value)) != "") & F.try_parse_json(F.col(value)).isNull())
+    bad = F.count_if((F.trim(F.col(value)) != "") & strict_json(F.col(value)).isNull())
     return lines.agg(bad.alias("n")).where("n > 0").select(*_finding("jsonl_parseable", "error", dataset, "malformed lines", F.col("n")))
 
 

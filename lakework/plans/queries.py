@@ -401,3 +401,195 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("customer", "nation", "region"):
         _t(spark, sf_dir, name).createOrReplaceTempView(f"lw_{name}")
     return catalog.sql(spark, "SELECT n_name, r_name, count(*) AS n_customers, round(sum(c_acctbal), 2) AS balance FROM lw_customer JOIN lw_nation ON c_nationkey = n_nationkey JOIN lw_region ON n_regionkey = r_regionkey GROUP BY n_name, r_name")
+
+
+# --- records, files and the rest of the inventory ------------------------------------------
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction records made from events: a note per user, segments of its events, some failed."""
+    e = _t(spark, sf_dir, "events")
+    body = F.concat(
+        F.lit('{"note_id":"'), F.col("user_id").cast("string"), F.lit('","mrn":'), F.when(F.col("user_id") % 4 == 0, '" "').otherwise(F.concat(F.lit('"m'), (F.col("user_id") % 20).cast("string"), F.lit('"'))),
+        F.lit(',"success":'), F.when(F.col("event_id") % 5 == 0, "false").otherwise("true"), F.lit(',"rounds":2,"input_tokens":'), F.col("event_id").cast("string"),
+        F.lit(',"events":{"'), "event_type", F.lit('":[{"n":'), F.col("event_id").cast("string"), F.lit(',"at":"'), F.date_format("ts", "yyyy-MM"), F.lit('","deep":{"k":"v","l":["a","b"]}}],"flag_report_for_review":'),
+        F.when(F.col("event_id") % 7 == 0, '[{"reason":"r"}]').otherwise("[]"), F.lit("}}"),
+    )
+    lines = e.select(F.col("event_id").alias("line_no"), F.when(F.col("event_id") % 50 == 3, F.concat(body, F.lit("}"))).otherwise(body).alias("value"))
+    return events.records(lines)
+
+
+_RECORDS = "(SELECT *, user_id::VARCHAR AS note_id, CASE WHEN user_id % 4 = 0 THEN ' ' ELSE 'm' || (user_id % 20) END AS mrn, event_id % 5 <> 0 AS success FROM events WHERE event_id % 50 <> 3)"
+
+
+@_query(f"""SELECT event_id AS line_no, note_id AS record_id, mrn, success, 2 AS rounds, event_id AS input_tokens, 0::BIGINT AS output_tokens, 3::BIGINT AS segment,
+            md5('{{"' || least(event_type, 'flag_report_for_review') || '": ' || CASE WHEN event_type < 'flag_report_for_review' THEN body ELSE flag END || ', "' || greatest(event_type, 'flag_report_for_review') || '": ' || CASE WHEN event_type < 'flag_report_for_review' THEN flag ELSE body END || '}}') AS events_md5
+            FROM (SELECT *, '[{{"at": "' || strftime(ts, '%Y-%m') || '", "deep": {{"k": "v", "l": ["a", "b"]}}, "n": ' || event_id || '}}]' AS body, CASE WHEN event_id % 7 = 0 THEN '[{{"reason": "r"}}]' ELSE '[]' END AS flag FROM {_RECORDS}) WHERE success""")
+def wide_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Successful records as wide rows; malformed lines vanish."""
+    rows = events.wide(_records(spark, sf_dir), "b", 3).withColumnRenamed("input_tokens", "line_no")
+    return rows.select("line_no", "record_id", "mrn", "success", "rounds", F.col("line_no").alias("input_tokens"), "output_tokens", "segment", F.md5("events_json").alias("events_md5"))
+
+
+@_query(f"""SELECT note_id, event_type AS tool_name, mrn, NULL AS reason, strftime(ts, '%Y-%m') || '-15' AS at, 'month' AS at_precision, 'v' AS deep_k, 'a;b' AS deep_l, event_id::VARCHAR AS n FROM {_RECORDS}
+            UNION ALL SELECT note_id, 'flag_report_for_review', mrn, 'r', NULL, NULL, NULL, NULL, NULL FROM {_RECORDS} WHERE event_id % 7 = 0""")
+def event_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat row per event, every leaf a column."""
+    return events.event_table(_records(spark, sf_dir)).drop("gate_result")
+
+
+@_query(f"SELECT DISTINCT note_id FROM {_RECORDS} WHERE success AND event_id % 7 = 0")
+def flagged_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1."""
+    return review.flagged_notes(_records(spark, sf_dir))
+
+
+@_query(f"""SELECT coalesce(nullif(trim(mrn), ''), note_id) AS patient, count(DISTINCT note_id) AS n_notes, count(*) + count(*) FILTER (WHERE event_id % 7 = 0) AS n_events FROM {_RECORDS} WHERE success GROUP BY 1""")
+def worklist_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review package's patients."""
+    return review.worklist(_records(spark, sf_dir)).select("patient", F.size("notes").cast("bigint").alias("n_notes"), F.size("events").cast("bigint").alias("n_events"))
+
+
+@_query(f"SELECT user_id % 3 AS part, count(*) AS total, count(*) FILTER (WHERE success) AS succeeded, count(*) FILTER (WHERE NOT success) AS failed, round(count(*) FILTER (WHERE success) / count(*), 6) AS success_rate FROM {_RECORDS} GROUP BY 1")
+def run_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E7."""
+    return events.run_tally(_records(spark, sf_dir).withColumn("part", F.col("note_id").cast("bigint") % 3), ["part"])
+
+
+@_query("""WITH l AS (SELECT event_id, event_id % 5 <> 0 AS ok, event_id % 50 = 3 AS bad FROM events) SELECT event_id FROM l WHERE ok OR bad""")
+def prune_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed records go, malformed lines stay."""
+    e = _t(spark, sf_dir, "events")
+    body = F.concat(F.lit('{"success":'), F.when(F.col("event_id") % 5 == 0, "false").otherwise("true"), F.when(F.col("event_id") % 50 == 3, "").otherwise("}"))
+    return delta.prune_failed(e.select("event_id", body.alias("value"))).select("event_id")
+
+
+@_query("""SELECT 'jsonl_parseable' AS "check", 'error' AS severity, 'log' AS dataset, 'malformed lines' AS detail, count(*) AS n FROM events WHERE event_id % 9 = 0 HAVING count(*) > 0""")
+def unparseable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N5."""
+    e = _t(spark, sf_dir, "events")
+    return quality.unparseable_lines(e.select(F.when(F.col("event_id") % 9 == 0, "{bad").when(F.col("event_id") % 9 == 1, " ").otherwise(F.col("props")).alias("value")), "log")
+
+
+@_query("""SELECT 'required_columns' AS "check", 'error' AS severity, 'documents' AS dataset, 'key_hash, content_hash' AS detail, 2::BIGINT AS n""")
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N2, from the schema alone."""
+    tables = {n: _t(spark, sf_dir, n) for n in ("documents", "labels")}
+    return quality.required_columns(spark, tables, {"documents": ["doc_id", "key_hash", "content_hash"], "labels": ["doc_id"]})
+
+
+@_query("""WITH l AS (SELECT lpad(event_id::VARCHAR, 16, '0') AS event_id, user_id::VARCHAR AS target, CASE WHEN event_type < 'd' THEN 'forget' ELSE 'revive' END AS action, ts, event_id AS e FROM events)
+           SELECT event_id, target, action, action = 'forget' AND row_number() OVER (PARTITION BY target ORDER BY ts DESC, event_id DESC) = 1 AS active FROM l""")
+def tombstone_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2, J4."""
+    e = _t(spark, sf_dir, "events")
+    log = e.select(F.lpad(F.col("event_id").cast("string"), 16, "0").alias("event_id"), F.lit("batch").alias("kind"), F.col("user_id").cast("string").alias("target"), F.when(F.col("event_type") < "d", "forget").otherwise("revive").alias("action"), F.col("ts").cast("string").alias("at"))
+    return tombstones.audit(log).select("event_id", "target", "action", "active")
+
+
+@_query("""WITH a AS (SELECT user_id::VARCHAR AS k, max(event_id) AS l FROM events WHERE event_id % 3 <> 0 GROUP BY user_id), b AS (SELECT user_id::VARCHAR AS k, max(event_id) AS r FROM events WHERE event_id % 3 <> 1 GROUP BY user_id)
+           SELECT k AS adjudication_key, CASE WHEN l IS NULL THEN 'missing_left' WHEN r IS NULL THEN 'missing_right' ELSE 'different' END AS adjudication_status, CASE k::BIGINT % 3 WHEN 0 THEN 'left' WHEN 1 THEN 'right' ELSE 'custom' END AS adjudication_decision,
+                  CASE k::BIGINT % 3 WHEN 0 THEN l::VARCHAR WHEN 1 THEN r::VARCHAR ELSE 'own' END AS v
+           FROM a FULL JOIN b USING (k) WHERE l IS DISTINCT FROM r AND l IS NOT NULL AND r IS NOT NULL AND k::BIGINT % 5 <> 4""")
+def adjudicated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions applied to the disagreements of two batches; excluded items vanish."""
+    from lakework.operators import adjudicate
+
+    e = _t(spark, sf_dir, "events")
+
+    def side(rest: int) -> DataFrame:
+        last = e.where(F.col("event_id") % 3 != rest).groupBy(F.col("user_id").cast("string").alias("event_key")).agg(F.max("event_id").alias("v"))
+        return last.select("event_key", F.lit("e").alias("event_type"), F.col("event_key").alias("note_id"), F.lit("m").alias("mrn"), F.concat(F.lit('{"v":'), F.col("v").cast("string"), F.lit("}")).alias("fields_json"))
+
+    items = adjudicate.disagreements(adjudicate.align(side(0), side(1), {"e": ["v"]})).where("status = 'different'")
+    k = F.col("adjudication_key").cast("bigint")
+    decision = F.when(k % 5 == 4, "exclude").when(k % 3 == 0, "left").when(k % 3 == 1, "right").otherwise("custom")
+    log = items.select("adjudication_key", decision.alias("decision"), F.lit('{"v":"own"}').alias("adjudicated_fields_json"))
+    return adjudicate.adjudicated(items, log).select("adjudication_key", "adjudication_status", "adjudication_decision", "v")
+
+
+@_query("""WITH a AS (SELECT c_custkey AS id, c_name, c_acctbal FROM customer WHERE c_custkey % 4 <> 0), b AS (SELECT c_custkey AS id, c_name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal FROM customer)
+           SELECT count(*) FILTER (WHERE a.id IS NULL) AS "new", count(*) FILTER (WHERE a.id IS NOT NULL AND a.c_acctbal IS DISTINCT FROM b.c_acctbal) AS updated, count(*) FILTER (WHERE a.id IS NOT NULL AND a.c_acctbal IS NOT DISTINCT FROM b.c_acctbal) AS unchanged FROM b LEFT JOIN a USING (id)""")
+def runs_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By id, whole rows compared null-safely."""
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id"), "c_name", "c_acctbal")
+    return diff.identity_delta(c.where("run_id % 4 <> 0"), c.withColumn("c_acctbal", F.when(F.col("run_id") % 5 != 0, F.col("c_acctbal"))))
+
+
+@_query("SELECT o_orderkey, o_orderstatus FROM orders WHERE starts_with(o_orderkey::VARCHAR, '12') ORDER BY o_orderkey::VARCHAR LIMIT 1")
+def run_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4."""
+    orders = _t(spark, sf_dir, "orders").withColumn("id", F.col("o_orderkey").cast("string"))
+    return reshape.by_prefix(orders, "12", "id").select("o_orderkey", "o_orderstatus")
+
+
+@_query("""SELECT p_partkey, regexp_replace(p_type, '[^A-Za-z0-9._-]', '_', 'g') AS file_name, list_aggregate(list_transform(string_split(replace(lower(p_name), '_', ' '), ' '), lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ') AS label FROM part""")
+def labels_and_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D16, D17."""
+    return _t(spark, sf_dir, "part").select("p_partkey", text.safe_file_name(F.col("p_type")).alias("file_name"), text.humanise(F.lower(F.regexp_replace("p_name", " ", "_"))).alias("label"))
+
+
+@_query("""SELECT o_orderkey, (o_orderkey % 3 <> 0) AND (o_orderkey % 5 <> 4) AS valid FROM orders""")
+def approx_date_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edits with impossible dates or unknown precisions are refused."""
+    k = F.col("o_orderkey")
+    date = F.when(k % 3 == 0, F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-02-30"))).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", dates.valid_approx_edit(date, (k % 5).cast("int"), F.when(k % 2 == 0, "MID")).alias("valid"))
+
+
+@_query("SELECT o_orderkey, o_orderdate::DATE AS d FROM orders WHERE o_orderkey % 4 <> 3 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 4 = 3")
+def dates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates in several forms, one of them no date."""
+    k = F.col("o_orderkey") % 4
+    form = F.when(k == 0, F.date_format("o_orderdate", "MM/dd/yyyy")).when(k == 1, F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00"))).when(k == 2, F.date_format("o_orderdate", "d MMMM yyyy")).otherwise("no date")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", dates.normalise_date(form).alias("d"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder for files that a query writes to read them: shared on a cluster, temporary in tests."""
+    import atexit
+    import tempfile
+    import uuid
+
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        holder = tempfile.TemporaryDirectory(prefix="lakework-")
+        atexit.register(holder.cleanup)
+        found = f"file://{holder.name}"
+    return f"{found}/lakework-{name}-{uuid.uuid4().hex}"
+
+
+@_query("SELECT conv_id::VARCHAR AS conv_id, '0' || turn AS turn, md5(text || chr(10) || '\"q\", x') AS text_md5 FROM conversations")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: ids keep leading zeros, quotes and line breaks stay inside fields."""
+    from lakework.sources import readers
+
+    path = _scratch(spark, "csv")
+    rows = _t(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("conv_id"), F.concat(F.lit("0"), F.col("turn").cast("string")).alias("turn"), F.concat("text", F.lit('\n"q", x')).alias("text"))
+    rows.write.option("header", True).option("quote", '"').option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_csv(spark, path).select("conv_id", "turn", F.md5("text").alias("text_md5"))
+
+
+@_query("SELECT event_id, event_type FROM events WHERE event_id % 10 <> 0")
+def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines written and read; blank and malformed lines vanish."""
+    from lakework.sources import lake, readers
+
+    path = _scratch(spark, "jsonl")
+    body = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"event_type":"'), "event_type", F.lit('"}'))
+    lines = _t(spark, sf_dir, "events").select(F.when(F.col("event_id") % 20 == 0, " ").when(F.col("event_id") % 20 == 10, F.concat(body, F.lit("x"))).otherwise(body).alias("line"))
+    lake.write_jsonl(lines, path, "line")
+    found = F.try_parse_json("value")
+    return readers.json_lines(spark, path).select(F.try_variant_get(found, "$.event_id", "bigint").alias("event_id"), F.try_variant_get(found, "$.event_type", "string").alias("event_type"))
+
+
+@_query("SELECT n_nationkey AS key_hash, CASE WHEN n_nationkey < 5 THEN 'b' ELSE 'a' END AS content_hash FROM nation")
+def upsert_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two upserts into a Parquet table that is read while it is replaced."""
+    from lakework.sources import lake
+
+    path = _scratch(spark, "upsert")
+    rows = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("key_hash"))
+    lake.upsert_table(rows.where("key_hash < 20").withColumn("content_hash", F.lit("a")), path)
+    lake.upsert_table(rows.withColumn("content_hash", F.when(F.col("key_hash") < 5, "b").otherwise("a")), path)
+    return spark.read.parquet(path)
