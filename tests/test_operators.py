@@ -193,6 +193,23 @@ def test_silver(spark):
     assert review.silver(placed).columns[: len(SILVER)] == SILVER.names
 
 
+def test_review_state(spark, tmp_path):
+    from lakework.extract.registry import DEMO, field_schema
+    from lakework.sources import readers, review_log
+
+    path, schema = tmp_path / "b.001.review_log.jsonl", field_schema(DEMO)
+    review_log.append_verdict(path, {"event_key": "n::a::1", "verdict": " Rejected "})
+    review_log.append_verdict(path, {"event_key": "n::a::1", "verdict": "approved", "reviewed_at": "9999"})
+    review_log.append_verdict(path, {"event_key": "new", "verdict": "approved", "is_new_event": True, "event_type": "a", "note_id": "n", "edits": {"x": 1}})
+    for bad in ({"verdict": "approved"}, {"event_key": "k", "verdict": "maybe"}, {"event_key": "k", "verdict": "approved", "edits": []}, {"event_key": "k", "verdict": "approved", "event_type": "record_measurement", "edits": {"on": {"date": "2021-02-30"}}}):
+        with pytest.raises(ValueError):
+            review_log.append_verdict(path, bad, schema)
+    assert review_log.date_problem({"date": "2021-02-28", "precision": 3, "anchor": "MID"}) is None
+    work = review.package_events(spark.createDataFrame([(json.dumps(package([{"event_key": f"n::a::{i}", "event_type": "a", "note_id": "n"} for i in (1, 2)])),)], "json string"))
+    log = review.review_log(readers.numbered_lines(spark, str(path)))
+    assert {(r.event_key, r.verdict, r.added) for r in review.review_state(work, log).collect()} == {("n::a::1", "approved", False), ("n::a::2", None, False), ("new", "approved", True)}
+
+
 def test_review_faults(spark):
     raw, work, log = review_inputs(spark)
     missing = review.placed(raw.where("event_key <> 'n::a::1'"), work, log)
