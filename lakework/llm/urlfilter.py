@@ -51,7 +51,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     rules' lengths, host suffixes of the rules' numbers of labels.  So a URL of a
     thousand dots costs no more than another, and prefixes match exactly as strings.
     """
-    names = {n: fresh(pages, n) for n in ("host", "path", "rule", "verdict")}
+    names = {n: fresh(pages, n) for n in ("host", "path", "rule", "verdict", "best_u", "best_verdict")}
     rules = rules.where("host is not null and host <> '' and path is not null").select(
         F.translate("host", _UPPER, _LOWER).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict")
     )
@@ -75,10 +75,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     hits = expressions.join(table, F.col("short") == F.col("r_short")).where(F.col("d") == F.col("r_digest"))
     rule = F.concat("r_host", "r_path")
     best = hits.groupBy("u").agg(F.max(F.struct(F.length(rule).alias("n"), (F.col("r_verdict") == "block").alias("b"), rule.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
-    best = best.select(F.col("u").alias("best_u"), F.col("best.rule").alias(names["rule"]), F.col("best.verdict").alias("best_verdict"))
+    best = best.select(F.col("u").alias(names["best_u"]), F.col("best.rule").alias(names["rule"]), F.col("best.verdict").alias(names["best_verdict"]))
 
     # only URLs with a rule come back; hosts and paths are plain expressions of the row
     host, path = url_parts(F.col(f"`{url}`").cast("string"))
-    joined = pages.join(best, F.col(f"`{url}`").cast("string") == F.col("best_u"), "left")
+    joined = pages.join(best, F.col(f"`{url}`").cast("string") == F.col(names["best_u"]), "left")
     columns = [pages[f"`{c}`"] for c in pages.columns]
-    return joined.select(*columns, host.alias(names["host"]), path.alias(names["path"]), F.col(names["rule"]), F.coalesce("best_verdict", F.lit(default)).alias(names["verdict"]))
+    return joined.select(*columns, host.alias(names["host"]), path.alias(names["path"]), F.col(names["rule"]), F.coalesce(names["best_verdict"], F.lit(default)).alias(names["verdict"]))

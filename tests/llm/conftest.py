@@ -37,7 +37,7 @@ def docs(spark, texts):
 
 
 #: Columns named like operators' own, and one that repeats another but for its case.
-CLASHES = ("n_words", "kept", "component_id", "digest", "row", "id", "hash", "copy", "rate", "n", "f", "classes", "labels", "start", "host", "path", "rule", "verdict", "payload", "sha1", "spans", "_mix_rate", "s", "k")
+CLASHES = ("n_words", "kept", "component_id", "digest", "row", "id", "hash", "copy", "rate", "n", "f", "classes", "labels", "start", "host", "path", "rule", "verdict", "payload", "sha1", "spans", "_mix_rate", "s", "k", "best_u", "best_verdict", "u", "_d_id", "m_id", "archive", "text_")
 
 
 def with_clashes(df):
