@@ -344,11 +344,11 @@ def limit_after_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.notes_page(rows, "o_orderkey", limit=40).select("o_orderkey", "o_custkey")
 
 
-@_query("""SELECT doc_id, doc_id % 2 = 0 AS own FROM (SELECT doc_id, text, translate(substr(CASE WHEN doc_id % 2 = 0 THEN text ELSE reverse(text) END, 11, 30), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS q FROM documents WHERE lang = 'en')
+@_query("""SELECT doc_id, doc_id % 2 = 0 AS own FROM (SELECT doc_id, text, translate(substr(CASE WHEN doc_id % 2 = 0 THEN text ELSE reverse(text) END, 11, 30), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS q FROM documents)
            WHERE trim(q, E' \\n\\t') <> '' AND contains(regexp_replace(lower(text), '\\s+', ' ', 'g'), trim(regexp_replace(lower(q), '\\s+', ' ', 'g')))""".replace("\\\\", "\\"))
 def quote_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages in other letters and with other whitespace, of the text itself or of its reverse."""
-    docs = _t(spark, sf_dir, "documents").where("lang = 'en'").withColumn("own", F.col("doc_id") % 2 == 0)
+    docs = _t(spark, sf_dir, "documents").withColumn("own", F.col("doc_id") % 2 == 0)
     quote = F.substring(F.when(F.col("own"), F.col("text")).otherwise(F.reverse("text")), 11, 30)
     quote = F.regexp_replace(F.translate(quote, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), " ", "\n ")
     return docs.where(text.quote_found(F.col("text"), quote)).select("doc_id", "own")
