@@ -119,6 +119,7 @@ def test_components(spark):
                 want[x] = start
                 todo += graph[x]
     assert {r.node: r.root for r in components.connected_components(df).collect()} == want
+    assert {r.node: r.root for r in components.connected_components(df, task_links=0).collect()} == want
     assert components.connected_components(df.limit(0)).count() == 0
 
 
