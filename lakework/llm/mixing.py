@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakework.llm.common import fresh, small_or_plain
+from lakework.llm.common import fresh, staged
 
 #: 52 bits of a hash are a double exactly.
 _BITS = 52
@@ -25,21 +25,26 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, _BITS // 4), 16, 10).cast("double") / F.lit(float(1 << _BITS))
 
 
-def poisson(u: Column, rate: Column) -> Column:
-    """The least k whose cumulative Poisson probability exceeds ``u``.
+def poisson_cdf(rate: Column) -> Column:
+    """The cumulative Poisson probabilities of 0, 1, ... as an array; empty for a rate of 0.
 
-    The sum runs to ``rate + 12 * sqrt(rate) + 30`` terms, beyond which less than
-    2**-52 remains.  Terms come from logarithms, so large rates don't underflow.
+    It ends at ``rate + 9 * sqrt(rate) + 20``, beyond which less than 2**-52 remains.
+    Terms come from logarithms, so large rates don't underflow.
     """
-    ks = F.sequence(F.lit(0), F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int"))
-    start = F.struct(F.lit(0.0).alias("log_term"), F.lit(0.0).alias("sum"), F.lit(0).alias("k"))
+    ks = F.sequence(F.lit(0), F.ceil(rate + 9 * F.sqrt(rate) + 20).cast("int"))
+    start = F.struct(F.lit(0.0).alias("log_term"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("cdf"))
 
     def step(s, k):
         log_term = F.when(k == 0, -rate).otherwise(s["log_term"] + F.ln(rate) - F.ln(F.greatest(k, F.lit(1)).cast("double")))
         total = s["sum"] + F.exp(log_term)
-        return F.struct(log_term.alias("log_term"), total.alias("sum"), (s["k"] + F.when(total <= u, 1).otherwise(0)).alias("k"))
+        return F.struct(log_term.alias("log_term"), total.alias("sum"), F.array_append(s["cdf"], total).alias("cdf"))
 
-    return F.when(rate > 0, F.aggregate(ks, start, step, lambda s: s["k"])).otherwise(0)
+    return F.when(rate > 0, F.aggregate(ks, start, step, lambda s: s["cdf"])).otherwise(F.array().cast("array<double>"))
+
+
+def poisson(u: Column, cdf: Column) -> Column:
+    """The least k whose cumulative probability exceeds ``u``; 0 for a null or empty array."""
+    return F.coalesce(F.size(F.filter(cdf, lambda c: c <= u)), F.lit(0))
 
 
 def target_rates(docs: DataFrame, weights: dict[str, float] | None = None, source: str = "source", temperature: float = 0.5, epochs: float = 1.0) -> DataFrame:
@@ -74,25 +79,32 @@ def mix(
     temperature: float = 0.5,
     epochs: float = 1.0,
     seed: str = "mix",
-    max_broadcast_sources: int = 10_000,
+    max_broadcast_numbers: int = 1_000_000,
     details: bool = True,
 ) -> DataFrame:
-    """``docs`` with each row repeated by its Poisson count, in a global random order.
+    """``docs`` with each row repeated by its Poisson count, shuffled globally.
 
     With ``details``: also ``copy`` (from 0), ``copies``, ``rate`` and
     ``shuffle_key``, under other names if ``docs`` has those.  Rows with the same
-    id get the same count; a null id hashes as ``null``.  The order is by a hash of
-    (id, copy): range partitions of it are even, whatever the sources' sizes.  An
-    empty table gives an empty result.
+    id get the same count; a null id hashes as ``null``.  An empty table gives an
+    empty result.
+
+    A copy's place is a hash of (id, copy): partitions by it are even, whatever the
+    sources' sizes, and each is in its order.  Unlike a range sort, that reads the
+    documents once.  Distributions are computed once a source; they are broadcast if
+    they are under ``max_broadcast_numbers`` numbers together, else joined by a shuffle.
     """
     names = {n: fresh(docs, n) for n in ("copy", "copies", "rate", "shuffle_key")}
-    rates = small_or_plain(target_rates(docs, weights, source, temperature, epochs).select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate")), max_broadcast_sources)
+    rates = target_rates(docs, weights, source, temperature, epochs)
+    rates = staged(rates.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), poisson_cdf(F.col("rate")).alias("_mix_cdf")), "rates")
+    numbers = rates.agg(F.sum(F.size("_mix_cdf") + 8)).first()[0] or 0
+    rates = F.broadcast(rates) if numbers <= max_broadcast_numbers else rates
     columns = [f"`{c}`" for c in docs.columns]
     row = docs.select(F.struct(*columns).alias("row"), F.col(source).cast("string").alias("s"), F.col(doc_id).cast("string").alias("d"))
-    counted = row.join(rates, F.col("s").eqNullSafe(F.col("_mix_source")), "left").withColumn("n", poisson(uniform(F.col("d"), seed), F.col("_mix_rate")))
+    counted = row.join(rates, F.col("s").eqNullSafe(F.col("_mix_source")), "left").withColumn("n", poisson(uniform(F.col("d"), seed), F.col("_mix_cdf")))
     copies = counted.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     key = F.md5(F.concat(F.lit(f"{seed}-order:"), F.coalesce("d", F.lit("null")), F.lit(":"), F.col("copy").cast("string")))
-    shuffled = copies.withColumn("k", key).orderBy("k")
+    shuffled = copies.drop("_mix_cdf").withColumn("k", key).repartition("k").sortWithinPartitions("k")
     own = [F.col("row")[c].alias(c) for c in docs.columns]
     if not details:
         return shuffled.select(*own)

@@ -80,7 +80,7 @@ WITH sizes AS (
 ), terms AS (
   SELECT source, rate, k::INT AS k,
          sum(exp(-rate + k * ln(rate) - lgamma(k + 1.0))) OVER (PARTITION BY source ORDER BY k) AS cdf
-  FROM rates, LATERAL (SELECT unnest(range(0, ceil(rate + 12 * sqrt(rate) + 31)::BIGINT)) AS k)
+  FROM rates, LATERAL (SELECT unnest(range(0, ceil(rate + 9 * sqrt(rate) + 21)::BIGINT)) AS k)
 ), numbered AS (
   SELECT *, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0 AS u FROM documents
 ), counted AS (
