@@ -6,6 +6,7 @@ The tables stand in for the lake's: ``documents`` for clean reports,
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from lakework.functions import dates, enums, hashing, text
 from lakework.operators import cohorts, collate, delta, diff, events, projection, quality, reshape, review, tombstones, upsert, versions
 from lakework.operators.adjudicate import STATUSES
+from lakework.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -546,17 +548,8 @@ def dates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A folder for files that a query writes to read them: shared on a cluster, temporary in tests."""
-    import atexit
-    import tempfile
-    import uuid
-
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        holder = tempfile.TemporaryDirectory(prefix="lakework-")
-        atexit.register(holder.cleanup)
-        found = f"file://{holder.name}"
-    return f"{found}/lakework-{name}-{uuid.uuid4().hex}"
+    """A new folder for files that a query writes to read them."""
+    return f"{shared_dir(spark)}/lakework-{name}-{uuid.uuid4().hex}"
 
 
 @_query("SELECT conv_id::VARCHAR AS conv_id, '0' || turn AS turn, md5(text || chr(10) || '\"q\", x') AS text_md5 FROM conversations")
