@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,28 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Spark's own spelling of the shared folder; see ``shared_dir``.
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    On a cluster it is the session's ``spark.checkpoint.dir``.  Only where that is
-    unset (local tests) a temporary folder is made, and removed at exit.
-    """
-    context = spark.sparkContext
-    found = context.getConf().get(CHECKPOINT_DIR) or spark.conf.get(CHECKPOINT_DIR, None)
-    if not found and context._jsc.sc().getCheckpointDir().isDefined():
-        found = context._jsc.sc().getCheckpointDir().get()
-    if not found:
-        if not context.master.startswith("local[") and context.master != "local":
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that driver and executors share")
-        holder = tempfile.TemporaryDirectory(prefix="lakework-")
-        atexit.register(holder.cleanup)
-        found = f"file://{holder.name}"
-        context.setCheckpointDir(found)
-    return found.rstrip("/")
+from lakework.session import shared_dir
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -139,6 +116,12 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 
 
+def window_hashes(prefix: np.ndarray, size: int) -> np.ndarray:
+    """``range_hash`` of all substrings of one size, in order."""
+    n = len(prefix) - size
+    return mixed((prefix[size:] - prefix[:n]) * powers(len(prefix))[1][:n])
+
+
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes other than space and \\t to \\r."""
     a = np.frombuffer(data, np.uint8)
