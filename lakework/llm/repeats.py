@@ -1,6 +1,6 @@
 """Removal of long repeats by a run-length index.
 
-Every 200-byte string is assigned to the least hash among its 32-byte substrings
+Every 200-byte string is assigned to the least hash among its 64-byte substrings
 (its anchor), so equal strings have the same anchor wherever they stand.  The
 consecutive strings of one anchor in a document are a claim.  Claims whose
 anchor occurs once in the corpus can't repeat; claims that are equal as a whole
@@ -17,21 +17,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakework.llm.common import arrow_column, arrow_map, arrow_schema, prefix_hash, range_hash, small_or_plain, staged
+from lakework.llm.common import arrow_column, arrow_map, arrow_schema, prefix_hash, range_hash, small_or_plain, staged, window_hashes
 from lakework.llm.rindex import RunLengthIndex, runs
 
 
 @dataclass(frozen=True)
 class Repeats:
-    """``shard_bytes`` bounds an index; an anchor with more differing claims than that is counted string by string instead."""
+    """``shard_bytes`` bounds an index; an anchor with more differing claims than that is counted string by string instead.
+
+    ``max_broadcast`` bounds the claims or ranges (some 40 bytes each, so 64 MB) that a join may broadcast.
+    """
 
     length: int = 200
-    anchor: int = 32
+    anchor: int = 64
     shard_bytes: int = 3_000_000
-    max_broadcast: int = 200_000
+    max_broadcast: int = 1_500_000
 
 
 CLAIMS = T.StructType(
@@ -53,23 +57,21 @@ def _window_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def claims_of(data: bytes, p: Repeats) -> tuple[np.ndarray, ...] | None:
-    """(anchor, claim hash, first string's position, number of strings, several anchors?) of a text; null if it is short."""
+    """(anchor, claim hash, first string's position, number of strings, anchor repeated?) of a text; null if it is short."""
     if len(data) < p.length:
         return None
     prefix = prefix_hash(data)
-    at = np.arange(len(data) - p.anchor + 1)
-    values = range_hash(prefix, at, at + p.anchor)
+    values = window_hashes(prefix, p.anchor)
     width = p.length - p.anchor + 1
     least = _window_min(values, width)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     end = np.append(first[1:], len(least))
-    # anchors are the values that are the least of some string around them
-    around = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    highest = np.iinfo(np.uint64).max - _window_min(np.iinfo(np.uint64).max - around, width)
-    anchors = np.sort(values[values == highest])
-    twice = anchors[1:][anchors[1:] == anchors[:-1]]
     value = least[first]
-    return value, range_hash(prefix, first, end - 1 + p.length), first, end - first, np.isin(value, twice)
+    # a claim can only repeat within itself if its anchor stands more than once in the text
+    ordered = np.sort(values)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    multi = np.isin(value, twice) if len(twice) else np.zeros(len(value), bool)
+    return value, range_hash(prefix, first, end - 1 + p.length), first, end - first, multi
 
 
 def _claims(rows: DataFrame, p: Repeats) -> DataFrame:
@@ -100,7 +102,8 @@ def _batch(parts: list[tuple[pa.Array, ...]], schema: pa.Schema) -> pa.RecordBat
 def _segments(rows: DataFrame, wanted: DataFrame, p: Repeats) -> DataFrame:
     """The bytes of each wanted claim, cut from the document that stands for it."""
     by_doc = wanted.groupBy("src.id", "src.hash").agg(F.collect_list(F.struct("anchor", "claim", "src.pos", "src.size")).alias("list"))
-    by_doc = small_or_plain(by_doc.select(F.col("id").alias("s_id"), F.col("hash").alias("s_hash"), "list"), p.max_broadcast)
+    by_doc = by_doc.select(F.col("id").alias("s_id"), F.col("hash").alias("s_hash"), "list")
+    by_doc = F.broadcast(by_doc) if wanted.count() <= p.max_broadcast else by_doc
     joined = rows.join(by_doc, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("hash") == F.col("s_hash"))).select("text", "list")
     schema = arrow_schema(SEGMENTS)
 
@@ -200,7 +203,13 @@ def repeated_ranges(rows: DataFrame, p: Repeats) -> DataFrame:
     several = kinds.where("n > 1").select("anchor", "claim")
     once = kinds.where("n = 1").join(marks, ["anchor", "claim"]).select("src.id", "src.hash", (F.col("src.pos") + F.col("a")).alias("a"), (F.col("src.pos") + F.col("b")).alias("b"))
     ranges = whole(found.where("alike")).union(whole(differing.join(several, ["anchor", "claim"]))).union(once)
-    return ranges.groupBy(F.col("id").alias("m_id"), F.col("hash").alias("m_hash")).agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    # touching ranges of a text become one, so a copied text is a single range
+    text = W.partitionBy("id", "hash").orderBy("a", "b")
+    reach = F.max("b").over(text.rowsBetween(W.unboundedPreceding, -1))
+    apart = ranges.withColumn("apart", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
+    island = apart.withColumn("island", F.sum("apart").over(text.rowsBetween(W.unboundedPreceding, 0)))
+    merged = island.groupBy("id", "hash", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return merged.groupBy(F.col("id").alias("m_id"), F.col("hash").alias("m_hash")).agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
 
 
 def remove_repeats(docs: DataFrame, params: Repeats = Repeats(), doc_id: str = "doc_id") -> DataFrame:
@@ -213,7 +222,9 @@ def remove_repeats(docs: DataFrame, params: Repeats = Repeats(), doc_id: str = "
     """
     text = F.col("text").cast("string")
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    ranges = small_or_plain(staged(repeated_ranges(rows, params), "ranges"), params.max_broadcast)
+    ranges = staged(repeated_ranges(rows, params), "ranges")
+    n = ranges.agg(F.sum(F.size("ranges"))).first()[0] or 0
+    ranges = F.broadcast(ranges) if n <= params.max_broadcast else ranges
     joined = rows.join(ranges, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("hash") == F.col("m_hash")), "left")
     length = params.length
     column = arrow_column(lambda ts, rs: [_kept(t, r, length) for t, r in zip(ts, rs, strict=True)], KEPT, F.col("text"), F.col("ranges"))

@@ -47,10 +47,10 @@ class RunLengthIndex:
         self.run_tails = np.concatenate([self.run_heads[1:] - 1, [n - 1]])
         self.run_symbols = before[self.run_heads]
         # the samples: suffixes at the runs' ends, and the suffix next to each in the order
-        head, tail = order[self.run_heads], order[self.run_tails]
-        above, below = order[np.maximum(self.run_heads - 1, 0)], order[np.minimum(self.run_tails + 1, n - 1)]
-        self.head_samples = head, np.where(self.run_heads > 0, self._common(head, above), 0)
-        self.tail_samples = tail, np.where(self.run_tails < n - 1, self._common(tail, below), 0)
+        # (a head's neighbour is the tail of the run before it, so one comparison serves both)
+        common = self._common(order[self.run_heads[1:]], order[self.run_tails[:-1]])
+        self.head_samples = order[self.run_heads], np.concatenate([[0], common])
+        self.tail_samples = order[self.run_tails], np.concatenate([common, [0]])
         del self._levels, self._first
 
     def _suffix_array(self, symbols: np.ndarray, longest: int) -> np.ndarray:
@@ -61,16 +61,17 @@ class RunLengthIndex:
         kept until the samples are taken.
         """
         n = len(symbols)
-        padded = np.concatenate([symbols, np.zeros(8, np.uint8)])
-        key = np.zeros(n, np.uint64)
-        for j in range(8):
-            key = (key << np.uint64(8)) | np.where(self.left > j, padded[j : j + n], 0).astype(np.uint64)
+        key = symbols.astype(np.uint64)
+        for j in (1, 2, 4):  # eight symbols, nothing of the next string
+            after = np.zeros(n, np.uint64)
+            after[:-j] = key[j:]
+            key = (key << np.uint64(8 * j)) | np.where(self.left > j, after, np.uint64(0))
         self._first = key
         order = np.argsort(key)
         ordered = key[order]
         head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
         rank = np.empty(n, np.int32)
-        rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+        rank[order] = np.maximum.accumulate(np.arange(n, dtype=np.int32) * head)
         open_ = order[~head | ~np.append(head[1:], True)].astype(np.int32)
         self._levels, h = [(8, rank)], 8
         while h < longest and len(open_):
@@ -82,9 +83,9 @@ class RunLengthIndex:
             head = group | np.concatenate([[True], ahead[1:] != ahead[:-1]])
             if head.sum() == group.sum():
                 break  # equal prefixes of this length are equal to their ends
-            at = np.arange(len(open_))
+            at = np.arange(len(open_), dtype=np.int32)
             rank = rank.copy()
-            rank[open_] = own + np.maximum.accumulate(np.where(head, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+            rank[open_] = own + np.maximum.accumulate(at * head) - np.maximum.accumulate(at * group)
             open_ = open_[~head | ~np.append(head[1:], True)]
             h *= 2
             self._levels.append((h, rank))
