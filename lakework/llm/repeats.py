@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +27,14 @@ from lakework.llm.rindex import RunLengthIndex, runs
 
 @dataclass(frozen=True)
 class Repeats:
-    """``shard_bytes`` bounds an index; an anchor with more differing claims than that is counted string by string instead.
+    """``shard_bytes`` bounds an index; an anchor with more differing claims than that is refined by longer anchors first.
 
     ``max_broadcast`` bounds the claims or ranges (some 40 bytes each, so 64 MB) that a join may broadcast.
     """
 
     length: int = 200
     anchor: int = 64
-    shard_bytes: int = 3_000_000
+    shard_bytes: int = 2_000_000
     max_broadcast: int = 1_500_000
 
 
@@ -74,13 +74,17 @@ def claims_of(data: bytes, p: Repeats) -> tuple[np.ndarray, ...] | None:
     return value, range_hash(prefix, first, end - 1 + p.length), first, end - first, multi
 
 
+def _bytes(text: str | bytes | None) -> bytes:
+    return text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+
+
 def _claims(rows: DataFrame, p: Repeats) -> DataFrame:
     schema = arrow_schema(CLAIMS)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts, n = [], 0
         for id_, hash_, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            found = claims_of((text or "").encode("utf-8", "surrogatepass"), p)
+            found = claims_of(_bytes(text), p)
             if found is not None:
                 anchor, claim, pos, size, multi = found
                 k = len(anchor)
@@ -109,7 +113,7 @@ def _segments(rows: DataFrame, wanted: DataFrame, p: Repeats) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for text, claims in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            data = text.encode("utf-8", "surrogatepass")
+            data = _bytes(text)
             cut = [(c["anchor"], c["claim"], data[c["pos"] : c["pos"] + c["size"] - 1 + p.length]) for c in claims]
             for a in range(0, len(cut), 1000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*cut[a : a + 1000], strict=True), schema, strict=True)], schema=schema)
@@ -132,6 +136,21 @@ def _index_shard(p: Repeats):
     return run
 
 
+def _refined_marks(segments: DataFrame, p: Repeats) -> DataFrame:
+    """Marks of anchors with very many claims: the claims' own repeats, by anchors nearly as long as the strings.
+
+    Claims that agree around a longer anchor are far fewer; what is still too much
+    for a shard is counted string by string.
+    """
+    segments = segments.dropDuplicates(["anchor", "claim"])
+    longer = p.length * 4 // 5
+    if p.anchor >= longer:
+        return _string_marks(segments, p)
+    rows = segments.select(F.col("anchor").alias("id"), F.col("claim").alias("hash"), F.col("bytes").alias("text"))
+    ranges = repeated_ranges(rows, replace(p, anchor=longer)).select("m_id", "m_hash", F.explode("ranges").alias("r"))
+    return ranges.select(F.col("m_id").alias("anchor"), F.col("m_hash").alias("claim"), "r.a", "r.b")
+
+
 def _string_marks(segments: DataFrame, p: Repeats) -> DataFrame:
     """Marks of an anchor with very many claims: every string counted by its 128-bit hash, in a distributed aggregation."""
     schema = arrow_schema(STRINGS)
@@ -144,7 +163,7 @@ def _string_marks(segments: DataFrame, p: Repeats) -> DataFrame:
             columns = [np.full(len(at), anchor), np.full(len(at), claim), range_hash(x, at, at + p.length).view(np.int64), range_hash(y, back, back + p.length).view(np.int64), at.astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    strings = staged(arrow_map(segments.dropDuplicates(["anchor", "claim"]).select("anchor", "claim", "bytes"), run, STRINGS), "strings")
+    strings = staged(arrow_map(segments.select("anchor", "claim", "bytes"), run, STRINGS), "strings")
     twice = strings.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x", "y")
     return strings.join(twice, ["x", "y"]).select("anchor", "claim", F.col("at").alias("a"), (F.col("at") + 1).alias("b"))
 
@@ -184,21 +203,21 @@ def repeated_ranges(rows: DataFrame, p: Repeats) -> DataFrame:
     kinds = differing.groupBy("anchor", "claim").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "hash", "pos", "size")).alias("src"))
     kinds = staged(kinds, "claim-kinds")
     segments = staged(_segments(rows, kinds, p), "segments")
-    # shards by anchor, of about the bytes that an index may have; anchors over that are counted string by string
+    # shards by anchor, of about the bytes that an index may have; anchors over that are refined first
     sizes = segments.groupBy("anchor").agg(F.sum(F.length("bytes") + 1).alias("anchor_bytes"))
     sizes = staged(sizes, "anchor-sizes")
     total = sizes.agg(F.sum("anchor_bytes")).first()[0] or 0
     n_shards = max(1, -(-2 * total // p.shard_bytes))
     big = sizes.where(F.col("anchor_bytes") > p.shard_bytes).select(F.col("anchor").alias("big"))
     if big.isEmpty():
-        normal, strings = segments, None
+        normal, refined = segments, None
     else:
         big = small_or_plain(big, p.max_broadcast)
         normal = segments.join(big, F.col("anchor") == F.col("big"), "left_anti")
-        strings = _string_marks(segments.join(big, F.col("anchor") == F.col("big"), "left_semi"), p)
+        refined = _refined_marks(segments.join(big, F.col("anchor") == F.col("big"), "left_semi"), p)
     shard = F.pmod(F.xxhash64("anchor"), F.lit(n_shards)).alias("shard")
     marks = normal.withColumn("shard", shard).groupBy("shard").applyInArrow(_index_shard(p), MARKS)
-    marks = staged(marks if strings is None else marks.union(strings), "marks")
+    marks = staged(marks if refined is None else marks.union(refined), "marks")
     # claims that occur more than once repeat as a whole, the others where the index says so
     several = kinds.where("n > 1").select("anchor", "claim")
     once = kinds.where("n = 1").join(marks, ["anchor", "claim"]).select("src.id", "src.hash", (F.col("src.pos") + F.col("a")).alias("a"), (F.col("src.pos") + F.col("b")).alias("b"))
