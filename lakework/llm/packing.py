@@ -1,11 +1,13 @@
 """Lexical retrieval packing: windows filled with BM25 neighbours.
 
-Each input partition is read as a stream of shards of bounded size.  A shard's
-documents are tokenized, whole windows are cut from long ones, and what is left
-is indexed (an inverted index of token ids with BM25 weights).  The next unused
-document seeds a window; its unused neighbours, best first, fill it.  A piece
-that doesn't fit is cut, so every window is full.  No shuffle is needed: at any
-size a partition's windows depend on its own rows only.
+Documents are tokenized once, and whole windows are cut from long ones.  What is
+left, an item, is staged.  Document frequencies and the mean length are summed
+over the items of the whole corpus; then items are sorted by their rarest terms,
+so that related ones share a shard, wherever they stood in the input.  Each shard
+of bounded size is indexed (an inverted index of token ids with the corpus's BM25
+weights).  The next unused item seeds a window; its unused neighbours, best first,
+fill it.  A piece that doesn't fit is cut, so every window is full.  Items of
+different shards never meet.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakework.llm.common import arrow_schema
+from lakework.llm.common import arrow_schema, staged
 
 
 def default_tokenizer() -> str:
@@ -42,6 +44,7 @@ class Packing:
     shard_tokens: int = 2_000_000
     shard_docs: int = 4096
     query_terms: int = 12
+    place_terms: int = 8
     k1: float = 1.2
     b: float = 0.75
 
@@ -50,6 +53,19 @@ PIECES = T.StructType(
     [T.StructField("doc_id", T.LongType())]
     + [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
 )
+#: A whole window (without ids), or an item: a document's ids after its last whole window, numbered by ``row``.
+CUT = T.StructType([*PIECES.fields, T.StructField("row", T.LongType()), T.StructField("ids", T.BinaryType())])
+#: Whole windows are numbered from here, so that they differ from the windows that are filled.
+WHOLE = 1 << 62
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """Of the items of the whole corpus: their number, their tokens, and in how many of them each token id stands."""
+
+    n: int
+    tokens: int
+    df: np.ndarray
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -90,9 +106,9 @@ def encoder(path: str):
 
 
 class Index:
-    """A BM25 inverted index over one shard's items (arrays of token ids)."""
+    """A BM25 inverted index over one shard's items (arrays of token ids), weighted by ``corpus`` (null: the items are all there are)."""
 
-    def __init__(self, items: list[np.ndarray], p: Packing):
+    def __init__(self, items: list[np.ndarray], p: Packing, corpus: Statistics | None = None):
         self.p, self.n = p, len(items)
         lengths = np.array([len(x) for x in items], np.int64)
         keys = np.repeat(np.arange(self.n, dtype=np.int64) << 32, lengths) | np.concatenate(items).astype(np.int64)
@@ -100,10 +116,12 @@ class Index:
         owner, term = keys >> 32, keys & 0xFFFFFFFF
         # document-major for queries
         self.starts = np.searchsorted(owner, np.arange(self.n + 1))
-        norm = p.k1 * (1 - p.b + p.b * lengths / max(lengths.mean(), 1e-9))
+        mean = corpus.tokens / corpus.n if corpus else lengths.mean()
+        norm = p.k1 * (1 - p.b + p.b * lengths / max(mean, 1e-9))
         order = np.argsort(term, kind="stable")
         terms, first, df = np.unique(term[order], return_index=True, return_counts=True)
-        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
+        n, all_df = (corpus.n, corpus.df[terms]) if corpus else (self.n, df)
+        idf = np.log(1 + (n - all_df + 0.5) / (all_df + 0.5))
         self.at = np.searchsorted(terms, term)
         weight = counts * (p.k1 + 1) / (counts + norm[owner]) * idf[self.at]
         # a term of one item finds nobody
@@ -129,21 +147,38 @@ class Index:
         return found[np.argsort(-scores[found], kind="stable")]
 
 
+def cut(doc_id, ids: list[int], p: Packing) -> tuple[list[tuple], tuple | None]:
+    """The whole windows of a document and its separator, and what is left: (doc_id, start, ids, doc_tokens)."""
+    x = np.array([*ids, p.separator], "<u4")
+    total = len(x)
+    whole = total - total % p.window
+    return [(doc_id, a, x[a : a + p.window], total) for a in range(0, whole, p.window)], (doc_id, whole, x[whole:], total) if whole < total else None
+
+
 class Packer:
-    """Packs a stream of documents; ``add`` and ``finish`` return rows of pieces."""
+    """Packs a stream of documents or items; ``add``, ``add_item`` and ``finish`` return rows of pieces."""
 
-    def __init__(self, p: Packing, first_sequence: int):
-        self.p, self.sequence = p, first_sequence
-        self.docs: list[tuple] = []
+    def __init__(self, p: Packing, first_sequence: int, corpus: Statistics | None = None):
+        self.p, self.sequence, self.corpus = p, first_sequence, corpus
+        self.items: list[list] = []
         self.tokens = 0
         self.open: list[tuple] = []  # pieces of a window that isn't full yet: (doc_id, start, ids, doc_tokens)
         self.space = p.window
         self.rows: list[tuple] = []
 
     def add(self, doc_id, ids: list[int]) -> list[tuple]:
-        self.docs.append((doc_id, np.array([*ids, self.p.separator], "<u4")))
-        self.tokens += len(ids) + 1
-        if self.tokens >= self.p.shard_tokens or len(self.docs) >= self.p.shard_docs:
+        windows, item = cut(doc_id, ids, self.p)
+        for piece in windows:
+            self._emit([piece])
+        if item:
+            return self.add_item(*item)
+        out, self.rows = self.rows, []
+        return out
+
+    def add_item(self, doc_id, start: int, ids: np.ndarray, total: int) -> list[tuple]:
+        self.items.append([doc_id, start, ids, total])
+        self.tokens += len(ids)
+        if self.tokens >= self.p.shard_tokens or len(self.items) >= self.p.shard_docs:
             self._shard()
         out, self.rows = self.rows, []
         return out
@@ -180,18 +215,10 @@ class Packer:
             self.open, self.space = [], self.p.window
 
     def _shard(self) -> None:
-        docs, self.docs, self.tokens = self.docs, [], 0
-        window, items = self.p.window, []
-        for doc_id, ids in docs:
-            total = len(ids)
-            whole = total - total % window
-            for a in range(0, whole, window):
-                self._emit([(doc_id, a, ids[a : a + window], total)])
-            if whole < total:
-                items.append([doc_id, whole, ids[whole:], total])
+        items, self.items, self.tokens = self.items, [], 0
         if not items:
             return
-        index = Index([x[2] for x in items], self.p)
+        index = Index([x[2] for x in items], self.p, self.corpus)
         unused, length = np.ones(len(items), bool), np.array([len(x[2]) for x in items])
         at = 0
 
@@ -226,28 +253,110 @@ class Packer:
                     take(i)
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def cut_documents(docs: DataFrame, p: Packing) -> DataFrame:
+    """Whole windows and items (``CUT``) of documents (doc_id, text)."""
+    schema = arrow_schema(CUT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(p.tokenizer or default_tokenizer())
+        row = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            rows = []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                windows, item = cut(i, encode([text or ""])[0], p)
+                for _, start, ids, total in windows:
+                    rows.append((i, start, len(ids), zlib.crc32(ids.tobytes()), total, WHOLE + row, 0, row, None))
+                    row += 1
+                if item:
+                    _, start, ids, total = item
+                    rows.append((i, start, len(ids), None, total, None, None, row, ids.tobytes()))
+                    row += 1
+            yield from _batch(rows, schema)
+
+    return docs.mapInArrow(run, CUT)
+
+
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u4") for x in column.to_pylist()]
+
+
+def statistics(items: DataFrame) -> Statistics:
+    """Counts over all items (``ids``).  The driver gets one row for each entry of the vocabulary that occurs."""
+    counts = T.StructType([T.StructField("term", T.LongType()), T.StructField("df", T.LongType())])
+    schema = arrow_schema(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            items = _ids(batch.column(0))
+            if items:
+                found = np.bincount(np.concatenate([np.unique(x) for x in items]), minlength=len(df))
+                found[: len(df)] += df
+                df, n, tokens = found, n + len(items), tokens + sum(map(len, items))
+        used = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *used.tolist()], pa.int64()), pa.array([n, tokens, *df[used].tolist()], pa.int64())], schema=schema)
+
+    sums = {r.term: r.df for r in items.select("ids").mapInArrow(run, counts).groupBy("term").agg(F.sum("df").alias("df")).collect()}
+    n, tokens = sums.pop(-2, 0), sums.pop(-1, 0)
+    df = np.zeros(max(sums, default=-1) + 1, np.int64)
+    df[list(sums)] = list(sums.values())
+    return Statistics(n, tokens, df)
+
+
+def place_key(ids: np.ndarray, corpus: Statistics, p: Packing) -> bytes:
+    """The item's rarest terms, rarest first, by which items are sorted into shards.
+
+    Terms of fewer items than an eighth of a shard (or a hundredth of the corpus) come
+    last, as they gather too few.  Items that share a hot first term go on by the next.
+    """
+    terms = np.unique(ids)
+    df = corpus.df[terms]
+    few = df < min(p.shard_docs // 8, corpus.n // 100)
+    best = np.lexsort((terms, df, few))[: p.place_terms]
+    return np.stack([df[best], terms[best]], axis=1).astype(">u4").tobytes()
+
+
+def placed(items: DataFrame, corpus: Statistics, p: Packing) -> DataFrame:
+    """Items in shard order: partitioned and sorted by ``place_key``; equal items are dealt by their numbers."""
+    names = ("doc_id", "start", "doc_tokens", "row", "ids")
+    keyed = T.StructType([CUT[n] for n in names] + [T.StructField("key", T.BinaryType())])
+    schema = arrow_schema(keyed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = pa.array([place_key(x, corpus, p) for x in _ids(batch.column(4))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, key], schema=schema)
+
+    return items.select(*names).mapInArrow(run, keyed).repartitionByRange("key", "row").sortWithinPartitions("key", "row")
+
+
 def pack(docs: DataFrame, params: Packing = Packing(), doc_id: str = "doc_id") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null or empty text is one token, the separator.  Repeated rows are packed as
     often as they stand.  A null doc_id stays null.  Every sequence but at most ten
     of a partition is full; those have powers of two as lengths, so nothing is
-    padded.  Rows of a partition keep their order, so a retried task gives the same pieces.
+    padded.  Items are staged and sorted, so a retried task gives the same pieces.
     """
     schema = arrow_schema(PIECES)
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    cuts = staged(cut_documents(texts, params), "packing")
+    items = cuts.where(F.col("ids").isNotNull())
+    corpus = statistics(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(params.tokenizer or default_tokenizer())
-        packer = Packer(params, TaskContext.get().partitionId() << 32)
-
-        def out(rows):
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
+        packer = Packer(params, TaskContext.get().partitionId() << 32, corpus)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, text in zip(ids, texts, strict=True):
-                yield from out(packer.add(i, encode([text or ""])[0]))
-        yield from out(packer.finish())
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+            rows = []
+            for i, start, total, ids in zip(*(batch.column(k).to_pylist() for k in range(3)), _ids(batch.column(3)), strict=True):
+                rows += packer.add_item(i, start, ids, total)
+            yield from _batch(rows, schema)
+        yield from _batch(packer.finish(), schema)
+
+    filled = placed(items, corpus, params).select("doc_id", "start", "doc_tokens", "ids").mapInArrow(run, PIECES)
+    return filled.union(cuts.where(F.col("ids").isNull()).select(*PIECES.names))

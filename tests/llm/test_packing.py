@@ -106,3 +106,25 @@ def test_edges(spark, docs):
     rows = packing.pack(spark.createDataFrame([(1, None), (1, None), (None, "")], "doc_id bigint, text string").coalesce(1)).collect()
     assert sorted((r.doc_id or 0, r.start, r.length, r.doc_tokens) for r in rows) == [(0, 0, 1, 1), (1, 0, 1, 1), (1, 0, 1, 1)]
     assert {sum(r.length for r in rows if r.sequence_id == s) for s in {r.sequence_id for r in rows}} == {2, 1}
+
+
+def test_copies_in_distant_partitions_share_windows(spark):
+    """Each partition has every text once, so copies can only meet in shards of the whole corpus."""
+    rng = random.Random(9)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "su", "te", "vor", "zan") for b in ("ber", "dan", "fil", "gor", "hup", "jet")]
+    texts = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(140)]
+    df = spark.createDataFrame([(i, texts[i % 140]) for i in range(560)], "doc_id bigint, text string").repartitionByRange(4, "doc_id")
+    found = {}
+    for r in packing.pack(df, packing.Packing(window=256, shard_docs=40)).collect():
+        found.setdefault((r.sequence_id, r.doc_id % 140), set()).add(r.doc_id)
+    assert len({k for (_, k), ids in found.items() if len(ids) > 1}) > 0.8 * 140
+
+
+def test_statistics_are_the_corpus_s(docs, texts, reference):
+    p = packing.Packing()
+    items = [x[2] for i, t in enumerate(texts) if (x := packing.cut(i, reference(t), p)[1])]
+    corpus = packing.statistics(packing.cut_documents(docs.select("doc_id", "text"), p).where("ids is not null"))
+    assert (corpus.n, corpus.tokens) == (len(items), sum(map(len, items)))
+    assert {t: n for t, n in enumerate(corpus.df.tolist()) if n} == {int(t): sum(t in x for x in items) for t in np.unique(np.concatenate(items))}
+    whole, part = packing.Index(items, p), packing.Index(items[:20], p, corpus)
+    assert np.allclose(sorted(part.weight), sorted(whole.weight[whole.owner < 20]))
