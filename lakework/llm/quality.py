@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,10 +36,17 @@ class QualityRules:
     the least number of items in it; so short documents are never rejected by
     divergence.  A language with fewer than ``min_reference_words`` words in the
     corpus is compared with the pooled reference of all languages.
+
+    A word distance is an outlier beyond its language's third quartile and
+    ``word_fence`` interquartile ranges, of all documents judged on words that pass
+    the base rule.  No cut is below ``least_word_distance``, which clean texts of 100
+    words reach by chance, or above ``max_word_distance``.
     """
 
     max_class_distance: float = 0.30
     max_word_distance: float = 0.50
+    least_word_distance: float = 0.25
+    word_fence: float = 1.5
     min_chars: int = 200
     min_words: int = 100
     min_reference_words: int = 10_000
@@ -154,6 +161,21 @@ def _distance(counts: Column, reference: Column) -> Column:
     return arrow_column(lambda a, b: _distances(a, b) if a else [], T.DoubleType(), counts, reference)
 
 
+#: Distances are counted in steps of one part of this, so that quartiles are the same however rows are dealt.
+_STEPS = 10_000
+
+
+def _word_cuts(judged: DataFrame, rules: QualityRules) -> DataFrame:
+    """(cut_lang, word_cut) of rows (lang, word_distance), from exact counts of the distances' steps."""
+    steps = judged.where(F.col("word_distance").isNotNull()).groupBy("lang", F.floor(F.col("word_distance") * _STEPS).alias("step")).agg(F.count("*").alias("n"))
+    upto, all_ = Window.partitionBy("lang").orderBy("step"), Window.partitionBy("lang")
+    ranked = steps.withColumns({"below": F.sum("n").over(upto), "total": F.sum("n").over(all_)})
+    quartile = lambda k: F.min(F.when(4 * F.col("below") >= k * F.col("total"), F.col("step"))) / _STEPS
+    cuts = ranked.groupBy("lang").agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
+    fence = F.col("q3") + rules.word_fence * (F.col("q3") - F.col("q1"))
+    return cuts.select(F.col("lang").alias("cut_lang"), F.least(F.lit(rules.max_word_distance), F.greatest(F.lit(rules.least_word_distance), fence)).alias("word_cut"))
+
+
 def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: ``keep``'s columns, the base counts, distances, verdicts.
 
@@ -162,7 +184,8 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     empty table gives an empty result.
 
     Texts are read once: counts are staged as narrow rows, the references are
-    sums of them per language, and at most one row per language is joined back.
+    sums of them per language, and at most one row per language is joined back; so
+    are the cuts of the word distances.
     """
     common = common_hashes(rules.common_words)
     n_words, n_classes = len(rules.common_words) + 1, len(CLASSES)
@@ -181,18 +204,19 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     references = per_lang.join(F.broadcast(pooled), F.lit(True)).select(F.col("lang").alias("ref_lang"), pick("c", n_classes).alias("ref_classes"), pick("w", n_words).alias("ref_words"))
     references = small_or_plain(references, rules.max_broadcast_languages)
 
-    judged = counted.join(references, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
-    judged = judged.withColumns({"class_all": _distance(F.col("classes"), F.col("ref_classes")), "word_all": _distance(F.col("words"), F.col("ref_words"))})
+    base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    with_words = lambda df: df.withColumn("word_distance", F.when(F.col("n_words") >= rules.min_words, _distance(F.col("words"), F.col("ref_words"))))
+    same = F.col("lang").eqNullSafe(F.col("ref_lang"))
+    sound = counted.where(~base_failed & (F.col("n_words") >= rules.min_words)).select("lang", "n_words", "words")
+    cuts = staged(_word_cuts(with_words(sound.join(references, same, "left")), rules), "quality-cuts")
+    cuts = small_or_plain(cuts, rules.max_broadcast_languages)
+
+    judged = with_words(counted.join(references, same, "left")).withColumn("class_all", _distance(F.col("classes"), F.col("ref_classes")))
+    judged = judged.join(cuts, F.col("lang").eqNullSafe(F.col("cut_lang")), "left")
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda s, x: s + x)
-    judged = judged.withColumns(
-        {
-            "class_distance": F.when(chars >= rules.min_chars, F.col("class_all")),
-            "word_distance": F.when(F.col("n_words") >= rules.min_words, F.col("word_all")),
-            "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
-        }
-    )
+    judged = judged.withColumns({"class_distance": F.when(chars >= rules.min_chars, F.col("class_all")), "base_failed": base_failed})
     far = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
-    judged = judged.withColumn("diverges", far("class_distance", rules.max_class_distance) | far("word_distance", rules.max_word_distance))
+    judged = judged.withColumn("diverges", far("class_distance", rules.max_class_distance) | far("word_distance", F.coalesce("word_cut", F.lit(rules.max_word_distance))))
     ids = [F.col("id")[c].alias(c) for c in keep]
     return judged.select(*ids, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.col("diverges")).alias("kept"), "class_distance", "word_distance")
 

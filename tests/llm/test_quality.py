@@ -74,3 +74,18 @@ def test_edges(spark, docs):
     nulls = spark.createDataFrame([(None, None, None)], "doc_id bigint, text string, lang string")
     row = quality.assess(nulls).first()
     assert (row.doc_id, row.n_words, row.base_failed, row.kept) == (None, 0, True, False)
+
+
+def test_word_salad_with_normal_characters_goes(spark):
+    """Junk of ordinary letters and spaces, which only the common words give away."""
+    import random
+
+    rng = random.Random(11)
+    common, rare = quality.COMMON_WORDS[:21], ["river", "stone", "cloud", "window", "garden", "letter", "music", "paper"]
+    prose = [" ".join(rng.choice(common if rng.random() < 0.5 else rare) + (str(rng.randrange(10**4)) if rng.random() < 0.1 else "") for _ in range(rng.randint(150, 600))) for _ in range(200)]
+    salad = [" ".join("".join(rng.choice("aeinrstdhlo") for _ in range(rng.randint(2, 7))) for _ in range(300)) for _ in range(8)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose + salad)], "doc_id bigint, text string, lang string")
+    out = {r.doc_id: r for r in quality.assess(df).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert all(out[200 + i].class_distance <= quality.QualityRules().max_class_distance and out[200 + i].word_distance <= 0.60 for i in range(8))
+    assert not any(out[200 + i].kept for i in range(8)) and sum(out[i].kept for i in range(200)) >= 198
