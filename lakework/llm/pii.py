@@ -26,6 +26,8 @@ KINDS = ("email", "ip", "card", "phone", "national_id", "secret")
 BASE_KINDS = KINDS[:4]
 LABELS = ("O", *KINDS)
 MAX_TOKENS = 12
+#: Longer sentences are decoded in windows of so many tokens.
+WINDOW_TOKENS = 4000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_BEFORE = re.compile(r"[A-Za-z0-9._%+-]")
@@ -307,6 +309,29 @@ def trained(examples: int = 300, epochs: int = 5, seed: int = 17) -> dict:
     return {k: round(v, 6) for k, v in weights.items() if abs(v) > 1e-4}
 
 
+def _decoded(text: str, tokens: list[tuple[int, int]], weights, covered: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """A sentence's entities as character spans; no window's edge decides on one.
+
+    Consecutive windows share ``4 * MAX_TOKENS`` tokens.  Entities that start in the last
+    half of them are the later window's, which has seen the words before and, as it may
+    have begun inside an entity, is not believed in its first ``MAX_TOKENS`` tokens.
+    """
+    out, at, done = [], 0, 0
+    while True:
+        part = tokens[at : at + WINDOW_TOKENS]
+        final = at + len(part) == len(tokens)
+        near = [(a, b) for a, b in covered if part and a < part[-1][1] and b > part[0][0]]
+        barred = frozenset(i for i, (a, b) in enumerate(part) if any(a < y and b > x for x, y in near))
+        for k, i, j in decode(Sentence(text, part, barred), weights):
+            a, b = part[i][0], part[j - 1][1]
+            if a >= done and (not at or i >= MAX_TOKENS) and (final or i < len(part) - 2 * MAX_TOKENS):
+                out.append((k, a, b))
+                done = b
+        if final:
+            return out
+        at += WINDOW_TOKENS - 4 * MAX_TOKENS
+
+
 def field_spans(text: str, weights, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """The field's spans outside the base ones.
 
@@ -320,16 +345,12 @@ def field_spans(text: str, weights, base: list[tuple[str, int, int]]) -> list[tu
             continue
         # a sentence: from a line's start or 200 characters before, to the line's end; goes on while triggers are near
         start = max(text.rfind("\n", 0, m.start()) + 1, m.start() - 200, max(stop, 0))
-        stop, limit = m.end(), m.start() + 4000
-        while (x := _MAYBE.search(text, stop, min(len(text), stop + 120))) and stop < limit:
+        stop = m.end()
+        while x := _MAYBE.search(text, stop, min(len(text), stop + 120)):
             stop = x.end()
         while stop < len(text) and not text[stop].isspace():
             stop += 1
-        tokens = tokens_of(text, start, stop)
-        near = [(a, b) for a, b in covered if a < stop and b > start]
-        barred = frozenset(i for i, (a, b) in enumerate(tokens) if any(a < y and b > x for x, y in near))
-        s = Sentence(text, tokens, barred)
-        out += [(k, tokens[i][0], tokens[j - 1][1]) for k, i, j in decode(s, weights)]
+        out += _decoded(text, tokens_of(text, start, stop), weights, covered)
     return out
 
 
