@@ -2,7 +2,9 @@
 
 The payload is written losslessly as 8-bit mono samples by the ``wave`` module,
 read back, and cut into frames; pairs of peaks of the short-time Fourier
-transform, with the time between them, are the time-coded fingerprint.
+transform, with the time between them, are the time-coded fingerprint.  Frames are
+centred on the text's samples, with silence beyond both ends, so that the shortest
+text has three; the padding of the payload isn't part of the sound.
 """
 
 from __future__ import annotations
@@ -78,8 +80,11 @@ def peak_bins(samples: np.ndarray, s: Spectrum) -> np.ndarray:
 
 
 def fingerprint(samples: np.ndarray, s: Spectrum) -> tuple[np.ndarray, np.ndarray]:
-    """Frames and codes of peak pairs: (band, bin) of a peak, (band, bin) ``dt`` frames later, and ``dt``."""
-    peaks = peak_bins(samples, s)
+    """Frames and codes of peak pairs: (band, bin) of a peak, (band, bin) ``dt`` frames later, and ``dt``.  No samples, no pairs."""
+    if not len(samples):
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    silence = s.frame // 2
+    peaks = peak_bins(np.pad(samples, (silence, silence + max(s.frame - len(samples), 0)), constant_values=128), s)
     times, codes = [], []
     for dt in range(1, s.fan + 1):
         if len(peaks) > dt:
@@ -97,7 +102,7 @@ def _stored(text: str | None, s: Spectrum) -> tuple[dict, bytes, np.ndarray, np.
     data = (text or "").encode("utf-8", "surrogatepass")
     stored = to_wav(padded(data), s.rate)
     back = from_wav(stored)
-    t, c = fingerprint(np.frombuffer(back, np.uint8), s)
+    t, c = fingerprint(np.frombuffer(back, np.uint8)[: len(data)], s)
     row = {
         "n_bytes": len(data),
         "payload_bytes": len(back),

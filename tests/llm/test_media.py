@@ -69,3 +69,10 @@ def test_edges(spark, docs):
     row = media.media_digests(spark.createDataFrame([(None, None)], "doc_id bigint, text string")).first()
     assert (row.doc_id, row.n_bytes, row.payload_bytes, row.n_pairs) == (None, 0, 576, 0)
     assert media.media_digests(docs.union(docs)).agg(F.count("feature")).first()[0] == 2 * docs.count()
+
+
+def test_short_texts_have_fingerprints_of_their_own():
+    s, rng = media.Spectrum(), np.random.default_rng(4)
+    assert all(media._stored("x" * n, s)[2].size for n in (1, 10, 287, 288, 575, 576, 577))
+    short = ["".join(rng.choice(list("abcdefghij klmno"), n)) for n in rng.integers(40, 577, 200)]
+    assert len({media._stored(t, s)[3].tobytes() for t in short}) == len(set(short))
