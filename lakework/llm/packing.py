@@ -36,14 +36,14 @@ def default_tokenizer() -> str:
 
 @dataclass(frozen=True)
 class Packing:
-    """``tokenizer`` is a path that executors can read (null: the installed vocabulary's)."""
+    """``tokenizer`` is a path that executors can read (null: the installed vocabulary's); ``query_terms`` limits a seed's terms (null: all)."""
 
     tokenizer: str | None = None
     window: int = 1024
     separator: int = 0
     shard_tokens: int = 2_000_000
     shard_docs: int = 4096
-    query_terms: int = 12
+    query_terms: int | None = None
     place_terms: int = 8
     k1: float = 1.2
     b: float = 0.75
@@ -130,10 +130,10 @@ class Index:
         self.first, self.df = first, df
 
     def neighbours(self, i: int, unused: np.ndarray) -> np.ndarray:
-        """Unused items that share one of item i's weightiest terms, best first (ties: first first)."""
+        """Unused items that share a term with item i, best first (ties: first first), by all its terms unless ``query_terms`` is set."""
         a, b = self.starts[i], self.starts[i + 1]
         worth, at = self.worth[a:b], self.at[a:b]
-        if len(worth) > self.p.query_terms:
+        if self.p.query_terms is not None and len(worth) > self.p.query_terms:
             top = np.argpartition(-worth, self.p.query_terms)[: self.p.query_terms]
             worth, at = worth[top], at[top]
         at = at[worth > 0]

@@ -128,3 +128,18 @@ def test_statistics_are_the_corpus_s(docs, texts, reference):
     assert {t: n for t, n in enumerate(corpus.df.tolist()) if n} == {int(t): sum(t in x for x in items) for t in np.unique(np.concatenate(items))}
     whole, part = packing.Index(items, p), packing.Index(items[:20], p, corpus)
     assert np.allclose(sorted(part.weight), sorted(whole.weight[whole.owner < 20]))
+
+
+def test_production_parameters_score_all_terms():
+    rng = random.Random(13)
+    items = [np.array([rng.randrange(300) for _ in range(rng.randint(30, 200))], "<u4") for _ in range(40)]
+    p = packing.Packing()
+    index, mean = packing.Index(items, p), np.mean([len(x) for x in items])
+    df = {t: sum(t in x for x in items) for t in range(300)}
+    for i in range(40):
+        scores = {}
+        for j, x in enumerate(items):
+            tf = {t: n for t in set(items[i].tolist()) if (n := int((x == t).sum())) and df[t] > 1}
+            scores[j] = sum(np.log(1 + (40 - df[t] + 0.5) / (df[t] + 0.5)) * n * (p.k1 + 1) / (n + p.k1 * (1 - p.b + p.b * len(x) / mean)) for t, n in tf.items())
+        got = index.neighbours(i, np.ones(40, bool))
+        assert got.tolist() == sorted((j for j, s in scores.items() if s > 0), key=lambda j: -scores[j])
