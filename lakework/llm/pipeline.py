@@ -18,7 +18,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Null and empty texts have no words and go; so do other texts under ten words.
     Long texts are judged whole.  Repeated rows are judged alike.  A null language has
-    a reference of its own, or the pooled one if it has little text.
+    a reference of its own; a language with little text has none, and only the base
+    rule judges it.
     """
     return quality.filter_documents(docs)
 

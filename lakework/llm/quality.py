@@ -34,8 +34,10 @@ class QualityRules:
 
     Distances lie in [0, 1].  A document is only judged on a histogram if it has
     the least number of items in it; so short documents are never rejected by
-    divergence.  A language with fewer than ``min_reference_words`` words in the
-    corpus is compared with the pooled reference of all languages.
+    divergence.  Neither is one whose language has no reference: fewer than
+    ``min_reference_words`` words in the corpus or, for character classes, five times
+    as many characters, which also holds where words aren't spaced.  Its distances are
+    null; no other language stands in.
 
     A word distance is an outlier beyond its language's third quartile and
     ``word_fence`` interquartile ranges, of all documents judged on words that pass
@@ -197,11 +199,9 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     sums = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(n_classes)] + [F.sum(F.col("words")[i]).alias(f"w{i}") for i in range(n_words)]
     per_lang = counted.groupBy("lang").agg(F.sum("n_words").alias("n"), *sums)
     per_lang = staged(per_lang, "quality-reference")
-    pooled = per_lang.agg(*(F.sum(c).alias(f"all_{c}") for c in per_lang.columns if c not in ("lang", "n")))
-    enough = F.col("n") >= rules.min_reference_words
-    pick = lambda k, n: F.array(*(F.when(enough, F.col(f"{k}{i}")).otherwise(F.col(f"all_{k}{i}")) for i in range(n)))
-    # one row by construction: an aggregate without keys
-    references = per_lang.join(F.broadcast(pooled), F.lit(True)).select(F.col("lang").alias("ref_lang"), pick("c", n_classes).alias("ref_classes"), pick("w", n_words).alias("ref_words"))
+    enough = {"w": F.col("n") >= rules.min_reference_words, "c": sum((F.col(f"c{i}") for i in range(n_classes)), F.lit(0)) >= 5 * rules.min_reference_words}
+    pick = lambda k, n: F.when(enough[k], F.array(*(F.col(f"{k}{i}") for i in range(n))))
+    references = per_lang.select(F.col("lang").alias("ref_lang"), pick("c", n_classes).alias("ref_classes"), pick("w", n_words).alias("ref_words"))
     references = small_or_plain(references, rules.max_broadcast_languages)
 
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))

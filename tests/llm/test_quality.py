@@ -89,3 +89,12 @@ def test_word_salad_with_normal_characters_goes(spark):
     assert not any(r.base_failed for r in out.values())
     assert all(out[200 + i].class_distance <= quality.QualityRules().max_class_distance and out[200 + i].word_distance <= 0.60 for i in range(8))
     assert not any(out[200 + i].kept for i in range(8)) and sum(out[i].kept for i in range(200)) >= 198
+
+
+def test_a_rare_language_is_not_judged_by_others(spark, texts):
+    letters = "абвгдежзиклмно"
+    rare = " ".join(letters[i % 14] + letters[i * 5 % 13] + letters[i * i % 11] + letters[i // 14 % 14] for i in range(300))
+    english = [(i, t, "en") for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*english, (1000, rare, "ru")], "doc_id bigint, text string, lang string")
+    row = quality.assess(df).where("doc_id = 1000").first()
+    assert not row.base_failed and row.kept and row.class_distance is None and row.word_distance is None
