@@ -3,7 +3,8 @@
 A notice with at most ``k`` errors, cut into ``k + 1`` pieces, has at least one
 piece without an error (pigeonhole).  So exact seeds find every place where a
 notice can stand; the ``regex`` library's bounded-error matching then verifies
-a window around each place and reports the span.
+a window around each place and reports the span.  Errors are allowed only beside
+the words that tell licences apart: ``BSD`` is no misspelt ``MIT``.
 """
 
 from __future__ import annotations
@@ -23,26 +24,57 @@ BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rig
 
 @dataclass(frozen=True)
 class Notice:
-    """A short notice in normal form (lower case, words split by one space)."""
+    """A short notice in normal form (lower case, words split by one space).
+
+    Words between asterisks tell it from other notices and must stand as they are.
+    Each part beside them may have an error for every ``per`` characters.
+    """
 
     label: str
     text: str
-    errors: int
+    per: int = 8
+
+    @property
+    def parts(self) -> list[tuple[str, int | None]]:
+        """(words, allowed errors), in order; null for words that must be exact."""
+        found = [(x.strip(), None if i % 2 else 0) for i, x in enumerate(self.text.split("*"))]
+        return [(x, k if k is None else round(len(x) / self.per)) for x, k in found if x]
+
+    @property
+    def plain(self) -> str:
+        return " ".join(x for x, _ in self.parts)
+
+    @property
+    def errors(self) -> int:
+        return sum(k or 0 for _, k in self.parts)
 
 
 #: Short forms of well-known notices.
 NOTICES = (
-    Notice("apache-2.0", "licensed under the apache license version 2 0", 4),
-    Notice("mit", "released under the mit license", 3),
-    Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 6),
-    Notice("bsd", "redistribution and use in source and binary forms with or without modification", 6),
-    Notice("gpl", "licensed under the gnu general public license", 4),
-    Notice("lgpl", "gnu lesser general public license", 3),
-    Notice("mpl-2.0", "subject to the terms of the mozilla public license", 4),
-    Notice("cc-by", "licensed under a creative commons attribution", 4),
-    Notice("cc-by-nc", "licensed under cc by nc", 2),
-    Notice("cc0", "dedicated to the public domain", 3),
-    Notice("reserved", "all rights reserved", 2),
+    Notice("apache-2.0", "under the *apache* license *version 2 0*"),
+    Notice("apache-2.0", "under the *apache* license *2 0*"),
+    Notice("mit", "under the *mit* license"),
+    Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 12),
+    Notice("isc", "under the *isc* license"),
+    Notice("isc", "permission to use copy modify and or distribute this *software for any purpose*", 12),
+    Notice("bsd", "under the *bsd* license"),
+    Notice("bsd", "redistribution and use in source and binary forms with or without modification", 12),
+    Notice("gpl", "under the *gpl* license"),
+    Notice("gpl", "*gnu general public* license"),
+    Notice("lgpl", "under the *lgpl* license"),
+    Notice("lgpl", "*gnu lesser* general public license"),
+    Notice("agpl", "under the *agpl* license"),
+    Notice("agpl", "*gnu affero* general public license"),
+    Notice("mpl-2.0", "*mozilla* public license"),
+    Notice("cc-by", "creative commons *attribution*"),
+    *(
+        Notice(f"cc-by-{'-'.join(short)}", f"{before} *{' '.join(words)}*")
+        for short, full in ((("sa",), ("sharealike",)), (("nc",), ("noncommercial",)), (("nd",), ("noderivatives",)), (("nc", "sa"), ("noncommercial", "sharealike")), (("nc", "nd"), ("noncommercial", "noderivatives")))
+        for before, words in (("*cc by*", short), ("creative commons *attribution*", full))
+    ),
+    Notice("cc0", "*cc0*"),
+    Notice("public-domain", "dedicated to the *public domain*"),
+    Notice("reserved", "all *rights reserved*", 3),
 )
 
 SCAN = T.StructType(
@@ -69,17 +101,24 @@ def normal_form(text: str | None) -> tuple[bytes, int]:
 
 def seeds(notice: Notice) -> list[tuple[int, bytes]]:
     """``errors + 1`` pieces that make up the notice, with their offsets."""
-    data, k = notice.text.encode(), notice.errors + 1
+    data, k = notice.plain.encode(), notice.errors + 1
     cuts = [len(data) * i // k for i in range(k + 1)]
     return [(a, data[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def fuzzy_pattern(notice: Notice):
+    """The notice with a space before it and one ahead; each part with its own bound on errors."""
+    escaped = lambda x: regex.escape(x, special_only=True)
+    parts = [escaped(x) if not k else f"(?:{escaped(x)}){{e<={k}}}" for x, k in notice.parts]
+    return regex.compile(f" {' '.join(parts)}(?= )".encode(), regex.ENHANCEMATCH)
+
+
 class Scanner:
     """Finds notices in normal forms.  ``exhaustive`` skips the seeds: slow, for tests."""
 
     def __init__(self, notices: tuple[Notice, ...] = NOTICES, exhaustive: bool = False):
         self.exhaustive = exhaustive
-        self.notices = [(n, seeds(n), regex.compile(rb" (?:%s){e<=%d}(?= )" % (regex.escape(n.text, special_only=True).encode(), n.errors), regex.ENHANCEMATCH)) for n in notices]
+        self.notices = [(n, n.plain, n.errors, seeds(n), [f" {x} ".encode() for x, k in n.parts if k is None], fuzzy_pattern(n)) for n in notices]
 
     @staticmethod
     def _places(data: bytes, pieces: list[tuple[int, bytes]], size: int, errors: int) -> list[list[int]]:
@@ -100,19 +139,20 @@ class Scanner:
                 windows.append([a, b])
         return windows
 
-    def _candidates(self, data: bytes, pieces, notice: Notice) -> list[list[int]]:
-        if self.exhaustive:
-            return [[0, len(data)]]
-        return self._places(data, pieces, len(notice.text), notice.errors)
-
     def spans(self, data: bytes) -> list[tuple[str, int, int, int]]:
-        """(label, start byte, end byte, errors), leftmost per notice, not overlapping per notice."""
-        out = []
-        for notice, pieces, pattern in self.notices:
-            for a, b in self._candidates(data, pieces, notice):
+        """(label, start byte, end byte, errors), leftmost per notice, not overlapping per notice.
+
+        A match inside a longer match is part of that notice's words, so it isn't reported.
+        """
+        out = set()
+        for notice, plain, errors, pieces, exact, pattern in self.notices:
+            if not self.exhaustive and any(x not in data for x in exact):
+                continue
+            for a, b in [[0, len(data)]] if self.exhaustive else self._places(data, pieces, len(plain), errors):
                 for m in pattern.finditer(data, a, min(b, len(data))):
-                    out.append((notice.label, m.start() + 1, m.end(), sum(m.fuzzy_counts)))
-        return sorted(set(out), key=lambda x: (x[1], x[2], x[0]))
+                    out.add((notice.label, m.start() + 1, m.end(), sum(m.fuzzy_counts)))
+        inner = lambda x: any(y[1] <= x[1] and x[2] <= y[2] and y[2] - y[1] > x[2] - x[1] for y in out)
+        return sorted((x for x in out if not inner(x)), key=lambda x: (x[1], x[2], x[0]))
 
 
 def scan_text(text: str | None, scanner: Scanner) -> dict:
@@ -146,7 +186,7 @@ def scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, keep: tuple[str
     A null or empty text has no words, no labels and a score of 0.  Repeated rows
     give repeated results.  ``spans`` counts words from 0, its end is exclusive.
     A label of several notices is reported once; spans of different notices may overlap.
-    No shuffle: each row is scanned where it is read.
+    Long texts are scanned whole; windows are cut around seeds only.  No shuffle: each row is scanned where it is read.
     """
     made: list[Scanner] = []
 
