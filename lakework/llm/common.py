@@ -49,6 +49,9 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
+_SLICE_BYTES = 8 << 20
+
+
 def arrow_column(fn: Callable[[list], list], returns: T.DataType, *columns: Column) -> Column:
     """A column computed by ``fn`` from lists of the given columns' values, batch by batch.
 
@@ -60,7 +63,11 @@ def arrow_column(fn: Callable[[list], list], returns: T.DataType, *columns: Colu
 
     @F.arrow_udf(returns)
     def apply(*arrays: pa.Array) -> pa.Array:
-        return pa.array(fn(*(a.to_pylist() for a in arrays)), type=arrow_type)
+        # long texts become Python objects a few megabytes at a time, whatever the batch holds
+        n, size = len(arrays[0]), sum(a.nbytes for a in arrays)
+        step = max(1, n * _SLICE_BYTES // max(size, 1))
+        parts = [pa.array(fn(*(a.slice(i, step).to_pylist() for a in arrays)), type=arrow_type) for i in range(0, max(n, 1), step)]
+        return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
     return apply(*columns)
 
@@ -71,12 +78,19 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def small_or_plain(df: DataFrame, most: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows, else as it is.
+#: What a broadcast side may weigh; rows count with this many bytes besides their texts and arrays.
+BROADCAST_BYTES, ROW_BYTES = 48 << 20, 64
+
 
-    Only ``most + 1`` rows are counted, so the check costs the same at any size.
+def small_or_plain(df: DataFrame, most: int, *sized: str, bytes_: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most`` rows and weighs at most ``bytes_``, else as it is.
+
+    ``sized`` are the columns (strings, binaries) whose lengths vary.  Only ``most + 1``
+    rows are looked at, so the check costs the same at any size.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in sized), F.lit(ROW_BYTES).cast("long"))
+    n, weight = df.limit(most + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= most and weight <= bytes_ else df
 
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -114,8 +128,6 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mixed((prefix[end] - prefix[start]) * powers(len(prefix))[1][start])
 
 
-
-
 def window_hashes(prefix: np.ndarray, size: int) -> np.ndarray:
     """``range_hash`` of all substrings of one size, in order."""
     n = len(prefix) - size

@@ -2,9 +2,11 @@
 
 The payload is written losslessly as 8-bit mono samples by the ``wave`` module,
 read back, and cut into frames; pairs of peaks of the short-time Fourier
-transform, with the time between them, are the time-coded fingerprint.  Frames are
-centred on the text's samples, with silence beyond both ends, so that the shortest
-text has three; the padding of the payload isn't part of the sound.
+transform, with the time between them, are the time-coded fingerprint.  A peak is the
+strongest of a band's bins that are no weaker than the bins beside them and louder than
+what rounding to 8 bits makes; silence and steady levels have none.  Frames are
+centred on the text's samples, with silence beyond both ends, so that two hear even the
+shortest text; the padding of the payload isn't part of the sound.
 """
 
 from __future__ import annotations
@@ -25,15 +27,24 @@ from lakework.llm.common import arrow_column
 
 @dataclass(frozen=True)
 class Spectrum:
-    """Frames of ``frame`` samples, one every ``hop``; ``fan`` later peaks are paired with each peak."""
+    """Frames of ``frame`` samples, one every ``hop``; each peak is paired with one of each of ``fan`` later frames.
+
+    ``level`` is the least magnitude of a peak: rounding to 8 bits makes some
+    sqrt(3 / 8 * frame / 12) under a Hann window.  A code has 2 bits for the time and 10 for a bin.
+    """
 
     rate: int = 8000
     frame: int = 576
-    hop: int = 288
+    hop: int = 144
     bands: int = 4
     fan: int = 2
+    level: float = 4.5
     block: int = 4096
 
+    def __post_init__(self):
+        if not 1 <= self.fan <= 3 or not 4 <= self.frame <= 2046 or not 1 <= self.hop <= self.frame or not 1 <= self.bands <= self.frame // 4:
+            raise ValueError(f"codes have no room for {self}")
+
 
 MEDIA = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_bytes", "payload_bytes")]
@@ -65,35 +76,40 @@ def from_wav(stored: bytes) -> bytes:
 
 
 def peak_bins(samples: np.ndarray, s: Spectrum) -> np.ndarray:
-    """For each frame and band the bin of the largest magnitude (the lowest of several), in blocks of frames."""
+    """For each frame and band the bin of its peak, 0 where it has none, in blocks of frames."""
     n = (len(samples) - s.frame) // s.hop + 1
     window = np.hanning(s.frame).astype(np.float32)
     edges = np.linspace(1, s.frame // 2 + 1, s.bands + 1).astype(int)
     out = np.empty((n, s.bands), np.int32)
     frames = np.lib.stride_tricks.sliding_window_view(samples, s.frame)[:: s.hop]
     for a in range(0, n, s.block):
-        part = np.abs(np.fft.rfft((frames[a : a + s.block].astype(np.float32) - 128) * window, axis=1))
+        # rounding makes equal magnitudes equal whatever block a frame falls in
+        part = np.round(np.abs(np.fft.rfft((frames[a : a + s.block].astype(np.float32) - 128) * window, axis=1)), 2)
+        above = np.pad(part, ((0, 0), (0, 1)))[:, 1:]
+        peak = np.where((part >= s.level) & (part >= above), part, 0)
+        peak[:, 1:][part[:, 1:] < part[:, :-1]] = 0
         for b, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
-            # rounding makes equal magnitudes equal whatever block a frame falls in
-            out[a : a + s.block, b] = lo + np.argmax(np.round(part[:, lo:hi], 2), axis=1)
+            best = np.argmax(peak[:, lo:hi], axis=1)  # the lowest of several
+            out[a : a + s.block, b] = np.where(peak[np.arange(len(peak)), lo + best] > 0, lo + best, 0)
     return out
 
 
 def fingerprint(samples: np.ndarray, s: Spectrum) -> tuple[np.ndarray, np.ndarray]:
-    """Frames and codes of peak pairs: (band, bin) of a peak, (band, bin) ``dt`` frames later, and ``dt``.  No samples, no pairs."""
+    """Frames and codes of peak pairs: a peak's bin, the bin of one ``dt`` frames later (``dt`` bands up), and ``dt``.
+
+    No samples, no pairs; a sound of a dozen samples may have too flat a spectrum for any.
+    """
     if not len(samples):
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
     silence = s.frame // 2
     peaks = peak_bins(np.pad(samples, (silence, silence + max(s.frame - len(samples), 0)), constant_values=128), s)
-    times, codes = [], []
-    for dt in range(1, s.fan + 1):
-        if len(peaks) > dt:
-            first, later = peaks[:-dt], np.roll(peaks[dt:], -dt, axis=1)
-            codes.append(((first.astype(np.int32) << 12) | (later << 2) | dt).ravel())
-            times.append(np.repeat(np.arange(len(first), dtype=np.int32), s.bands))
-    if not codes:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    t, c = np.concatenate(times), np.concatenate(codes)
+    times, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for dt in range(1, min(s.fan, len(peaks) - 1) + 1):
+        first, later = peaks[:-dt], np.roll(peaks[dt:], -dt, axis=1)
+        frame, band = np.nonzero((first > 0) & (later > 0))
+        codes.append((first[frame, band] << 12) | (later[frame, band] << 2) | dt)
+        times.append(frame)
+    t, c = np.concatenate(times).astype(np.int32), np.concatenate(codes)
     order = np.lexsort((c, t))
     return t[order], c[order]
 
@@ -123,7 +139,8 @@ def _run(docs: DataFrame, keep: tuple[str, ...], one, returns: T.StructType) ->
 def with_media(docs: DataFrame, spectrum: Spectrum = Spectrum(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: the WAV file itself (``media``), its digests, and the fingerprint as an array of (frame, code).
 
-    A null text counts as empty and gives one padded unit.  Equal texts give equal
+    A null text counts as empty and gives one padded unit.  Long texts are transformed
+    whole, block by block.  Equal texts give equal
     values; repeated rows give repeated results.  Each row is handled where it is read.
     """
 
