@@ -52,6 +52,14 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
 _SLICE_BYTES = 8 << 20
 
 
+def small_slices(*arrays: pa.Array) -> Iterator[list[pa.Array]]:
+    """The arrays in slices of some megabytes, at least one, so that long texts don't become Python objects all at once."""
+    n, size = len(arrays[0]), sum(a.nbytes for a in arrays)
+    step = max(1, n * _SLICE_BYTES // max(size, 1))
+    for i in range(0, max(n, 1), step):
+        yield [a.slice(i, step) for a in arrays]
+
+
 def arrow_column(fn: Callable[[list], list], returns: T.DataType, *columns: Column) -> Column:
     """A column computed by ``fn`` from lists of the given columns' values, batch by batch.
 
@@ -63,10 +71,7 @@ def arrow_column(fn: Callable[[list], list], returns: T.DataType, *columns: Colu
 
     @F.arrow_udf(returns)
     def apply(*arrays: pa.Array) -> pa.Array:
-        # long texts become Python objects a few megabytes at a time, whatever the batch holds
-        n, size = len(arrays[0]), sum(a.nbytes for a in arrays)
-        step = max(1, n * _SLICE_BYTES // max(size, 1))
-        parts = [pa.array(fn(*(a.slice(i, step).to_pylist() for a in arrays)), type=arrow_type) for i in range(0, max(n, 1), step)]
+        parts = [pa.array(fn(*(a.to_pylist() for a in part)), type=arrow_type) for part in small_slices(*arrays)]
         return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
     return apply(*columns)

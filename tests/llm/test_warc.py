@@ -3,6 +3,8 @@ import gzip
 import hashlib
 import io
 import random
+import uuid
+from datetime import UTC, datetime
 from pathlib import Path
 
 import pytest
@@ -39,19 +41,27 @@ def test_round_trip_equals_brute_force(spark, least):
 
 
 def test_archives_on_disk(spark):
-    rows = pages(40)
+    rows = pages(40) + [(7, "http://again", "p1")] * 3
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(2)
+    before = datetime.now(UTC).replace(microsecond=0)
     archives = warc.archive_pages(df).collect()
-    assert sum(a.records for a in archives) == 40
+    assert sum(a.records for a in archives) == len(rows)
     records = [warc.parse_record(m) for a in archives for m in warc.read_members(io.BytesIO(Path(a.archive.removeprefix("file://")).read_bytes()), 7)]
-    by_id, html = {r["page_id"]: r for r in records}, {i: (h or "").encode() for i, _, h in rows}
-    assert all(r["payload"] == html[i] for i, r in by_id.items() if r["record_type"] == "response")
-    assert all(html[r["refers_to"]] == html[i] and by_id[r["refers_to"]]["record_type"] == "response" for i, r in by_id.items() if r["record_type"] == "revisit")
+    by_digest = {r["payload_digest"]: r for r in records if r["record_type"] == "response"}
+    digest = lambda h: base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()
+    assert sorted((r["page_id"], r["payload_digest"]) for r in records) == sorted((i, digest(h)) for i, _, h in rows)
+    assert all(digest(r["payload"].decode()) == r["payload_digest"] for r in by_digest.values())
+    assert len({r["record_id"] for r in records}) == len(rows)
+    for r in records:
+        assert before <= datetime.fromisoformat(r["fields"]["WARC-Date"]) <= datetime.now(UTC)
+        if r["record_type"] == "revisit":
+            original = by_digest[r["payload_digest"]]
+            assert r["payload"] is None and r["fields"]["WARC-Refers-To-Target-URI"] == original["url"] and r["fields"]["WARC-Refers-To-Date"] == original["fields"]["WARC-Date"]
 
 
 def test_records_are_checked():
-    sha1 = hashlib.sha1(b"abc").hexdigest()
-    member = gzip.decompress(warc.record(1, "u", b"abc", sha1, None))
+    sha1 = hashlib.sha1(b"abc").digest()
+    member = gzip.decompress(warc.record(1, "u", b"abc", sha1, uuid.uuid4(), "2020-02-02T02:02:02Z"))
     assert warc.parse_record(member)["payload"] == b"abc"
     with pytest.raises(ValueError, match="digest"):
         warc.parse_record(member.replace(b"abc", b"abd"))
@@ -59,7 +69,22 @@ def test_records_are_checked():
         warc.parse_record(member[:-1])
     with pytest.raises(ValueError, match="not a WARC"):
         warc.parse_record(b"HTTP/1.1 200\r\n\r\n")
-    assert warc.record(1, "u", b"abc", sha1, None) == warc.record(1, "u", b"abc", sha1, None)
+
+
+def test_revisits_are_resolved_by_digest(spark):
+    """Headers alone say what a revisit refers to, in whatever archive its original is."""
+    rows = [(9, "u", 3, "D", "response", "a"), (2, "v", None, "D", "revisit", "b"), (4, "w", None, "lost", "revisit", "c"), (5, "x", 1, "E", "response", "d"), (6, "y", 1, "E", "response", "e")]
+    for most in (0, 100):
+        got = warc.resolved(spark.createDataFrame(rows, warc.HEADERS), most)
+        assert as_rows(got, "page_id", "payload_bytes", "refers_to") == as_rows(spark.createDataFrame([(9, 3, None), (2, 3, 9), (4, None, None), (5, 1, None), (6, 1, None)], "a int, b int, c int"))
+
+
+def test_a_payload_of_nine_tenths_of_the_pages(spark):
+    rows = [(i, f"u{i}", "same" if i % 10 else f"p{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(8)
+    assert as_rows(warc.round_trip(df), *COLUMNS) == brute(rows)
+    joined = as_rows(warc.with_revisits(df, max_broadcast=0), "page_id", "revisit", "original_url")
+    assert joined == as_rows(warc.with_revisits(df), "page_id", "revisit", "original_url") and sum(r[1] for r in joined) == 359
 
 
 def test_edges(spark):
