@@ -62,13 +62,15 @@ FEATURES = T.StructType(
 )
 
 _SYMBOLS = b"#*$%&|<>"
+_STOPS = b".,;:!?'\"()-"
+_IS_STOP = np.isin(np.arange(256), list(_STOPS))
 _CLASS_BYTES = {
     "lower": bytes(range(97, 123)),
     "upper": bytes(range(65, 91)),
     "digit": bytes(range(48, 58)),
     "space": b" \t\r\x0b\x0c",
     "newline": b"\n",
-    "stop": b".,;:!?'\"()-",
+    "stop": _STOPS,
     "symbol": _SYMBOLS,
 }
 
@@ -83,10 +85,28 @@ def _byte_classes() -> list[int]:
 
 def _word_hashes(data: bytes) -> np.ndarray:
     start, end = word_bounds(data)
+    return _range_hashes(data, start, end)
+
+
+def _range_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     prefix = prefix_hash(data)
     return mixed((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(np.uint64))
 
 
+def _bare_word_hashes(data: bytes) -> np.ndarray:
+    """Hashes of the words in lower case (A-Z) and without stops at their ends; words of stops only are left out."""
+    start, end = word_bounds(data)
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    at = np.arange(len(data))
+    kept = ~_IS_STOP[np.frombuffer(data, np.uint8)]
+    following = np.minimum.accumulate(np.where(kept, at, len(data))[::-1])[::-1]
+    preceding = np.maximum.accumulate(np.where(kept, at, -1))
+    start, end = following[start], preceding[end - 1] + 1
+    some = start < end
+    return _range_hashes(data.lower(), start[some], end[some])
+
+
 def common_hashes(words: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the common words, and each one's place in the histogram."""
     hashes = np.array([_word_hashes(w.encode())[0] for w in words], np.uint64)
@@ -113,7 +133,11 @@ def _repeated_words(word: np.ndarray, size: int = 5) -> int:
 
 
 def text_features(text: str | None, common: tuple[np.ndarray, np.ndarray]) -> dict:
-    """The counts of one whole text; ``common`` is ``common_hashes``.  Null counts as empty."""
+    """The counts of one whole text; ``common`` is ``common_hashes``.  Null counts as empty.
+
+    For the histogram of common words, words are in lower case and bare of stops, so
+    that ``The`` and ``the,`` count as ``the``.  The base counts take words as they stand.
+    """
     data = (text or "").encode("utf-8", "surrogatepass")
     word = _word_hashes(data)
     per_byte = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
@@ -130,8 +154,9 @@ def text_features(text: str | None, common: tuple[np.ndarray, np.ndarray]) -> di
     hashes, places = common
     counts = np.zeros(len(hashes) + 1, np.int64)
     if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, word), len(hashes) - 1)
-        np.add.at(counts, places[at[hashes[at] == word]], 1)
+        bare = _bare_word_hashes(data)
+        at = np.minimum(np.searchsorted(hashes, bare), len(hashes) - 1)
+        counts[:-1] = np.bincount(places[at[hashes[at] == bare]], minlength=len(hashes))
     counts[-1] = len(word) - counts.sum()
     return {
         "n_words": len(word),
@@ -179,11 +204,11 @@ def _word_cuts(judged: DataFrame, rules: QualityRules) -> DataFrame:
 
 
 def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per document: ``keep``'s columns, the base counts, distances, verdicts.
+    """One row per document: ``keep``'s columns, the base counts, verdicts, distances (to six digits).
 
     Nulls: a null text counts as empty (so it fails the base rule); a null
-    language is a language of its own.  Repeated rows give repeated results.  An
-    empty table gives an empty result.
+    language is a language of its own.  Long texts are counted whole.  Repeated rows
+    give repeated results.  An empty table gives an empty result.
 
     Texts are read once: counts are staged as narrow rows, the references are
     sums of them per language, and at most one row per language is joined back; so
@@ -218,7 +243,7 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     far = lambda name, most: F.coalesce(F.col(name) > most, F.lit(False))
     judged = judged.withColumn("diverges", far("class_distance", rules.max_class_distance) | far("word_distance", F.coalesce("word_cut", F.lit(rules.max_word_distance))))
     ids = [F.col("id")[c].alias(c) for c in keep]
-    return judged.select(*ids, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.col("diverges")).alias("kept"), "class_distance", "word_distance")
+    return judged.select(*ids, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~F.col("diverges")).alias("kept"), *(F.round(c, 6).alias(c) for c in ("class_distance", "word_distance")))
 
 
 def filter_documents(docs: DataFrame, rules: QualityRules = QualityRules(), language: str = "lang") -> DataFrame:

@@ -72,6 +72,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+_QUALITY = r"""
+WITH docs AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM docs, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS i)
+), repeats AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows), LATERAL (SELECT unnest(range(0, 5)) AS k) WHERE n > 1 GROUP BY doc_id
+), base AS (
+  SELECT d.doc_id, d.lang, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, length(t) AS n_chars
+  FROM docs d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base
+), classes(class, pattern) AS (
+  VALUES ('lower', '[^a-z]'), ('upper', '[^A-Z]'), ('digit', '[^0-9]'), ('space', '[^ \t\r\x0B\x0C]'), ('newline', '[^\n]'), ('stop', '[^.,;:!?''"()-]'), ('symbol', '[^#*$%&|<>]'), ('non_ascii', '[\x00-\x7F]'), ('ascii', '[^\x00-\x7F]')
+), counted AS (
+  SELECT doc_id, lang, class, length(regexp_replace(t, pattern, '', 'g')) AS n FROM docs, classes
+), bins AS (
+  SELECT doc_id, lang, 'c' AS kind, class AS bin, n FROM counted WHERE class <> 'ascii'
+  UNION ALL
+  SELECT doc_id, lang, 'c', 'other_ascii', 2 * sum(n) FILTER (WHERE class = 'ascii') - sum(n) FILTER (WHERE class <> 'non_ascii') FROM counted GROUP BY doc_id, lang
+  UNION ALL
+  SELECT doc_id, lang, 'w', CASE WHEN list_contains([COMMON], bare) THEN bare ELSE '' END, count(*)
+  FROM (SELECT doc_id, lang, trim(translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?''"()-') AS bare FROM docs) GROUP BY ALL
+), reference AS (
+  SELECT lang, kind, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, kind) AS total FROM bins GROUP BY lang, kind, bin
+  QUALIFY total >= CASE kind WHEN 'w' THEN 10000 ELSE 50000 END
+), shares AS (
+  SELECT b.doc_id, r.kind, coalesce(x.n, 0) / b.total AS p, r.n / r.total AS q
+  FROM (SELECT doc_id, lang, kind, sum(n) AS total FROM bins GROUP BY ALL HAVING sum(n) > 0) b
+  JOIN reference r ON b.lang IS NOT DISTINCT FROM r.lang AND b.kind = r.kind
+  LEFT JOIN bins x ON x.doc_id = b.doc_id AND x.kind = r.kind AND x.bin = r.bin
+), distances AS (
+  SELECT doc_id, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d FROM shares GROUP BY ALL
+), measured AS (
+  SELECT j.*, CASE WHEN n_chars >= 200 THEN c.d END AS cd, CASE WHEN n_words >= 100 THEN w.d END AS wd
+  FROM judged j LEFT JOIN distances c ON c.doc_id = j.doc_id AND c.kind = 'c' LEFT JOIN distances w ON w.doc_id = j.doc_id AND w.kind = 'w'
+), cuts AS (
+  SELECT lang, least(0.5, greatest(0.25, q3 + 1.5 * (q3 - q1))) AS word_cut
+  FROM (SELECT lang, quantile_disc(floor(wd * 10000), 0.25) / 10000 AS q1, quantile_disc(floor(wd * 10000), 0.75) / 10000 AS q3 FROM measured WHERE NOT base_failed AND wd IS NOT NULL GROUP BY lang)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(cd > 0.3, false) AND NOT coalesce(wd > coalesce(word_cut, 0.5), false) AS kept, round(cd, 6) AS class_distance, round(wd, 6) AS word_distance
+FROM measured m LEFT JOIN cuts c ON m.lang IS NOT DISTINCT FROM c.lang
+""".replace("COMMON", ", ".join(f"'{w}'" for w in dict.fromkeys(quality.COMMON_WORDS)))
+
 _MIX = """
 WITH sizes AS (
   SELECT source, count(*) AS n_docs, sqrt(count(*)::DOUBLE) AS weight FROM documents GROUP BY source
@@ -145,6 +195,7 @@ FROM bits
 """
 
 ORACLES: dict[str, str] = {
+    "op1_quality_divergence": _QUALITY,
     "op2_hyperminhash_dedup": _DEDUP,
     "op6_url_expressions": _URLS,
     "op7_poisson_mixing": _MIX,

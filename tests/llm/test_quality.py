@@ -38,6 +38,14 @@ def test_whitespace_is_ascii_only():
     assert (f["n_words"], f["word_chars"]) == (3, 9)
 
 
+def test_common_words_are_folded_and_bare():
+    common = quality.common_hashes(("the", "of", "and", "to", "in"))
+    count = lambda t: quality.text_features(t, common)["words"]
+    assert count("The THE of, and. (To) in!") == count("the the of and to in") == [2, 1, 1, 1, 1, 0]
+    assert count("ünd -- ... the-of the") == [1, 0, 0, 0, 0, 4]
+    assert count("...") == [0, 0, 0, 0, 0, 1] and count("") == [0] * 6
+
+
 def test_junk_goes_and_prose_stays(spark, docs, texts):
     junk = spark.createDataFrame([(1000 + i, "### " + "<b>%%</b> |*| $$$ && " * 60 + str(i), "en") for i in range(3)], "doc_id bigint, text string, lang string")
     out = {r.doc_id: r for r in quality.assess(docs.select("doc_id", "text", "lang").union(junk), quality.QualityRules(min_reference_words=1000)).collect()}
