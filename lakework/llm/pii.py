@@ -1,8 +1,8 @@
 """Personal data by exact base patterns and a semi-Markov conditional random field.
 
-The field scores whole segments of tokens (shape, checksum, length, the word
-before), and a dynamic program over segments of bounded length chooses their
-boundaries and types together.  Its weights are learnt once, on the driver,
+The field scores whole segments of tokens (shape, checksum, length, what stands
+before and after), and a dynamic program over segments of bounded length chooses
+their boundaries and types together.  Its weights are learnt once, on the driver,
 from sentences that this module generates; nothing is downloaded.
 """
 
@@ -21,13 +21,13 @@ from pyspark.sql import types as T
 
 from lakework.llm.common import arrow_column
 
-#: Kinds in the order of the spans' listing; the field adds the last two and what the base patterns miss.
-KINDS = ("email", "ip", "card", "phone", "national_id", "secret")
+#: Kinds in the order of the spans' listing; the field adds the last three and what the base patterns miss.
+KINDS = ("email", "ip", "card", "phone", "national_id", "secret", "iban")
 BASE_KINDS = KINDS[:4]
 LABELS = ("O", *KINDS)
 MAX_TOKENS = 12
-#: Longer sentences are decoded in windows of so many tokens.
-WINDOW_TOKENS = 4000
+#: So many tokens before an entity's first may count for its features.
+BEFORE = 4
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_BEFORE = re.compile(r"[A-Za-z0-9._%+-]")
@@ -35,7 +35,8 @@ _LOCAL_BEFORE = re.compile(r"[A-Za-z0-9._%+-]")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_MAYBE = re.compile(r"[0-9@]")
+#: An entity has a digit or an ``@``, or is what a word for secrets is set to.
+_MAYBE = re.compile(r"""[0-9@]|(?i:token|password|passwd|pwd|secret|key)["']?[ \t]*[:=]""")
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 
 
@@ -79,9 +80,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 _CONTEXT = {
     **dict.fromkeys(("token", "password", "passwd", "secret", "key", "apikey", "pwd"), "secret"),
-    **dict.fromkeys(("tel", "phone", "call", "mobile", "fax"), "phone"),
+    **dict.fromkeys(("tel", "phone", "call", "mobile", "fax", "telefon", "tél", "teléfono"), "phone"),
     **dict.fromkeys(("card", "visa", "mastercard", "amex"), "card"),
     **dict.fromkeys(("ssn", "social", "insurance", "passport"), "id"),
+    **dict.fromkeys(("iban", "account", "konto"), "iban"),
     **dict.fromkeys(("mail", "email", "contact"), "email"),
     **dict.fromkeys(("version", "v", "page", "section", "no", "order", "year"), "number"),
 }
@@ -91,52 +93,87 @@ _SHAPES = (
     ("plus_phone", re.compile(r"\+\d{1,3}([ .-]?\(?\d{2,4}\)?){2,4}")),
     ("paren_phone", re.compile(r"\(\d{3}\) ?\d{3}[ .-]\d{4}")),
     ("dash_phone", re.compile(r"\d{3}[-.]\d{3}[-.]\d{4}")),
-    ("ssn", re.compile(r"\d{3}-\d{2}-\d{4}")),
+    ("home_phone", re.compile(r"0\d{1,4}[/-]\d{5,8}|0\d{2,4} \d{5,8}|0\d([ .]\d\d){4}|0\d{2,4} \d{3,4} \d{3,4}")),
+    ("ssn", re.compile(r"\d{3}([- ])\d{2}\1\d{4}")),
+    ("iban", re.compile(r"[A-Z]{2}\d\d( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?")),
     ("hex", re.compile(r"(?=[0-9a-f]*\d)(?=[0-9a-f]*[a-f])[0-9a-f]{16,}")),
     ("key", re.compile(r"(?=[A-Z0-9]*\d)(?=[A-Z]{2})[A-Z0-9]{16,}")),
+    ("mixed_key", re.compile(r"(?=\w*\d)(?=\w*[a-z])(?=\w*[A-Z])([A-Za-z]{2,6}[_-]){0,3}[A-Za-z0-9]{16,}")),
     ("groups", re.compile(r"\d{4}([ -]?\d{4}){2}[ -]?\d{1,7}|\d{13,19}")),
     ("date", re.compile(r"\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{2,4}")),
     ("decimal", re.compile(r"\d+\.\d+")),
 )
 _EDGE = frozenset("+(")
+_SIDES = {"": "space", " ": "space", "\t": "space", "\n": "space", '"': "quote", "'": "quote", "`": "quote", **dict.fromkeys(".,;:!?)", "stop"), "=": "set"}
+
+
+def _iban_sum(span: str) -> bool:
+    """ISO 7064: the remainder of the rearranged number is 1."""
+    s = span.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
 class Sentence:
-    """Tokens of a piece of text, and the segments that may be entities, with their features."""
+    """Tokens of a piece of a line, and the segments that may be entities, with their features."""
 
     def __init__(self, text: str, tokens: list[tuple[int, int]], barred: frozenset[int] = frozenset()):
-        self.text, self.tokens = text, tokens
-        words = [text[a:b] for a, b in tokens]
-        has_digit = [any("0" <= c <= "9" for c in w) for w in words]
-        useful = [d or w == "@" for d, w in zip(has_digit, words, strict=True)]
-        #: segments[i]: (end, features) of entity candidates that start at token i
-        self.segments: list[list[tuple[int, tuple[str, ...]]]] = [[] for _ in tokens]
-        self.outside: list[tuple[str, ...]] = []
-        for i, w in enumerate(words):
-            self.outside.append(("o:digits" if has_digit[i] else "o:word" if w[0].isalnum() else "o:mark", f"o:long{min(len(w) // 8, 3)}{has_digit[i]}"))
-            if i in barred or not (w[0].isalnum() or w in _EDGE):
-                continue
-            context = self._context(words, i)
-            any_useful = False
-            for j in range(i, min(i + MAX_TOKENS, len(words))):
-                if j in barred or "\n" in text[tokens[j - 1][1] : tokens[j][0]] * (j > i):
+        self.text, self.tokens, self.barred = text, tokens, barred
+        self.words = [text[a:b] for a, b in tokens]
+        self.has_digit = [any("0" <= c <= "9" for c in w) for w in self.words]
+        self.set_by = [self._set_by(i) for i in range(len(tokens))]
+        #: an entity has at least one of these tokens
+        self.useful = [d or w == "@" or by is not None for d, w, by in zip(self.has_digit, self.words, self.set_by, strict=True)]
+
+    def _set_by(self, i: int) -> str | None:
+        """How a word for secrets is set to what starts at token i (``=`` or ``:``, with a space, with a quote), or null."""
+        words, at = self.words, i - 1
+        if not words[i][0].isalnum() or at < 1:
+            return None
+        quoted = words[at] in "\"'"
+        at -= quoted
+        if at < 1 or words[at] not in "=:":
+            return None
+        name = at - 1 - (words[at - 1] in "\"'")
+        if name < 0 or _CONTEXT.get(words[name].lower()) != "secret":
+            return None
+        return f"{words[at]}{' ' if self.text[self.tokens[at][1]] in ' \t' else ''}{'q' if quoted else ''}"
+
+    def outside(self, i: int) -> tuple[str, ...]:
+        """Features of token i as no part of an entity."""
+        w = self.words[i]
+        return "o:digits" if self.has_digit[i] else "o:word" if w[0].isalnum() else "o:mark", f"o:long{min(len(w) // 8, 3)}{self.has_digit[i]}"
+
+    def segments(self, i: int) -> list[tuple[int, tuple[str, ...]]]:
+        """(end, features) of the entity candidates that start at token i."""
+        words, tokens, out = self.words, self.tokens, []
+        if i in self.barred or not (words[i][0].isalnum() or words[i] in _EDGE):
+            return out
+        any_useful, context = False, None
+        for j in range(i, min(i + MAX_TOKENS, len(words))):
+            if j in self.barred or "\n" in self.text[tokens[j - 1][1] : tokens[j][0]] * (j > i):
+                break
+            any_useful = any_useful or self.useful[j]
+            if any_useful and words[j][0].isalnum():
+                span = self.text[tokens[i][0] : tokens[j][1]]
+                if j > i and span.count(" ") > 5:
                     break
-                any_useful = any_useful or useful[j]
-                if any_useful and words[j][0].isalnum():
-                    span = text[tokens[i][0] : tokens[j][1]]
-                    if j > i and span.count(" ") > 5:
-                        break
-                    self.segments[i].append((j + 1, self._features(span, context)))
-
-    @staticmethod
-    def _context(words: list[str], i: int) -> str:
-        for w in reversed(words[max(0, i - 3) : i]):
+                context = context or self._context(i)
+                out.append((j + 1, self._features(span, i, j, context)))
+        return out
+
+    def remembered(self) -> Sentence:
+        """The sentence with all its candidates in memory, for training."""
+        found = [self.segments(i) for i in range(len(self.tokens))]
+        self.segments = found.__getitem__
+        return self
+
+    def _context(self, i: int) -> str:
+        for w in reversed(self.words[max(0, i - BEFORE + 1) : i]):
             if w.isalpha():
                 return _CONTEXT.get(w.lower(), "none")
         return "none"
 
-    @staticmethod
-    def _features(span: str, context: str) -> tuple[str, ...]:
+    def _features(self, span: str, i: int, j: int, context: str) -> tuple[str, ...]:
         digits = _digits(span)
         out = ["bias"]
         shapes = [name for name, pattern in _SHAPES if pattern.fullmatch(span)]
@@ -149,10 +186,23 @@ class Sentence:
         out.append(f"digits:{0 if not n else '1-8' if n < 9 else '9-12' if n < 13 else '13-15' if n < 16 else '16-19' if n < 20 else 'more'}")
         if "groups" in shapes and 13 <= n <= 19:
             out.append(f"luhn:{luhn(digits)}")
+        if "iban" in shapes:
+            out.append(f"iban:{_iban_sum(span)}")
         letters = sum(c.isalpha() for c in span)
-        out.append(f"letters:{'none' if not letters else 'all' if letters == len(span) else 'some'}")
+        letter_class = "none" if not letters else "all" if letters == len(span) else "some"
+        out.append(f"letters:{letter_class}")
         if "(" in span or ")" in span:
             out.append(f"brackets:{span.count('(') == span.count(')')}")
+        start, end = self.tokens[i][0], self.tokens[j][1]
+        left, right = self.text[start - 1 : start], self.text[end : end + 1]
+        out.append(f"left:{_SIDES.get(left, 'other')}")
+        # a stop that more of the same word follows is no end
+        after = _SIDES.get(right, "other")
+        out.append(f"right:{'other' if after == 'stop' and self.text[end + 1 : end + 2].strip() else after}")
+        if self.set_by[i] is not None:
+            out.append(f"set:{self.set_by[i]}|letters:{letter_class}|spaces:{' ' in span}")
+            out.append(f"set|spaces:{' ' in span}")
+            out.append(f"set|long:{min(len(span) // 4, 4)}|right:{after}")
         return tuple(out)
 
 
@@ -160,24 +210,28 @@ def _score(weights, features, label: str) -> float:
     return sum(weights.get((f, label), 0.0) for f in features)
 
 
-def _arcs(s: Sentence, weights) -> list[list[tuple[int, str, float]]]:
-    """For each token the segments that start there: (end, label, score)."""
-    out = []
-    for i in range(len(s.tokens)):
-        arcs = [(i + 1, "O", _score(weights, s.outside[i], "O"))]
-        arcs += [(end, k, _score(weights, f, k)) for end, f in s.segments[i] for k in KINDS]
-        out.append(arcs)
-    return out
+def _arcs(s: Sentence, weights, i: int) -> list[tuple[int, str, float]]:
+    """The segments that start at token i: (end, label, score)."""
+    arcs = [(i + 1, "O", _score(weights, s.outside(i), "O"))]
+    arcs += [(end, k, _score(weights, f, k)) for end, f in s.segments(i) for k in KINDS]
+    return arcs
 
 
 def decode(s: Sentence, weights) -> list[tuple[str, int, int]]:
-    """The best segmentation's entities as (kind, first token, end token)."""
+    """The best segmentation's entities as (kind, first token, end token).
+
+    Candidates are made token by token; of a token only the best way to each label is
+    kept, so memory grows with the tokens, not with their segments.
+    """
     n = len(s.tokens)
     best: list[dict[str, tuple[float, int, str]]] = [{} for _ in range(n + 1)]
     best[0]["^"] = (0.0, -1, "")
-    for i, arcs in enumerate(_arcs(s, weights)):
-        for end, label, score in arcs:
-            top = max(((v + weights.get((p, label), 0.0), p) for p, (v, _, _) in best[i].items()), default=None)
+    for i in range(n):
+        into: dict[str, tuple[float, str] | None] = {}
+        for end, label, score in _arcs(s, weights, i):
+            if label not in into:
+                into[label] = max(((v + weights.get((p, label), 0.0), p) for p, (v, _, _) in best[i].items()), default=None)
+            top = into[label]
             if top and (label not in best[end] or top[0] + score > best[end][label][0]):
                 best[end][label] = (top[0] + score, i, top[1])
     out, at = [], n
@@ -197,7 +251,8 @@ def _log_sum(values: list[float]) -> float:
 
 def _gradient(s: Sentence, gold: list[tuple[str, int, int]], weights) -> dict:
     """Observed less expected feature counts, by the forward-backward recursion over segments."""
-    n, arcs = len(s.tokens), _arcs(s, weights)
+    n = len(s.tokens)
+    arcs = [_arcs(s, weights, i) for i in range(n)]
     forward: list[dict[str, float]] = [{} for _ in range(n + 1)]
     forward[0]["^"] = 0.0
     steps: list[tuple[int, int, str, str, float]] = []
@@ -219,7 +274,7 @@ def _gradient(s: Sentence, gold: list[tuple[str, int, int]], weights) -> dict:
     for step in steps:
         by_start[step[0]].append(step)
     out: dict = defaultdict(float)
-    features = {(i, end): f for i in range(n) for end, f in s.segments[i]}
+    features = {(i, end): f for i in range(n) for end, f in s.segments(i)}
     for i in range(n - 1, -1, -1):
         for _, end, before, label, x in by_start[i]:
             if label not in back[end]:
@@ -229,14 +284,14 @@ def _gradient(s: Sentence, gold: list[tuple[str, int, int]], weights) -> dict:
             p = math.exp(forward[i][before] + tail - z)
             if p > 1e-9:
                 out[(before, label)] -= p
-                for f in s.outside[i] if label == "O" else features[(i, end)]:
+                for f in s.outside(i) if label == "O" else features[(i, end)]:
                     out[(f, label)] -= p
         back[i] = {k: _log_sum(v) for k, v in backward[i].items()}
     at, before, spans = 0, "^", {a: (k, b) for k, a, b in gold}
     while at < n:
         label, end = spans.get(at, ("O", at + 1))
         out[(before, label)] += 1
-        for f in s.outside[at] if label == "O" else features[(at, end)]:
+        for f in s.outside(at) if label == "O" else features[(at, end)]:
             out[(f, label)] += 1
         at, before = end, label
     return out
@@ -252,23 +307,43 @@ def _example(rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
             pass
         return c if rng.random() < 0.6 else " ".join(c[i : i + 4] for i in range(0, len(c), 4))
 
+    def iban() -> str:
+        country, rest = rng.choice("ABDEFGHIPST") + rng.choice("BEKLRST"), digits(rng.choice((12, 16, 18, 20)))
+        found = country + f"{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02d}" + rest
+        return found if rng.random() < 0.4 else " ".join(found[i : i + 4] for i in range(0, len(found), 4))
+
+    def chosen() -> str:
+        """What people choose as passwords."""
+        return rng.choice(("", "!", "&", "#")).join([word().capitalize(), rng.choice((word(), digits(rng.randint(1, 4))))]) + rng.choice(("", digits(2), word()))
+
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n - 2)) + "a7"
     entity = {
         "email": lambda: f"{word()}{rng.choice(('', '.', '_'))}{digits(2)}@{word()}.{rng.choice(('com', 'org', 'example.com'))}",
         "ip": lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)),
         "card": card,
-        "phone": lambda: rng.choice((f"+{rng.randint(1, 99)} ({digits(3)}) {digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"+{digits(2)} {digits(3)} {digits(4)}")),
-        "national_id": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
-        "secret": lambda: rng.choice((hexes(rng.choice((18, 32, 40))), "AK" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(17)) + "7")),
+        "phone": lambda: rng.choice((f"+{rng.randint(1, 99)} ({digits(3)}) {digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"+{digits(2)} {digits(3)} {digits(4)}",
+                                     f"0{digits(rng.randint(2, 4))}{rng.choice('/- ')}{digits(rng.randint(6, 8))}", f"0{digits(1)} {digits(2)} {digits(2)} {digits(2)} {digits(2)}", f"0{digits(2)} {digits(4)} {digits(4)}")),
+        "national_id": lambda: rng.choice(("{}-{}-{}", "{} {} {}")).format(digits(3), digits(2), digits(4)),
+        "secret": lambda: rng.choice((hexes(rng.choice((18, 32, 40))), "AK" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(17)) + "7", rng.choice(("", "tk_", "live-key-")) + "".join(rng.choice("abcdefgXYZQRST0123456789") for _ in range(rng.randint(18, 36))) + "aZ4")),
+        "iban": iban,
     }
-    before = {"secret": ("token =", "password=", "key:", ""), "phone": ("call", "tel", ""), "card": ("card", "visa", ""), "national_id": ("ssn", ""), "email": ("mail", "contact", ""), "ip": ("",)}
+    before = {"secret": ("token =", "password=", "key:", ""), "phone": ("call", "tel", ""), "card": ("card", "visa", ""), "national_id": ("ssn", ""), "email": ("mail", "contact", ""), "ip": ("",), "iban": ("iban", "account", "")}
     plain = (lambda: digits(rng.randint(1, 6)), lambda: f"version {rng.randint(1, 9)}.{rng.randint(0, 9)}", lambda: f"{rng.randint(1900, 2030)}", lambda: f"{rng.randint(1900, 2030)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}",
-             lambda: f"order {digits(rng.choice((8, 10, 12)))}", lambda: f"{digits(2)}.{digits(2)}.{rng.randint(1990, 2030)}", lambda: f"{rng.randint(300, 999)}.{digits(3)}.{digits(3)}.{rng.randint(300, 999)}", lambda: word() + digits(2), lambda: f"{digits(1)}, {digits(2)} {word()} {digits(3)}")
-    text, spans = word(), []
+             lambda: f"order {digits(rng.choice((8, 10, 12)))}", lambda: f"{digits(2)}.{digits(2)}.{rng.randint(1990, 2030)}", lambda: f"{rng.randint(300, 999)}.{digits(3)}.{digits(3)}.{rng.randint(300, 999)}", lambda: word() + digits(2), lambda: f"{digits(1)}, {digits(2)} {word()} {digits(3)}",
+             lambda: f"{rng.choice(('key', 'secret', 'token', 'password'))}: {word()} {word()} {word()}", lambda: f"{rng.choice(('key', 'token'))} {word()} {digits(2)}", lambda: f"{digits(2)} {digits(2)} {digits(2)}", lambda: f"{digits(2)}:{digits(2)}", lambda: f"{digits(3)} {digits(3)} {digits(3)}", lambda: f"{digits(4)} {digits(4)}", lambda: f"{word()}_{word()}{digits(1)}")
+    text, spans = word() if rng.random() < 0.7 else "", []
     for _ in range(rng.randint(1, 4)):
-        text += rng.choice((" ", ", ", ". ")) + " ".join(word() for _ in range(rng.randint(0, 4)))
-        text = text if text.endswith(" ") else text + " "
-        if rng.random() < 0.6:
+        if text:
+            text += rng.choice((" ", ", ", ". ")) + " ".join(word() for _ in range(rng.randint(0, 4)))
+            text = text if text.endswith(" ") else text + " "
+        chance = rng.random()
+        if chance < 0.1:
+            quote = rng.choice(("", '"', "'"))
+            text += rng.choice(("password", "secret", "pwd", "token")) + rng.choice(("=", " = ", ":", ": ")) + quote
+            e = chosen()
+            spans.append(("secret", len(text), len(text) + len(e)))
+            text += e + quote
+        elif chance < 0.65:
             kind = rng.choice(KINDS)
             lead = rng.choice(before[kind])
             quote = '"' if lead.endswith("=") and rng.random() < 0.5 else ""
@@ -291,15 +366,15 @@ def tokens_of(text: str, start: int = 0, end: int | None = None) -> list[tuple[i
 
 
 @functools.lru_cache(maxsize=4)
-def trained(examples: int = 300, epochs: int = 5, seed: int = 17) -> dict:
+def trained(examples: int = 500, epochs: int = 5, seed: int = 17) -> dict:
     """Weights that maximise the conditional likelihood of generated sentences, by stochastic gradient steps."""
     rng, weights, data = random.Random(seed), {}, []
     while len(data) < examples:
         text, spans = _example(rng)
-        s = Sentence(text, tokens_of(text))
+        s = Sentence(text, tokens_of(text)).remembered()
         first, last = {a: i for i, (a, _) in enumerate(s.tokens)}, {b: i + 1 for i, (_, b) in enumerate(s.tokens)}
         gold = [(k, first.get(a), last.get(b)) for k, a, b in spans]
-        if all(a is not None and b is not None and any(end == b for end, _ in s.segments[a]) for _, a, b in gold):
+        if all(a is not None and b is not None and any(end == b for end, _ in s.segments(a)) for _, a, b in gold):
             data.append((s, gold))
     for epoch in range(epochs):
         rate = 0.5 / (1 + epoch)
@@ -309,48 +384,52 @@ def trained(examples: int = 300, epochs: int = 5, seed: int = 17) -> dict:
     return {k: round(v, 6) for k, v in weights.items() if abs(v) > 1e-4}
 
 
-def _decoded(text: str, tokens: list[tuple[int, int]], weights, covered: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
-    """A sentence's entities as character spans; no window's edge decides on one.
+def _covered(tokens: list[tuple[int, int]], spans: list[tuple[int, int]], at: int) -> set[int]:
+    """Numbers of the tokens that meet one of the spans from number ``at`` on; both sorted by start."""
+    out, open_ = set(), 0
+    for i, (a, b) in enumerate(tokens):
+        while at < len(spans) and spans[at][0] < b:
+            open_, at = max(open_, spans[at][1]), at + 1
+        if a < open_:
+            out.add(i)
+    return out
+
+
+def _line_spans(text: str, start: int, end: int, weights, covered: list[tuple[int, int]], first: int) -> list[tuple[str, int, int]]:
+    """A line's entities as character spans.
 
-    Consecutive windows share ``4 * MAX_TOKENS`` tokens.  Entities that start in the last
-    half of them are the later window's, which has seen the words before and, as it may
-    have begun inside an entity, is not believed in its first ``MAX_TOKENS`` tokens.
+    Only stretches of tokens near useful ones are decoded: no segment without a useful
+    token can be an entity, and each stretch begins with tokens that no segment reaches
+    (or with the line), so the result is that of decoding the line whole.
     """
-    out, at, done = [], 0, 0
-    while True:
-        part = tokens[at : at + WINDOW_TOKENS]
-        final = at + len(part) == len(tokens)
-        near = [(a, b) for a, b in covered if part and a < part[-1][1] and b > part[0][0]]
-        barred = frozenset(i for i, (a, b) in enumerate(part) if any(a < y and b > x for x, y in near))
-        for k, i, j in decode(Sentence(text, part, barred), weights):
-            a, b = part[i][0], part[j - 1][1]
-            if a >= done and (not at or i >= MAX_TOKENS) and (final or i < len(part) - 2 * MAX_TOKENS):
-                out.append((k, a, b))
-                done = b
-        if final:
-            return out
-        at += WINDOW_TOKENS - 4 * MAX_TOKENS
+    tokens = tokens_of(text, start, end)
+    barred = _covered(tokens, covered, first)
+    useful = Sentence(text, tokens).useful
+    out, stretches = [], []
+    for i in (i for i, u in enumerate(useful) if u and i not in barred):
+        low, high = max(0, i - MAX_TOKENS - BEFORE), min(len(tokens), i + MAX_TOKENS + 1)
+        if stretches and low <= stretches[-1][1]:
+            stretches[-1][1] = high
+        else:
+            stretches.append([low, high])
+    for low, high in stretches:
+        part = tokens[low:high]
+        for k, i, j in decode(Sentence(text, part, frozenset(i - low for i in range(low, high) if i in barred)), weights):
+            out.append((k, part[i][0], part[j - 1][1]))
+    return out
 
 
 def field_spans(text: str, weights, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """The field's spans outside the base ones.
-
-    Tokens with a digit or an ``@`` and ``MAX_TOKENS`` tokens on both sides of them
-    form sentences: no segment without such a token can be an entity, so the rest
-    of the text is outside for sure.
-    """
-    out, stop, covered = [], -1, sorted((a, b) for _, a, b in base)
-    for m in _MAYBE.finditer(text):
-        if m.start() < stop:
-            continue
-        # a sentence: from a line's start or 200 characters before, to the line's end; goes on while triggers are near
-        start = max(text.rfind("\n", 0, m.start()) + 1, m.start() - 200, max(stop, 0))
-        stop = m.end()
-        while x := _MAYBE.search(text, stop, min(len(text), stop + 120)):
-            stop = x.end()
-        while stop < len(text) and not text[stop].isspace():
-            stop += 1
-        out += _decoded(text, tokens_of(text, start, stop), weights, covered)
+    """The field's spans outside the base ones, line by line: an entity doesn't cross a line's end."""
+    out, at, covered = [], 0, sorted((a, b) for _, a, b in base)
+    first = 0
+    while m := _MAYBE.search(text, at):
+        start, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
+        end = len(text) if end < 0 else end
+        while first < len(covered) and covered[first][1] <= start:
+            first += 1
+        out += _line_spans(text, start, end, weights, covered, first)
+        at = end
     return out
 
 
@@ -375,8 +454,8 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: counts of base spans, their digest, and all spans as text.
 
     A null or empty text has no spans.  Repeated rows give repeated results.  Base
-    spans of different kinds may overlap; the field's overlap nothing.  Each row is
-    handled where it is read.
+    spans of different kinds may overlap; the field's overlap nothing.  Texts of any
+    length are decoded whole, line by line.  Each row is handled where it is read.
     """
     weights = trained()
 
