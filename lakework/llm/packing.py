@@ -1,13 +1,13 @@
 """Lexical retrieval packing: windows filled with BM25 neighbours.
 
 Documents are tokenized once, and whole windows are cut from long ones.  What is
-left, an item, is staged.  Document frequencies and the mean length are summed
-over the items of the whole corpus; then items are sorted by their rarest terms,
-so that related ones share a shard, wherever they stood in the input.  Each shard
-of bounded size is indexed (an inverted index of token ids with the corpus's BM25
-weights).  The next unused item seeds a window; its unused neighbours, best first,
-fill it.  A piece that doesn't fit is cut, so every window is full.  Items of
-different shards never meet.
+left, an item, is staged with the profile (terms and counts) of its whole document.
+Document frequencies and the mean length are summed over the whole corpus; then items
+are sorted by their rarest terms, so that related ones share a shard, wherever they
+stood in the input.  Each shard of bounded size is indexed (an inverted index of token
+ids with the corpus's BM25 weights).  The next unused item seeds a window; its unused
+neighbours, best first, fill it.  A piece that doesn't fit is cut, so every window is
+full.  Items of different shards never meet.
 """
 
 from __future__ import annotations
@@ -36,15 +36,20 @@ def default_tokenizer() -> str:
 
 @dataclass(frozen=True)
 class Packing:
-    """``tokenizer`` is a path that executors can read (null: the installed vocabulary's); ``query_terms`` limits a seed's terms (null: all)."""
+    """``tokenizer`` is a path that executors can read (null: the installed vocabulary's).
+
+    ``shard_terms`` bounds the (item, term) pairs of a shard.  Terms in one item of
+    ``dense`` or more are rows of a matrix, the others lists of items.
+    """
 
     tokenizer: str | None = None
     window: int = 1024
     separator: int = 0
-    shard_tokens: int = 2_000_000
     shard_docs: int = 4096
-    query_terms: int | None = None
+    shard_terms: int = 2_000_000
     place_terms: int = 8
+    dense: int = 32
+    seeds: int = 32
     k1: float = 1.2
     b: float = 0.75
 
@@ -54,14 +59,15 @@ PIECES = T.StructType(
     + [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
 )
 #: A whole window (without ids), or an item: a document's ids after its last whole window, numbered by ``row``.
-CUT = T.StructType([*PIECES.fields, T.StructField("row", T.LongType()), T.StructField("ids", T.BinaryType())])
+#: ``terms`` and ``counts`` are the profile of a document of several windows; a shorter one's is that of its ids.
+CUT = T.StructType([*PIECES.fields, T.StructField("row", T.LongType())] + [T.StructField(n, T.BinaryType()) for n in ("ids", "terms", "counts")])
 #: Whole windows are numbered from here, so that they differ from the windows that are filled.
 WHOLE = 1 << 62
 
 
 @dataclass(frozen=True)
 class Statistics:
-    """Of the items of the whole corpus: their number, their tokens, and in how many of them each token id stands."""
+    """Of the documents of the whole corpus: their number, their tokens, and in how many of them each token id stands."""
 
     n: int
     tokens: int
@@ -77,7 +83,7 @@ def _byte_alphabet() -> dict[str, int]:
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str):
-    """A function from a list of texts to lists of ids, equal to the ``tokenizers`` library's for this file.
+    """A function from a list of texts to sequences of ids, equal to the ``tokenizers`` library's for this file.
 
     Where the file is byte-level BPE whose merges are in the order of their ids, a
     faster merge engine runs the same vocabulary; otherwise the library itself does.
@@ -100,59 +106,84 @@ def encoder(path: str):
     fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(texts: list[str]) -> list[list[int]]:
-        return [fast.encode(t, allowed_special="all") if any(s in t for s in special) else fast.encode_ordinary(t) for t in texts]
+        return [fast.encode_to_numpy(t, allowed_special="all") if any(s in t for s in special) else fast.encode_to_numpy(t, disallowed_special=()) for t in texts]
 
     return encode
 
 
 class Index:
-    """A BM25 inverted index over one shard's items (arrays of token ids), weighted by ``corpus`` (null: the items are all there are)."""
-
-    def __init__(self, items: list[np.ndarray], p: Packing, corpus: Statistics | None = None):
-        self.p, self.n = p, len(items)
-        lengths = np.array([len(x) for x in items], np.int64)
-        keys = np.repeat(np.arange(self.n, dtype=np.int64) << 32, lengths) | np.concatenate(items).astype(np.int64)
-        keys, counts = np.unique(keys, return_counts=True)
-        owner, term = keys >> 32, keys & 0xFFFFFFFF
-        # document-major for queries
-        self.starts = np.searchsorted(owner, np.arange(self.n + 1))
+    """A BM25 inverted index over one shard's profiles (terms, counts), weighted by ``corpus`` (null: they are all there are).
+
+    Frequent terms' lists are rows of a matrix, so that the scores of several seeds are
+    one product; rare terms' lists are added to them.  Nothing is left out.
+    """
+
+    def __init__(self, profiles: list[tuple[np.ndarray, np.ndarray]], p: Packing, corpus: Statistics | None = None):
+        self.p, self.n = p, len(profiles)
+        sizes = np.array([len(t) for t, _ in profiles], np.int64)
+        lengths = np.array([c.sum() for _, c in profiles], np.float64)
+        owner = np.repeat(np.arange(self.n), sizes)
+        counts = np.concatenate([c for _, c in profiles])
+        terms, at, df = np.unique(np.concatenate([t for t, _ in profiles]), return_inverse=True, return_counts=True)
+        n, all_df = (corpus.n, corpus.df[terms]) if corpus else (self.n, df)
         mean = corpus.tokens / corpus.n if corpus else lengths.mean()
         norm = p.k1 * (1 - p.b + p.b * lengths / max(mean, 1e-9))
-        order = np.argsort(term, kind="stable")
-        terms, first, df = np.unique(term[order], return_index=True, return_counts=True)
-        n, all_df = (corpus.n, corpus.df[terms]) if corpus else (self.n, df)
         idf = np.log(1 + (n - all_df + 0.5) / (all_df + 0.5))
-        self.at = np.searchsorted(terms, term)
-        weight = counts * (p.k1 + 1) / (counts + norm[owner]) * idf[self.at]
+        self.weight = (counts * (p.k1 + 1) / (counts + norm[owner]) * idf[at]).astype(np.float32)
+        self.owner = owner
         # a term of one item finds nobody
-        self.worth = np.where(df[self.at] > 1, weight, 0.0)
-        self.owner, self.weight = owner[order], weight[order]
-        self.first, self.df = first, df
+        dense, sparse = df >= max(2, self.n // p.dense), (df > 1) & (df < max(2, self.n // p.dense))
+        row = np.cumsum(dense) - 1
+        mine = dense[at]
+        self.matrix = np.zeros((int(dense.sum()), self.n), np.float32)
+        self.matrix[row[at[mine]], owner[mine]] = self.weight[mine]
+        self.dense_terms, self.dense_starts = row[at[mine]], np.searchsorted(owner[mine], np.arange(self.n + 1))
+        mine = sparse[at]
+        order = np.argsort(at[mine], kind="stable")
+        self.list_owner, self.list_weight = owner[mine][order], self.weight[mine][order]
+        first = np.cumsum(np.where(sparse, df, 0)) - np.where(sparse, df, 0)
+        self.list_first, self.list_size = first[at[mine]], df[at[mine]]
+        self.sparse_starts = np.searchsorted(owner[mine], np.arange(self.n + 1))
+        self.known: dict[int, np.ndarray] = {}
+
+    def scores(self, seeds: np.ndarray) -> np.ndarray:
+        """A row for each seed: the BM25 scores of all items for the seed's terms."""
+        x = np.zeros((len(seeds), len(self.matrix)), np.float32)
+        for k, i in enumerate(seeds):
+            x[k, self.dense_terms[self.dense_starts[i] : self.dense_starts[i + 1]]] = 1
+        out = x @ self.matrix
+        spans = [np.arange(self.sparse_starts[i], self.sparse_starts[i + 1]) for i in seeds]
+        term, seed = np.concatenate(spans), np.repeat(np.arange(len(seeds)), [len(s) for s in spans])
+        size = self.list_size[term]
+        place = np.arange(size.sum()) + np.repeat(self.list_first[term] - (np.cumsum(size) - size), size)
+        flat = np.repeat(seed, size) * self.n + self.list_owner[place]
+        return out + np.bincount(flat, self.list_weight[place], minlength=out.size).astype(np.float32).reshape(out.shape)
+
+    def row(self, i: int, unused: np.ndarray) -> np.ndarray:
+        """Item i's scores; those of the next unused items, likely seeds, are computed with them."""
+        if i not in self.known:
+            seeds = np.concatenate([[i], (i + 1 + np.flatnonzero(unused[i + 1 :][: 8 * self.p.seeds]))[: self.p.seeds - 1]])
+            self.known = dict(zip(seeds.tolist(), self.scores(seeds), strict=True))
+        return self.known[i]
 
     def neighbours(self, i: int, unused: np.ndarray) -> np.ndarray:
-        """Unused items that share a term with item i, best first (ties: first first), by all its terms unless ``query_terms`` is set."""
-        a, b = self.starts[i], self.starts[i + 1]
-        worth, at = self.worth[a:b], self.at[a:b]
-        if self.p.query_terms is not None and len(worth) > self.p.query_terms:
-            top = np.argpartition(-worth, self.p.query_terms)[: self.p.query_terms]
-            worth, at = worth[top], at[top]
-        at = at[worth > 0]
-        if not len(at):
-            return at
-        owners = np.concatenate([self.owner[self.first[t] : self.first[t] + self.df[t]] for t in at])
-        weights = np.concatenate([self.weight[self.first[t] : self.first[t] + self.df[t]] for t in at])
-        scores = np.bincount(owners, weights, minlength=self.n)
-        scores[~unused] = 0
+        """Unused items that share a term with item i, best first (ties: first first), by all its terms."""
+        scores = np.where(unused, self.row(i, unused), 0)
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]
 
 
-def cut(doc_id, ids: list[int], p: Packing) -> tuple[list[tuple], tuple | None]:
-    """The whole windows of a document and its separator, and what is left: (doc_id, start, ids, doc_tokens)."""
-    x = np.array([*ids, p.separator], "<u4")
+def cut(doc_id, ids, p: Packing) -> tuple[list[tuple], tuple]:
+    """The whole windows of a document and its separator, and what is left (perhaps nothing): (doc_id, start, ids, doc_tokens)."""
+    x = np.append(np.asarray(ids, "<u4"), np.array([p.separator], "<u4"))
     total = len(x)
     whole = total - total % p.window
-    return [(doc_id, a, x[a : a + p.window], total) for a in range(0, whole, p.window)], (doc_id, whole, x[whole:], total) if whole < total else None
+    return [(doc_id, a, x[a : a + p.window], total) for a in range(0, whole, p.window)], (doc_id, whole, x[whole:], total)
+
+
+def profile(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order, and how often each stands."""
+    return np.unique(ids, return_counts=True)
 
 
 class Packer:
@@ -161,24 +192,26 @@ class Packer:
     def __init__(self, p: Packing, first_sequence: int, corpus: Statistics | None = None):
         self.p, self.sequence, self.corpus = p, first_sequence, corpus
         self.items: list[list] = []
-        self.tokens = 0
+        self.profiles: list[tuple[np.ndarray, np.ndarray]] = []
+        self.terms = 0
         self.open: list[tuple] = []  # pieces of a window that isn't full yet: (doc_id, start, ids, doc_tokens)
         self.space = p.window
         self.rows: list[tuple] = []
 
-    def add(self, doc_id, ids: list[int]) -> list[tuple]:
+    def add(self, doc_id, ids) -> list[tuple]:
         windows, item = cut(doc_id, ids, self.p)
         for piece in windows:
             self._emit([piece])
-        if item:
-            return self.add_item(*item)
+        if len(item[2]):
+            return self.add_item(*item, profile(np.append(np.asarray(ids, "<u4"), np.array([self.p.separator], "<u4"))))
         out, self.rows = self.rows, []
         return out
 
-    def add_item(self, doc_id, start: int, ids: np.ndarray, total: int) -> list[tuple]:
+    def add_item(self, doc_id, start: int, ids: np.ndarray, total: int, of: tuple[np.ndarray, np.ndarray]) -> list[tuple]:
         self.items.append([doc_id, start, ids, total])
-        self.tokens += len(ids)
-        if self.tokens >= self.p.shard_tokens or len(self.items) >= self.p.shard_docs:
+        self.profiles.append(of)
+        self.terms += len(of[0])
+        if self.terms >= self.p.shard_terms or len(self.items) >= self.p.shard_docs:
             self._shard()
         out, self.rows = self.rows, []
         return out
@@ -215,10 +248,11 @@ class Packer:
             self.open, self.space = [], self.p.window
 
     def _shard(self) -> None:
-        items, self.items, self.tokens = self.items, [], 0
+        items, profiles = self.items, self.profiles
+        self.items, self.profiles, self.terms = [], [], 0
         if not items:
             return
-        index = Index([x[2] for x in items], self.p, self.corpus)
+        index = Index(profiles, self.p, self.corpus)
         unused, length = np.ones(len(items), bool), np.array([len(x[2]) for x in items])
         at = 0
 
@@ -238,19 +272,17 @@ class Packer:
                 return
             seed, before = at, self.sequence
             take(seed)
-            if self.sequence != before:
-                continue
-            near = index.neighbours(seed, unused)
-            for i in near:  # whole neighbours first
-                if length[i] <= self.space and self.sequence == before:
-                    take(i)
-                if self.sequence != before:
-                    break
-            for i in near:  # then the best one that is too long, cut
-                if self.sequence != before:
+            scores = index.row(seed, unused) if self.sequence == before else None
+            while self.sequence == before:
+                # the best unused neighbour that fits whole, or else the best one, cut
+                able = np.where(unused, scores, 0)
+                fits = np.where(length <= self.space, able, 0)
+                best = int(fits.argmax())
+                if not fits[best]:
+                    best = int(able.argmax())
+                if not able[best]:
                     break
-                if unused[i]:
-                    take(i)
+                take(best)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -268,14 +300,16 @@ def cut_documents(docs: DataFrame, p: Packing) -> DataFrame:
         for batch in batches:
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                windows, item = cut(i, encode([text or ""])[0], p)
-                for _, start, ids, total in windows:
-                    rows.append((i, start, len(ids), zlib.crc32(ids.tobytes()), total, WHOLE + row, 0, row, None))
-                    row += 1
-                if item:
-                    _, start, ids, total = item
-                    rows.append((i, start, len(ids), None, total, None, None, row, ids.tobytes()))
+                ids = encode([text or ""])[0]
+                windows, (_, start, left, total) = cut(i, ids, p)
+                for _, a, part, _ in windows:
+                    rows.append((i, a, len(part), zlib.crc32(part.tobytes()), total, WHOLE + row, 0, row, None, None, None))
                     row += 1
+                of = [None, None]
+                if windows:
+                    of = [x.astype("<u4").tobytes() for x in profile(np.append(np.asarray(ids, "<u4"), np.array([p.separator], "<u4")))]
+                rows.append((i, start, len(left), None, total, None, None, row, left.tobytes(), *of))
+                row += 1
             yield from _batch(rows, schema)
 
     return docs.mapInArrow(run, CUT)
@@ -285,36 +319,39 @@ def _ids(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u4") for x in column.to_pylist()]
 
 
+def _profiles(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [profile(np.frombuffer(x, "<u4")) if t is None else (np.frombuffer(t, "<u4"), np.frombuffer(c, "<u4")) for x, t, c in zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist(), strict=True)]
+
+
 def statistics(items: DataFrame) -> Statistics:
-    """Counts over all items (``ids``).  The driver gets one row for each entry of the vocabulary that occurs."""
+    """Counts over all documents, from their items.  The driver gets one row for each entry of the vocabulary that occurs."""
     counts = T.StructType([T.StructField("term", T.LongType()), T.StructField("df", T.LongType())])
     schema = arrow_schema(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, tokens = np.zeros(0, np.int64), 0, 0
         for batch in batches:
-            items = _ids(batch.column(0))
-            if items:
-                found = np.bincount(np.concatenate([np.unique(x) for x in items]), minlength=len(df))
-                found[: len(df)] += df
-                df, n, tokens = found, n + len(items), tokens + sum(map(len, items))
+            found = _profiles(*batch.columns)
+            if found:
+                new = np.bincount(np.concatenate([t for t, _ in found]), minlength=len(df))
+                new[: len(df)] += df
+                df, n, tokens = new, n + len(found), tokens + sum(int(c.sum()) for _, c in found)
         used = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *used.tolist()], pa.int64()), pa.array([n, tokens, *df[used].tolist()], pa.int64())], schema=schema)
 
-    sums = {r.term: r.df for r in items.select("ids").mapInArrow(run, counts).groupBy("term").agg(F.sum("df").alias("df")).collect()}
+    sums = {r.term: r.df for r in items.select("ids", "terms", "counts").mapInArrow(run, counts).groupBy("term").agg(F.sum("df").alias("df")).collect()}
     n, tokens = sums.pop(-2, 0), sums.pop(-1, 0)
     df = np.zeros(max(sums, default=-1) + 1, np.int64)
     df[list(sums)] = list(sums.values())
     return Statistics(n, tokens, df)
 
 
-def place_key(ids: np.ndarray, corpus: Statistics, p: Packing) -> bytes:
-    """The item's rarest terms, rarest first, by which items are sorted into shards.
+def place_key(terms: np.ndarray, corpus: Statistics, p: Packing) -> bytes:
+    """A document's rarest terms, rarest first, by which items are sorted into shards.
 
-    Terms of fewer items than an eighth of a shard (or a hundredth of the corpus) come
-    last, as they gather too few.  Items that share a hot first term go on by the next.
+    Terms of fewer documents than an eighth of a shard (or a hundredth of the corpus)
+    come last, as they gather too few.  Items that share a hot first term go on by the next.
     """
-    terms = np.unique(ids)
     df = corpus.df[terms]
     few = df < min(p.shard_docs // 8, corpus.n // 100)
     best = np.lexsort((terms, df, few))[: p.place_terms]
@@ -323,25 +360,27 @@ def place_key(ids: np.ndarray, corpus: Statistics, p: Packing) -> bytes:
 
 def placed(items: DataFrame, corpus: Statistics, p: Packing) -> DataFrame:
     """Items in shard order: partitioned and sorted by ``place_key``; equal items are dealt by their numbers."""
-    names = ("doc_id", "start", "doc_tokens", "row", "ids")
+    names = ("doc_id", "start", "doc_tokens", "row", "ids", "terms", "counts")
     keyed = T.StructType([CUT[n] for n in names] + [T.StructField("key", T.BinaryType())])
     schema = arrow_schema(keyed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = pa.array([place_key(x, corpus, p) for x in _ids(batch.column(4))], pa.binary())
+            key = pa.array([place_key(t, corpus, p) for t, _ in _profiles(*batch.columns[4:7])], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, key], schema=schema)
 
-    return items.select(*names).mapInArrow(run, keyed).repartitionByRange("key", "row").sortWithinPartitions("key", "row")
+    return items.where("length > 0").select(*names).mapInArrow(run, keyed).repartitionByRange("key", "row").sortWithinPartitions("key", "row")
 
 
 def pack(docs: DataFrame, params: Packing = Packing(), doc_id: str = "doc_id") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null or empty text is one token, the separator.  Repeated rows are packed as
-    often as they stand.  A null doc_id stays null.  Every sequence but at most ten
-    of a partition is full; those have powers of two as lengths, so nothing is
-    padded.  Items are staged and sorted, so a retried task gives the same pieces.
+    often as they stand.  A null doc_id stays null.  Long texts are tokenized whole;
+    their whole windows stand alone, and the rest is placed by the whole text.  Every
+    sequence but at most ten of a partition is full; those have powers of two as
+    lengths, so nothing is padded.  Items are staged and sorted, so a retried task
+    gives the same pieces.
     """
     schema = arrow_schema(PIECES)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -353,10 +392,10 @@ def pack(docs: DataFrame, params: Packing = Packing(), doc_id: str = "doc_id") -
         packer = Packer(params, TaskContext.get().partitionId() << 32, corpus)
         for batch in batches:
             rows = []
-            for i, start, total, ids in zip(*(batch.column(k).to_pylist() for k in range(3)), _ids(batch.column(3)), strict=True):
-                rows += packer.add_item(i, start, ids, total)
+            for i, start, total, ids, of in zip(*(batch.column(k).to_pylist() for k in range(3)), _ids(batch.column(3)), _profiles(*batch.columns[3:6]), strict=True):
+                rows += packer.add_item(i, start, ids, total, of)
             yield from _batch(rows, schema)
         yield from _batch(packer.finish(), schema)
 
-    filled = placed(items, corpus, params).select("doc_id", "start", "doc_tokens", "ids").mapInArrow(run, PIECES)
+    filled = placed(items, corpus, params).select("doc_id", "start", "doc_tokens", "ids", "terms", "counts").mapInArrow(run, PIECES)
     return filled.union(cuts.where(F.col("ids").isNull()).select(*PIECES.names))

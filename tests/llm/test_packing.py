@@ -52,7 +52,7 @@ def test_pieces_cover_all_ids_once(docs, texts, reference):
 
 
 def test_small_shards(docs, texts, reference):
-    check(packing.pack(docs.coalesce(1), packing.Packing(shard_docs=7, shard_tokens=3000)).collect(), {i: reference(t) for i, t in enumerate(texts)})
+    check(packing.pack(docs.coalesce(1), packing.Packing(shard_docs=7, shard_terms=900)).collect(), {i: reference(t) for i, t in enumerate(texts)})
 
 
 def test_ids_equal_the_library(reference):
@@ -60,29 +60,62 @@ def test_ids_equal_the_library(reference):
     rng = random.Random(1)
     cases = ["", "<|endoftext|>", "a<|endoftext|> b", "x" * 5000, " " * 3000, "\n\t" * 500, "it's 12 ½ 漢字 \U0001f600 é", "don't!!  stop"]
     cases += ["".join(rng.choice(" \n\t'sdaéB1٣!?　\u0085​\r<|>_-") for _ in range(50)) for _ in range(300)]
-    assert encode(cases) == [reference(c) for c in cases]
+    assert [list(x) for x in encode(cases)] == [reference(c) for c in cases]
 
 
-def test_neighbours_equal_brute_force_bm25():
+def brute_scores(items, i, p):
+    """BM25 of all items for the terms of item i that others have too, one by one."""
+    n, mean, out = len(items), np.mean([len(x) for x in items]), []
+    terms = {int(t): df for t in set(items[i].tolist()) if (df := sum(t in x for x in items)) > 1}
+    for x in items:
+        tf = {t: k for t in terms if (k := int((x == t).sum()))}
+        out.append(sum(np.log(1 + (n - terms[t] + 0.5) / (terms[t] + 0.5)) * k * (p.k1 + 1) / (k + p.k1 * (1 - p.b + p.b * len(x) / mean)) for t, k in tf.items()))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("dense", [1, 4, 32, 1000])
+def test_neighbours_equal_brute_force_bm25(dense):
+    """With the production parameters too; ``dense`` only says which terms are rows of the matrix."""
     rng = random.Random(3)
-    items = [np.array([rng.randrange(40) for _ in range(rng.randint(1, 30))], "<u4") for _ in range(50)]
-    p = packing.Packing(query_terms=1000)
-    index, mean = packing.Index(items, p), np.mean([len(x) for x in items])
-    for i in range(50):
-        scores = {}
-        for j in range(50):
-            s = 0.0
-            for t in set(items[i].tolist()):
-                df = sum(t in x for x in items)
-                tf = (items[j] == t).sum()
-                if tf and df > 1:
-                    s += np.log(1 + (50 - df + 0.5) / (df + 0.5)) * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(items[j]) / mean))
-            scores[j] = s
-        got = index.neighbours(i, np.ones(50, bool))
-        assert set(got.tolist()) == {j for j, s in scores.items() if s > 0}
-        values = [scores[j] for j in got]
-        assert all(a >= b - 1e-9 for a, b in zip(values, values[1:], strict=False))
-        assert 7 not in index.neighbours(i, np.arange(50) != 7)
+    for vocabulary, longest in ((40, 30), (3000, 300)):
+        items = [np.array([int(vocabulary * rng.random() ** 3) for _ in range(rng.randint(1, longest))], "<u4") for _ in range(60)]
+        p = packing.Packing(dense=dense)
+        index = packing.Index([packing.profile(x) for x in items], p)
+        for i in range(60):
+            scores = brute_scores(items, i, p)
+            got = index.neighbours(i, np.ones(60, bool))
+            assert set(got.tolist()) == set(np.flatnonzero(scores).tolist())
+            assert np.allclose(index.row(i, np.ones(60, bool)), scores, atol=1e-4) and (np.diff(scores[got]) < 1e-4).all()
+            assert 7 not in index.neighbours(i, np.arange(60) != 7)
+
+
+def test_windows_are_filled_greedily():
+    """Each window holds its seed and, one after the other, the best unused item that fits, or else the best one, cut."""
+    rng, p = random.Random(21), packing.Packing(window=64)
+    items = [np.array([rng.randrange(50) for _ in range(rng.randint(1, 63))], "<u4") for _ in range(80)]
+    packer = packing.Packer(p, 0)
+    rows = [r for i, x in enumerate(items) for r in packer.add_item(i, 0, x, len(x), packing.profile(x))] + packer.finish()
+    left, at, sequence, space = {i: len(x) for i, x in enumerate(items)}, 0, 0, 64
+    wanted = []
+    while left:
+        seed = min(left)
+        scores = brute_scores(items, seed, p)
+        now, i = sequence, seed
+        while True:
+            k = min(left[i], space)
+            wanted.append((i, len(items[i]) - left[i], k, sequence))
+            left[i] -= k
+            space -= k
+            if not left[i]:
+                del left[i]
+            if not space:
+                sequence, space = sequence + 1, 64
+            if sequence != now or not (able := [j for j in left if scores[j] > 0]):
+                break
+            fits = [j for j in able if left[j] <= space]
+            i = max(fits or able, key=lambda j: (round(scores[j], 5), -j))
+    full = [w for w in wanted if w[3] < sequence]
+    assert [(r[0], r[1], r[2], r[5]) for r in rows][: len(full)] == full and len(full) > 100
 
 
 def test_related_texts_share_windows():
@@ -120,26 +153,30 @@ def test_copies_in_distant_partitions_share_windows(spark):
     assert len({k for (_, k), ids in found.items() if len(ids) > 1}) > 0.8 * 140
 
 
-def test_statistics_are_the_corpus_s(docs, texts, reference):
-    p = packing.Packing()
-    items = [x[2] for i, t in enumerate(texts) if (x := packing.cut(i, reference(t), p)[1])]
-    corpus = packing.statistics(packing.cut_documents(docs.select("doc_id", "text"), p).where("ids is not null"))
-    assert (corpus.n, corpus.tokens) == (len(items), sum(map(len, items)))
-    assert {t: n for t, n in enumerate(corpus.df.tolist()) if n} == {int(t): sum(t in x for x in items) for t in np.unique(np.concatenate(items))}
-    whole, part = packing.Index(items, p), packing.Index(items[:20], p, corpus)
-    assert np.allclose(sorted(part.weight), sorted(whole.weight[whole.owner < 20]))
-
-
-def test_production_parameters_score_all_terms():
-    rng = random.Random(13)
-    items = [np.array([rng.randrange(300) for _ in range(rng.randint(30, 200))], "<u4") for _ in range(40)]
+def test_statistics_and_profiles_are_of_whole_documents(docs, texts, reference):
     p = packing.Packing()
-    index, mean = packing.Index(items, p), np.mean([len(x) for x in items])
-    df = {t: sum(t in x for x in items) for t in range(300)}
-    for i in range(40):
-        scores = {}
-        for j, x in enumerate(items):
-            tf = {t: n for t in set(items[i].tolist()) if (n := int((x == t).sum())) and df[t] > 1}
-            scores[j] = sum(np.log(1 + (40 - df[t] + 0.5) / (df[t] + 0.5)) * n * (p.k1 + 1) / (n + p.k1 * (1 - p.b + p.b * len(x) / mean)) for t, n in tf.items())
-        got = index.neighbours(i, np.ones(40, bool))
-        assert got.tolist() == sorted((j for j, s in scores.items() if s > 0), key=lambda j: -scores[j])
+    ids = [np.array([*reference(t), 0]) for t in texts]
+    cuts = packing.cut_documents(docs.select("doc_id", "text"), p).where("ids is not null")
+    corpus = packing.statistics(cuts)
+    assert (corpus.n, corpus.tokens) == (len(ids), sum(map(len, ids)))
+    assert {t: n for t, n in enumerate(corpus.df.tolist()) if n} == {int(t): sum(t in x for x in ids) for t in np.unique(np.concatenate(ids))}
+    for r in cuts.where("terms is not null").collect():
+        assert [x.tolist() for x in np.unique(ids[r.doc_id], return_counts=True)] == [np.frombuffer(x, "<u4").tolist() for x in (r.terms, r.counts)]
+    assert {r.doc_id for r in cuts.where("terms is not null").collect()} == {i for i, x in enumerate(ids) if len(x) >= p.window}
+    profiles = [packing.profile(x) for x in ids]
+    whole, part = packing.Index(profiles, p, corpus), packing.Index(profiles[:20], p, corpus)
+    assert np.allclose(part.weight, whole.weight[whole.owner < 20])
+
+
+def test_a_document_of_whole_windows(spark, reference):
+    """Nothing is left of it for others' windows, but it counts in the statistics."""
+    text = " the" * 2047
+    rows = packing.pack(spark.createDataFrame([(1, text), (2, "the end")], "doc_id bigint, text string")).collect()
+    check(rows, {1: reference(text), 2: reference("the end")})
+    assert sorted(r.length for r in rows if r.doc_id == 1) == [1024, 1024]
+
+
+def test_long_texts(spark, reference):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(("alpha", "beta", "gamma", "delta", "stone")) + str(rng.randrange(99)) for _ in range(60_000)), "alpha beta"]
+    check(packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect(), dict(enumerate(map(reference, texts))))
