@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakework.llm.common import arrow_schema, staged
+from lakework.llm.common import arrow_schema, small_slices, staged
 
 
 def default_tokenizer() -> str:
@@ -60,6 +60,7 @@ PIECES = T.StructType(
 )
 #: A whole window (without ids), or an item: a document's ids after its last whole window, numbered by ``row``.
 #: ``terms`` and ``counts`` are the profile of a document of several windows; a shorter one's is that of its ids.
+#: Each task's last row, number -1, has its documents' frequencies in ``terms`` and ``counts``, their number and tokens.
 CUT = T.StructType([*PIECES.fields, T.StructField("row", T.LongType())] + [T.StructField(n, T.BinaryType()) for n in ("ids", "terms", "counts")])
 #: Whole windows are numbered from here, so that they differ from the windows that are filled.
 WHOLE = 1 << 62
@@ -173,12 +174,11 @@ class Index:
         return found[np.argsort(-scores[found], kind="stable")]
 
 
-def cut(doc_id, ids, p: Packing) -> tuple[list[tuple], tuple]:
-    """The whole windows of a document and its separator, and what is left (perhaps nothing): (doc_id, start, ids, doc_tokens)."""
-    x = np.append(np.asarray(ids, "<u4"), np.array([p.separator], "<u4"))
-    total = len(x)
+def cut(doc_id, ids: np.ndarray, p: Packing) -> tuple[list[tuple], tuple]:
+    """The whole windows of a document's ids (separator included), and what is left, perhaps nothing: (doc_id, start, ids, doc_tokens)."""
+    total = len(ids)
     whole = total - total % p.window
-    return [(doc_id, a, x[a : a + p.window], total) for a in range(0, whole, p.window)], (doc_id, whole, x[whole:], total)
+    return [(doc_id, a, ids[a : a + p.window], total) for a in range(0, whole, p.window)], (doc_id, whole, ids[whole:], total)
 
 
 def profile(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,11 +199,12 @@ class Packer:
         self.rows: list[tuple] = []
 
     def add(self, doc_id, ids) -> list[tuple]:
+        ids = np.append(np.asarray(ids, "<u4"), np.array([self.p.separator], "<u4"))
         windows, item = cut(doc_id, ids, self.p)
         for piece in windows:
             self._emit([piece])
         if len(item[2]):
-            return self.add_item(*item, profile(np.append(np.asarray(ids, "<u4"), np.array([self.p.separator], "<u4"))))
+            return self.add_item(*item, profile(ids))
         out, self.rows = self.rows, []
         return out
 
@@ -290,27 +291,47 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+class _Frequencies:
+    """Document frequencies, counted document by document."""
+
+    def __init__(self):
+        self.df, self.n, self.tokens = np.zeros(1 << 16, np.int64), 0, 0
+
+    def add(self, terms: np.ndarray, tokens: int) -> None:
+        if len(terms) and terms[-1] >= len(self.df):
+            self.df = np.pad(self.df, (0, int(terms[-1]) + 1))
+        self.df[terms] += 1
+        self.n, self.tokens = self.n + 1, self.tokens + tokens
+
+    def row(self) -> tuple:
+        used = np.flatnonzero(self.df)
+        return (None, self.n, self.tokens, None, None, None, None, -1, None, used.astype("<u4").tobytes(), self.df[used].astype("<u4").tobytes())
+
+
 def cut_documents(docs: DataFrame, p: Packing) -> DataFrame:
-    """Whole windows and items (``CUT``) of documents (doc_id, text)."""
+    """Whole windows, items and frequencies (``CUT``) of documents (doc_id, text)."""
     schema = arrow_schema(CUT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(p.tokenizer or default_tokenizer())
+        encode, frequencies = encoder(p.tokenizer or default_tokenizer()), _Frequencies()
         row = TaskContext.get().partitionId() << 32
         for batch in batches:
-            rows = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode([text or ""])[0]
-                windows, (_, start, left, total) = cut(i, ids, p)
-                for _, a, part, _ in windows:
-                    rows.append((i, a, len(part), zlib.crc32(part.tobytes()), total, WHOLE + row, 0, row, None, None, None))
-                    row += 1
-                of = [None, None]
-                if windows:
-                    of = [x.astype("<u4").tobytes() for x in profile(np.append(np.asarray(ids, "<u4"), np.array([p.separator], "<u4")))]
-                rows.append((i, start, len(left), None, total, None, None, row, left.tobytes(), *of))
-                row += 1
-            yield from _batch(rows, schema)
+            for part in small_slices(*batch.columns):
+                rows = []
+                for i, text in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
+                    x = np.append(np.asarray(encode([text or ""])[0], "<u4"), np.array([p.separator], "<u4"))
+                    windows, (_, start, left, total) = cut(i, x, p)
+                    for _, a, ids, _ in windows:
+                        rows.append((i, a, len(ids), zlib.crc32(ids.tobytes()), total, WHOLE + row, 0, row, None, None, None))
+                        row += 1
+                    terms, counts = profile(x)
+                    frequencies.add(terms, total)
+                    of = (terms.astype("<u4").tobytes(), counts.astype("<u4").tobytes()) if windows else (None, None)
+                    if len(left):
+                        rows.append((i, start, len(left), None, total, None, None, row, left.tobytes(), *of))
+                        row += 1
+                yield from _batch(rows, schema)
+        yield from _batch([frequencies.row()], schema)
 
     return docs.mapInArrow(run, CUT)
 
@@ -323,23 +344,18 @@ def _profiles(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> list[tuple[np
     return [profile(np.frombuffer(x, "<u4")) if t is None else (np.frombuffer(t, "<u4"), np.frombuffer(c, "<u4")) for x, t, c in zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist(), strict=True)]
 
 
-def statistics(items: DataFrame) -> Statistics:
-    """Counts over all documents, from their items.  The driver gets one row for each entry of the vocabulary that occurs."""
-    counts = T.StructType([T.StructField("term", T.LongType()), T.StructField("df", T.LongType())])
-    schema = arrow_schema(counts)
+def statistics(cuts: DataFrame) -> Statistics:
+    """Counts over all documents.  The driver gets one row for each entry of the vocabulary that occurs."""
+    pair = T.StructType([T.StructField("term", T.LongType()), T.StructField("df", T.LongType())])
+    schema = arrow_schema(pair)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n, tokens = np.zeros(0, np.int64), 0, 0
         for batch in batches:
-            found = _profiles(*batch.columns)
-            if found:
-                new = np.bincount(np.concatenate([t for t, _ in found]), minlength=len(df))
-                new[: len(df)] += df
-                df, n, tokens = new, n + len(found), tokens + sum(int(c.sum()) for _, c in found)
-        used = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array([-2, -1, *used.tolist()], pa.int64()), pa.array([n, tokens, *df[used].tolist()], pa.int64())], schema=schema)
-
-    sums = {r.term: r.df for r in items.select("ids", "terms", "counts").mapInArrow(run, counts).groupBy("term").agg(F.sum("df").alias("df")).collect()}
+            for n, tokens, terms, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                terms, counts = (np.frombuffer(x, "<u4").astype(np.int64) for x in (terms, counts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(terms, [-2, -1])), pa.array(np.append(counts, [n, tokens]))], schema=schema)
+
+    sums = {r.term: r.df for r in cuts.where("row = -1").select("start", "length", "terms", "counts").mapInArrow(run, pair).groupBy("term").agg(F.sum("df").alias("df")).collect()}
     n, tokens = sums.pop(-2, 0), sums.pop(-1, 0)
     df = np.zeros(max(sums, default=-1) + 1, np.int64)
     df[list(sums)] = list(sums.values())
@@ -369,7 +385,7 @@ def placed(items: DataFrame, corpus: Statistics, p: Packing) -> DataFrame:
             key = pa.array([place_key(t, corpus, p) for t, _ in _profiles(*batch.columns[4:7])], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, key], schema=schema)
 
-    return items.where("length > 0").select(*names).mapInArrow(run, keyed).repartitionByRange("key", "row").sortWithinPartitions("key", "row")
+    return items.select(*names).mapInArrow(run, keyed).repartitionByRange("key", "row").sortWithinPartitions("key", "row")
 
 
 def pack(docs: DataFrame, params: Packing = Packing(), doc_id: str = "doc_id") -> DataFrame:
@@ -386,7 +402,7 @@ def pack(docs: DataFrame, params: Packing = Packing(), doc_id: str = "doc_id") -
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     cuts = staged(cut_documents(texts, params), "packing")
     items = cuts.where(F.col("ids").isNotNull())
-    corpus = statistics(items)
+    corpus = statistics(cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(params, TaskContext.get().partitionId() << 32, corpus)
@@ -398,4 +414,4 @@ def pack(docs: DataFrame, params: Packing = Packing(), doc_id: str = "doc_id") -
         yield from _batch(packer.finish(), schema)
 
     filled = placed(items, corpus, params).select("doc_id", "start", "doc_tokens", "ids", "terms", "counts").mapInArrow(run, PIECES)
-    return filled.union(cuts.where(F.col("ids").isNull()).select(*PIECES.names))
+    return filled.union(cuts.where("ids is null and row >= 0").select(*PIECES.names))
