@@ -26,9 +26,10 @@ from lakework.llm.components import connected_components
 
 @dataclass(frozen=True)
 class HyperMinHash:
-    """Parameters.  With 32 bands of 4 a pair at similarity 0.75 is missed once in 200,000 times, at 0.8 once in 20 million.
+    """Parameters.  With 32 bands of 4 a pair at similarity 0.75 is missed some 3 times in 100,000, averaged over set sizes.
 
-    Sets of up to ``small`` shingles also get prefix-filter keys, which miss nothing.
+    Sets of up to ``small`` shingles, and those that can be similar to one, also get
+    prefix-filter keys, so that no pair with such a set is missed.
     ``sketch_bits`` of 128 may differ between sets of at least ``sketch_from``
     shingles: at similarity 0.75 some 16 do, with a standard deviation of 4.5.
     """
@@ -97,9 +98,9 @@ def densified(found: np.ndarray) -> np.ndarray:
 
 
 def prefix_keys(hashes: np.ndarray, p: HyperMinHash) -> list[int]:
-    """The least hashes of a small set, so many that similar sets must share one of them."""
+    """The least hashes of a small set, or of one that can be similar to a small set: so many that similar sets must share one."""
     n = len(hashes)
-    return hashes[: n + (-n * p.percent // 100) + 1].view(np.int64).tolist() if n <= p.small else []
+    return hashes[: n + (-n * p.percent // 100) + 1].view(np.int64).tolist() if n * p.percent <= 100 * p.small else []
 
 
 def expected_collisions(n: np.ndarray, m: np.ndarray, p: HyperMinHash) -> np.ndarray:
@@ -180,7 +181,8 @@ class _Links:
         wanted = wanted.select("w", F.col("doc.id").alias("w_id"), F.col("doc.hash").alias("w_hash"))
         texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("hash") == F.col("w_hash")))
         sets = texts.select("w", arrow_column(lambda ts: [shingle_hashes(t, size).tobytes() for t in ts], T.BinaryType(), F.col("text")).alias("s"))
-        return staged(sets, "sets").dropDuplicates(["w"])  # repeated rows give equal sets
+        # repeated rows give equal sets; staged without them, so that nothing stands between a join and its shuffle
+        return staged(sets.dropDuplicates(["w"]), "sets")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         side = lambda k: self.classes.select(F.col("digest").alias(k), F.col("registers").alias(f"r_{k}"), F.col("used").alias(f"u_{k}"), F.col("n_shingles").alias(f"n_{k}"), F.col("doc").alias(f"doc_{k}"))
@@ -189,7 +191,8 @@ class _Links:
         near = near.where(_promising(F.col("r_a"), F.col("u_a"), F.col("r_b"), F.col("u_b"), F.col("n_a"), F.col("n_b"), p))
         near = staged(near.select("a", "b", "n_a", "n_b", "doc_a", "doc_b"), "candidates")
         sets = self.sets(near.select(F.col("a").alias("w"), F.col("doc_a").alias("doc")).union(near.select("b", "doc_b")).distinct())
-        full = near.select("a", "b", "n_a", "n_b").join(sets.select(F.col("w").alias("a"), F.col("s").alias("s_a")), "a").join(sets.select(F.col("w").alias("b"), F.col("s").alias("s_b")), "b")
+        # a leads its bucket and may be in very many pairs: its set comes last, where skewed pairs are split and sets aren't shuffled on
+        full = near.select("a", "b", "n_a", "n_b").join(sets.select(F.col("w").alias("b"), F.col("s").alias("s_b")), "b").join(sets.select(F.col("w").alias("a"), F.col("s").alias("s_a")), "a")
         common = full.select("a", "b", "n_a", "n_b", _common(F.col("s_a"), F.col("s_b")).alias("i"))
         return staged(common.where(100 * F.col("i") >= p.percent * (F.col("n_a") + F.col("n_b") - F.col("i"))).select("a", "b"), "confirmed")
 
@@ -201,7 +204,7 @@ def near_duplicates(docs: DataFrame, params: HyperMinHash = HyperMinHash(), doc_
     whose component has null ids only is kept).  A null or empty text has an empty
     set and is a component of its own.  Rows that repeat an id and its text are all
     kept or all not.  Equal sets are one class, however many documents have it, so
-    thousands of copies cost one candidate.
+    thousands of copies cost one candidate.  Long texts are shingled whole.
 
     Candidates come in two passes.  First each bucket's members against its least
     class: linear in the bucket's size, and enough for buckets that hold one group.
@@ -284,6 +287,7 @@ def _assigned(rows: DataFrame, one: DataFrame, p: HyperMinHash) -> DataFrame:
     size = ["n_shingles", "s0", "s1"]
     bands = classes.select("digest", *size, F.explode(keys).alias("key"))
     buckets = bands.groupBy("key").agg(F.min(F.struct("digest", *size)).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "leader")
+    buckets = staged(buckets, "leaders")
     members = staged(bands.join(buckets, "key"), "buckets")
 
     links = _Links(rows, classes, p)
@@ -294,14 +298,15 @@ def _assigned(rows: DataFrame, one: DataFrame, p: HyperMinHash) -> DataFrame:
 
     placed = members.join(roots, F.col("digest") == F.col("node"), "left").select("key", "digest", F.coalesce("root", "digest").alias("root"))
     state = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("digest").alias("first"), F.count(F.lit(1)).alias("n"))
-    open_buckets = state.where("low <> high and n > 2").select("key", "first")
+    open_buckets = staged(state.where("low <> high and n > 2").select("key", "first"), "open")
     rest = staged(placed.join(open_buckets, "key").select("digest", "root", "first").distinct(), "open-buckets")
     more = _cluster_links(rest, classes, links, p)
     if not more.isEmpty():
         roots = staged(connected_components(confirmed.union(more)), "roots")
 
-    least = classes.join(roots, F.col("digest") == F.col("node"), "left").select("digest", F.coalesce("root", "digest").alias("root"), "least")
-    component = least.join(least.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component")), F.col("root") == F.col("r")).select(F.col("digest").alias("c_digest"), "component")
+    least = staged(classes.join(roots, F.col("digest") == F.col("node"), "left").select("digest", F.coalesce("root", "digest").alias("root"), "least"), "least")
+    of_root = staged(least.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component")), "components")
+    component = least.join(of_root, F.col("root") == F.col("r")).select(F.col("digest").alias("c_digest"), "component")
     return one.join(component, F.col("digest") == F.col("c_digest"), "left").select("id", "hash", "n_shingles", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"))
 
 
