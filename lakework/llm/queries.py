@@ -23,7 +23,7 @@ def op2_hyperminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
 def op4_fuzzy_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

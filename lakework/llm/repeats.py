@@ -16,12 +16,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakework.llm.common import arrow_column, arrow_map, arrow_schema, prefix_hash, range_hash, small_or_plain, staged, window_hashes
+from lakework.llm.common import arrow_column, arrow_map, arrow_schema, fresh, prefix_hash, range_hash, small_or_plain, staged, window_hashes
 from lakework.llm.rindex import RunLengthIndex, runs
 
 
@@ -29,13 +28,14 @@ from lakework.llm.rindex import RunLengthIndex, runs
 class Repeats:
     """``shard_bytes`` bounds an index; an anchor with more differing claims than that is refined by longer anchors first.
 
-    ``max_broadcast`` bounds the claims or ranges (some 40 bytes each, so 64 MB) that a join may broadcast.
+    ``max_broadcast`` bounds the claims or ranges that a join may broadcast; with some 64
+    bytes each, and more for the rows that hold them, that is 50 MB.
     """
 
     length: int = 200
     anchor: int = 64
     shard_bytes: int = 2_000_000
-    max_broadcast: int = 1_500_000
+    max_broadcast: int = 750_000
 
 
 CLAIMS = T.StructType(
@@ -44,7 +44,10 @@ CLAIMS = T.StructType(
 SEGMENTS = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("claim", T.LongType()), T.StructField("bytes", T.BinaryType())])
 MARKS = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("claim", T.LongType()), T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
 STRINGS = T.StructType([T.StructField(n, T.LongType()) for n in ("anchor", "claim", "x", "y")] + [T.StructField("at", T.IntegerType())])
-KEPT = T.StructType([T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())])
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+KEPT = T.StructType([T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType()), T.StructField("spans", SPANS)])
+#: Ranges of positions [a, b), merged.
+RANGES = T.ArrayType(T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())]))
 
 
 def _window_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -179,15 +182,32 @@ def removed_spans(ranges: list[tuple[int, int]], length: int) -> list[tuple[int,
     return out
 
 
-def _kept(text: str | None, ranges: list | None, length: int) -> dict:
-    data = (text or "").encode("utf-8", "surrogatepass")
-    spans = removed_spans([(r["a"], r["b"]) for r in ranges or []], length)
-    kept, at = hashlib.sha256(), 0
+def _cut(data: bytes, spans: list[tuple[int, int]]) -> Iterator[bytes]:
+    at = 0
     for a, b in spans:
-        kept.update(data[at:a])
+        yield data[at:a]
         at = b
-    kept.update(data[at:])
-    return {"n_bytes": len(data), "n_removed": sum(b - a for a, b in spans), "n_spans": len(spans), "kept_sha256": kept.hexdigest()}
+    yield data[at:]
+
+
+def _kept(text: str | None, ranges: list | None, length: int) -> dict:
+    data = _bytes(text)
+    spans = removed_spans([(r["a"], r["b"]) for r in ranges or []], length)
+    kept = hashlib.sha256()
+    for part in _cut(data, spans):
+        kept.update(part)
+    return {"n_bytes": len(data), "n_removed": sum(b - a for a, b in spans), "n_spans": len(spans), "kept_sha256": kept.hexdigest(), "spans": [{"start": a, "end": b} for a, b in spans]}
+
+
+def _merged(ranges: list[dict]) -> list[dict]:
+    """Ranges in order, touching ones as one, so that a copied text is a single range."""
+    out: list[dict] = []
+    for r in sorted(ranges, key=lambda r: (r["a"], r["b"])):
+        if out and r["a"] <= out[-1]["b"]:
+            out[-1]["b"] = max(out[-1]["b"], r["b"])
+        else:
+            out.append(dict(r))
+    return out
 
 
 def repeated_ranges(rows: DataFrame, p: Repeats) -> DataFrame:
@@ -196,7 +216,8 @@ def repeated_ranges(rows: DataFrame, p: Repeats) -> DataFrame:
     anchors = claims.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("claim").alias("low"), F.max("claim").alias("high"), F.max("multi").alias("any_multi"))
     alike = (F.col("low") == F.col("high")) & ~F.col("any_multi")
     anchors = anchors.where((F.col("n") > 1) | F.col("any_multi")).select("anchor", alike.alias("alike"))
-    found = staged(claims.join(anchors, "anchor"), "repeated-claims")
+    # staged, so that nothing stands between the join and its shuffle, and claims of a very common anchor are split
+    found = staged(claims.join(staged(anchors, "anchors"), "anchor"), "repeated-claims")
     whole = lambda df: df.select("id", "hash", F.col("pos").alias("a"), (F.col("pos") + F.col("size")).alias("b"))
 
     differing = found.where(~F.col("alike"))
@@ -207,44 +228,63 @@ def repeated_ranges(rows: DataFrame, p: Repeats) -> DataFrame:
     sizes = segments.groupBy("anchor").agg(F.sum(F.length("bytes") + 1).alias("anchor_bytes"))
     sizes = staged(sizes, "anchor-sizes")
     total = sizes.agg(F.sum("anchor_bytes")).first()[0] or 0
-    n_shards = max(1, -(-2 * total // p.shard_bytes))
-    big = sizes.where(F.col("anchor_bytes") > p.shard_bytes).select(F.col("anchor").alias("big"))
-    if big.isEmpty():
-        normal, refined = segments, None
-    else:
-        big = small_or_plain(big, p.max_broadcast)
-        normal = segments.join(big, F.col("anchor") == F.col("big"), "left_anti")
-        refined = _refined_marks(segments.join(big, F.col("anchor") == F.col("big"), "left_semi"), p)
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(n_shards)).alias("shard")
-    marks = normal.withColumn("shard", shard).groupBy("shard").applyInArrow(_index_shard(p), MARKS)
+    # small anchors are dealt by hash into shards of a quarter's mean size; one over that quarter is a shard of its own
+    n_shards = max(1, -(-4 * total // p.shard_bytes))
+    large = sizes.where(F.col("anchor_bytes") > p.shard_bytes // 4).select(F.col("anchor").alias("large"), (F.col("anchor_bytes") > p.shard_bytes).alias("big"))
+    refined, sized = None, segments.withColumns({"large": F.lit(None).cast("long"), "big": F.lit(False)})
+    if not large.isEmpty():
+        large = staged(large, "large-anchors")
+        sized = segments.join(small_or_plain(large, p.max_broadcast), F.col("anchor") == F.col("large"), "left")
+        if not large.where("big").isEmpty():
+            refined = _refined_marks(sized.where("big").select(*SEGMENTS.names), p)
+    shard = F.when(F.col("large").isNull(), F.pmod(F.xxhash64("anchor"), F.lit(n_shards))).otherwise(F.col("large")).alias("shard")
+    normal = sized.where(~F.coalesce("big", F.lit(False))).select(F.col("large").isNotNull().alias("alone"), shard, *SEGMENTS.names)
+    marks = normal.groupBy("alone", "shard").applyInArrow(_index_shard(p), MARKS)
     marks = staged(marks if refined is None else marks.union(refined), "marks")
     # claims that occur more than once repeat as a whole, the others where the index says so
     several = kinds.where("n > 1").select("anchor", "claim")
     once = kinds.where("n = 1").join(marks, ["anchor", "claim"]).select("src.id", "src.hash", (F.col("src.pos") + F.col("a")).alias("a"), (F.col("src.pos") + F.col("b")).alias("b"))
     ranges = whole(found.where("alike")).union(whole(differing.join(several, ["anchor", "claim"]))).union(once)
-    # touching ranges of a text become one, so a copied text is a single range
-    text = W.partitionBy("id", "hash").orderBy("a", "b")
-    reach = F.max("b").over(text.rowsBetween(W.unboundedPreceding, -1))
-    apart = ranges.withColumn("apart", F.coalesce(F.col("a") > reach, F.lit(True)).cast("int"))
-    island = apart.withColumn("island", F.sum("apart").over(text.rowsBetween(W.unboundedPreceding, 0)))
-    merged = island.groupBy("id", "hash", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    return merged.groupBy(F.col("id").alias("m_id"), F.col("hash").alias("m_hash")).agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    # repeated rows give equal ranges, which sets drop before they are shuffled
+    lists = ranges.groupBy(F.col("id").alias("m_id"), F.col("hash").alias("m_hash")).agg(F.collect_set(F.struct("a", "b")).alias("all"))
+    return lists.select("m_id", "m_hash", arrow_column(lambda xs: [_merged(x) for x in xs], RANGES, F.col("all")).alias("ranges"))
+
+
+def _with_ranges(docs: DataFrame, params: Repeats, doc_id: str, packed: Column | None = None) -> DataFrame:
+    """(id, hash, text, ranges), and ``packed`` as ``row``; one row per row of ``docs``."""
+    text = F.col("text").cast("string")
+    extra = [] if packed is None else [packed.alias("row")]
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"), *extra)
+    ranges = staged(repeated_ranges(rows.select("id", "hash", "text"), params), "ranges")
+    n = ranges.agg(F.sum(F.size("ranges") + 2)).first()[0] or 0
+    ranges = F.broadcast(ranges) if n <= params.max_broadcast else ranges
+    return rows.join(ranges, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("hash") == F.col("m_hash")), "left")
 
 
 def remove_repeats(docs: DataFrame, params: Repeats = Repeats(), doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per row of ``docs``.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans), one row per row of ``docs``.
 
     A byte is removed if a ``length``-byte string that covers it also starts anywhere
-    else in the corpus, in the same text included.  A null text counts as empty.
-    Rows that repeat an id and its text are copies of each other: all of them lose
-    what repeats.  Texts under ``length`` bytes lose nothing.
+    else in the corpus, in the same text included.  ``spans`` are the maximal removed
+    runs, as byte offsets.  A null text counts as empty.  Rows that repeat an id and
+    its text are copies of each other: all of them lose what repeats.  Texts under
+    ``length`` bytes lose nothing; long ones are searched whole.
     """
-    text = F.col("text").cast("string")
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-    ranges = staged(repeated_ranges(rows, params), "ranges")
-    n = ranges.agg(F.sum(F.size("ranges"))).first()[0] or 0
-    ranges = F.broadcast(ranges) if n <= params.max_broadcast else ranges
-    joined = rows.join(ranges, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("hash") == F.col("m_hash")), "left")
     length = params.length
     column = arrow_column(lambda ts, rs: [_kept(t, r, length) for t, r in zip(ts, rs, strict=True)], KEPT, F.col("text"), F.col("ranges"))
-    return joined.select(F.col("id").alias(doc_id), column.alias("k")).select(doc_id, "k.*")
+    return _with_ranges(docs, params, doc_id).select(F.col("id").alias(doc_id), column.alias("k")).select(doc_id, "k.*")
+
+
+def without_repeats(docs: DataFrame, params: Repeats = Repeats(), doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with each text's remaining bytes in ``kept``, or another name if ``docs`` has that; all columns, no others.
+
+    Bytes, as a removed run may end within a character.  See ``remove_repeats`` for the cases.
+    """
+    length = params.length
+
+    def one(text, ranges):
+        return b"".join(_cut(_bytes(text), removed_spans([(r["a"], r["b"]) for r in ranges or []], length)))
+
+    column = arrow_column(lambda ts, rs: [one(t, r) for t, r in zip(ts, rs, strict=True)], T.BinaryType(), F.col("text"), F.col("ranges"))
+    joined = _with_ranges(docs, params, doc_id, F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns), column.alias(fresh(docs, "kept")))

@@ -44,6 +44,28 @@ def test_short_strings_and_small_shards(spark, params):
     assert found(repeats.remove_repeats(df, params)) == brute(texts, 40)
 
 
+def test_spans_and_what_is_left(docs, texts):
+    plain = {r.doc_id: r for r in repeats.remove_repeats(docs).collect()}
+    wide = with_clashes(docs)
+    left = repeats.without_repeats(wide)
+    assert left.columns == [*wide.columns, "_kept"]
+    for r in left.select("doc_id", "text", "_kept").collect():
+        data, spans = (r.text or "").encode(), plain[r.doc_id].spans
+        cut = b"".join(data[a:b] for a, b in zip([0, *(s.end for s in spans)], [*(s.start for s in spans), len(data)], strict=True))
+        assert bytes(r._kept) == cut and hashlib.sha256(cut).hexdigest() == plain[r.doc_id].kept_sha256
+        assert len(spans) == plain[r.doc_id].n_spans and sum(s.end - s.start for s in spans) == plain[r.doc_id].n_removed
+
+
+def test_rows_that_repeat_one_text(spark):
+    """One id and text in nine tenths of the rows: their equal ranges are one set, not a window's rows."""
+    rng = random.Random(6)
+    text, other = ("".join(rng.choice("abcdefgh ") for _ in range(900)) for _ in range(2))
+    rows = [(1, text)] * 270 + [(i, other[: 300 + i]) for i in range(2, 32)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)).collect()
+    assert len(got) == 300 and all((r.n_removed, r.n_spans) == (900, 1) for r in got if r.doc_id == 1)
+    assert all(r.n_removed == min(r.n_bytes, 330) and r.n_spans == 1 for r in got if r.doc_id > 1)
+
+
 def test_matching_statistics_equal_brute_force():
     rng = random.Random(5)
     for _ in range(60):
