@@ -20,7 +20,7 @@ _BITS = 52
 
 
 def uniform(key: Column, seed: str) -> Column:
-    """A number in [0, 1) from the first 13 hex digits of the MD5 of ``seed:key``; null hashes as ``null``."""
+    """A number in [0, 1) from the first 13 hex digits of the MD5 of ``seed:key``; a null key hashes as ``null``."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null")))
     return F.conv(F.substring(F.md5(text), 1, _BITS // 4), 16, 10).cast("double") / F.lit(float(1 << _BITS))
 
@@ -86,13 +86,16 @@ def mix(
 
     With ``details``: also ``copy`` (from 0), ``copies``, ``rate`` and
     ``shuffle_key``, under other names if ``docs`` has those.  Rows with the same
-    id get the same count; a null id hashes as ``null``.  An empty table gives an
-    empty result.
+    id get the same count; a null id hashes as ``null:`` and a hash of the whole row, so
+    rows without ids have counts and places of their own.  Texts of any length are only
+    moved.  An empty table gives an empty result.
 
     A copy's place is a hash of (id, copy): partitions by it are even, whatever the
     sources' sizes, and each is in its order.  Unlike a range sort, that reads the
     documents once.  Distributions are computed once a source; they are broadcast if
     they are under ``max_broadcast_numbers`` numbers together, else joined by a shuffle.
+    Rows that repeat one id have one place; they are dealt by the partition that they
+    come from as well, so that no task gets all of them.
     """
     names = {n: fresh(docs, n) for n in ("copy", "copies", "rate", "shuffle_key")}
     rates = target_rates(docs, weights, source, temperature, epochs)
@@ -100,11 +103,13 @@ def mix(
     numbers = rates.agg(F.sum(F.size("_mix_cdf") + 8)).first()[0] or 0
     rates = F.broadcast(rates) if numbers <= max_broadcast_numbers else rates
     columns = [f"`{c}`" for c in docs.columns]
-    row = docs.select(F.struct(*columns).alias("row"), F.col(source).cast("string").alias("s"), F.col(doc_id).cast("string").alias("d"))
+    hashed = [f"`{f.name}`" for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    whole = F.xxhash64(*hashed).cast("string")
+    row = docs.select(F.struct(*columns).alias("row"), F.col(source).cast("string").alias("s"), F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null:"), whole)).alias("d"))
     counted = row.join(rates, F.col("s").eqNullSafe(F.col("_mix_source")), "left").withColumn("n", poisson(uniform(F.col("d"), seed), F.col("_mix_cdf")))
     copies = counted.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    key = F.md5(F.concat(F.lit(f"{seed}-order:"), F.coalesce("d", F.lit("null")), F.lit(":"), F.col("copy").cast("string")))
-    shuffled = copies.drop("_mix_cdf").withColumn("k", key).repartition("k").sortWithinPartitions("k")
+    key = F.md5(F.concat(F.lit(f"{seed}-order:"), F.col("d"), F.lit(":"), F.col("copy").cast("string")))
+    shuffled = copies.drop("_mix_cdf").withColumns({"k": key, "from": F.spark_partition_id()}).repartition("k", "from").sortWithinPartitions("k")
     own = [F.col("row")[c].alias(c) for c in docs.columns]
     if not details:
         return shuffled.select(*own)

@@ -71,6 +71,19 @@ def test_shuffle_is_by_hash_and_without_python(docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_rows_without_ids_differ_and_one_id_is_dealt(spark):
+    nulls = spark.createDataFrame([(None, f"t{i}", "s") for i in range(400)], "doc_id bigint, text string, source string").repartition(8)
+    out = mixing.mix(nulls).collect()
+    assert {r.copies for r in out} >= {1, 2, 3} and len({r.shuffle_key for r in out}) == len(out)
+    hot = spark.createDataFrame([(7 if i % 10 else i, "t", "s") for i in range(400)], "doc_id bigint, text string, source string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = mixing.mix(hot, epochs=3.0).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.p for r in rows if r.doc_id == 7}) > 1 and sum(r.doc_id == 7 for r in rows) % 360 == 0
+
+
 def test_edges(spark, docs):
     assert mixing.mix(docs.where("doc_id < 0")).count() == 0
     wide = with_clashes(docs)
