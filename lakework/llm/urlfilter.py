@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakework.llm.common import fresh
+from lakework.llm.common import fresh, small_or_plain, staged
 
 #: The rules of the registered query: (host, path, verdict).
 RULES = (
@@ -38,7 +38,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, _UPPER, _LOWER), path
 
 
-def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", hash_prefix: int = 8, max_broadcast_rules: int = 50_000) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", hash_prefix: int = 8, max_broadcast_rules: int = 50_000, max_broadcast_urls: int = 300_000) -> DataFrame:
     """``pages`` with host, path, rule and verdict.
 
     A rule fits its host and all subdomains of it, if the path starts with the
@@ -50,6 +50,9 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     Only expressions that some rule could equal are made: path prefixes of the
     rules' lengths, host suffixes of the rules' numbers of labels.  So a URL of a
     thousand dots costs no more than another, and prefixes match exactly as strings.
+
+    URLs with a rule are staged and joined back: broadcast if they are few and short,
+    else shuffled, where very common URLs are split; a null URL is dealt by its row.
     """
     names = {n: fresh(pages, n) for n in ("host", "path", "rule", "verdict", "best_u", "best_verdict")}
     rules = rules.where("host is not null and host <> '' and path is not null").select(
@@ -70,15 +73,17 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     expressions = expressions.select("u", digest(F.col("h"), F.col("p")).alias("d")).withColumn("short", F.substring("d", 1, hash_prefix))
 
     table = rules.withColumn("r_digest", digest(F.col("r_host"), F.col("r_path"))).withColumn("r_short", F.substring("r_digest", 1, hash_prefix))
-    if shape.n <= max_broadcast_rules:
-        table = F.broadcast(table)
+    table = small_or_plain(table, max_broadcast_rules, "r_host", "r_path", "r_verdict", "r_digest")
     hits = expressions.join(table, F.col("short") == F.col("r_short")).where(F.col("d") == F.col("r_digest"))
     rule = F.concat("r_host", "r_path")
     best = hits.groupBy("u").agg(F.max(F.struct(F.length(rule).alias("n"), (F.col("r_verdict") == "block").alias("b"), rule.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
     best = best.select(F.col("u").alias(names["best_u"]), F.col("best.rule").alias(names["rule"]), F.col("best.verdict").alias(names["best_verdict"]))
+    best = small_or_plain(staged(best, "urls"), max_broadcast_urls, names["best_u"], names["rule"])
 
     # only URLs with a rule come back; hosts and paths are plain expressions of the row
     host, path = url_parts(F.col(f"`{url}`").cast("string"))
-    joined = pages.join(best, F.col(f"`{url}`").cast("string") == F.col(names["best_u"]), "left")
+    # a null's stand-in has no ://, so it equals no URL that has a rule
+    key = F.coalesce(F.col(f"`{url}`").cast("string"), F.concat(F.lit("\n"), F.xxhash64(*(f"`{f.name}`" for f in pages.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString())).cast("string")))
+    joined = pages.join(best, key == F.col(names["best_u"]), "left")
     columns = [pages[f"`{c}`"] for c in pages.columns]
     return joined.select(*columns, host.alias(names["host"]), path.alias(names["path"]), F.col(names["rule"]), F.coalesce(names["best_verdict"], F.lit(default)).alias(names["verdict"]))

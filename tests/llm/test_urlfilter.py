@@ -56,3 +56,11 @@ def test_edges(spark):
     assert urlfilter.judge(df, urlfilter.rule_table(spark).limit(0)).where("rule is not null").count() == 0
     wide = urlfilter.judge(with_clashes(df), urlfilter.rule_table(spark))
     assert as_rows(wide.select("page_id", "_host", "_path", "_rule", "_verdict")) == as_rows(out.select("page_id", "host", "path", "rule", "verdict"))
+
+
+@pytest.mark.parametrize("few", [0, 300_000])
+def test_one_url_on_nine_tenths_of_the_pages(spark, few):
+    urls = ["http://www.example.com/en/" if i % 10 else None if i % 20 else f"http://{i}.net/es/" for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(8)
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(df, urlfilter.rule_table(spark), max_broadcast_urls=few).collect()}
+    assert got == {i: brute(u, urlfilter.RULES) for i, u in enumerate(urls)}
