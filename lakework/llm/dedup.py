@@ -243,7 +243,8 @@ def _cluster_links(rest: DataFrame, classes: DataFrame, links: _Links, p: HyperM
     block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     placed = sets.join(sizes, F.col("cluster") == F.col("c")).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = placed.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "digest", "component", "s")
-    found = units.groupBy("cluster", "low", "high").applyInArrow(lambda t: _joined(t, p.percent), PAIRS)
+    # dealt by all three columns: rows that are already dealt by cluster would leave a cluster's units to one task
+    found = units.repartition("cluster", "low", "high").groupBy("cluster", "low", "high").applyInArrow(lambda t: _joined(t, p.percent), PAIRS)
     return staged(found.distinct(), "cluster-links")
 
 
