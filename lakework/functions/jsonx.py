@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from typing import Any
 
 import pyarrow as pa
@@ -93,27 +93,44 @@ def as_list(value: Any) -> list:
     return value if isinstance(value, list) else [] if value is None else [value]
 
 
+def listed(text: Column) -> Column:
+    """The JSON in ``text`` as an array of strings: a scalar is a list of one, null or malformed text of none."""
+    return _mapped(lambda t: [v if isinstance(v, str) else stable(v) for v in as_list(_parse(t))], T.ArrayType(T.StringType()))(text)
+
+
+def same_json(a: Column, b: Column) -> Column:
+    """Are two JSON objects equal, whatever their keys' order, a null key like an absent one?"""
+
+    def bare(text: str | None) -> str:
+        value = _parse(text)
+        return stable({k: v for k, v in value.items() if v is not None} if isinstance(value, Mapping) else value)
+
+    return _mapped(lambda x, y: bare(x) == bare(y), T.BooleanType())(a, b)
+
+
 def agreement_value(value: Any, ignored: frozenset[str], keep_strings: bool = True) -> Any:
-    """What two runs must agree on.  Ignored keys, nulls and empty containers vanish; lists compare as bags."""
+    """What two runs must agree on, or null if nothing is left.  Ignored keys, nulls and empty containers vanish inside; lists compare as bags."""
     if isinstance(value, Mapping):
-        kept = {k: agreement_value(v, ignored, keep_strings) for k, v in value.items() if k not in ignored}
-        return {k: v for k, v in kept.items() if v is not None} or None
+        inner = ((k, agreement_value(v, ignored, keep_strings)) for k, v in value.items() if k not in ignored)
+        return {k: v for k, v in inner if v is not None} or None
     if isinstance(value, list):
-        items = [x for x in (agreement_value(v, ignored, keep_strings) for v in value) if x is not None]
-        return sorted(items, key=stable) or None
-    return None if isinstance(value, str) and not keep_strings else value
+        bag = [x for v in value if (x := agreement_value(v, ignored, keep_strings)) is not None]
+        return sorted(bag, key=stable) or None
+    return value if keep_strings or not isinstance(value, str) else None
 
 
 def event_signature(events: Any, ignored: Iterable[str], comparable: Mapping[str, Iterable[str]]) -> str:
-    """An order-free signature of a record's events, on comparable fields only."""
-    skip = frozenset(ignored)
-    out = []
-    for kind, members in (events or {}).items() if isinstance(events, dict) else []:
-        for event in members if isinstance(members, list) else []:
-            if isinstance(event, dict):
-                allowed = set(comparable.get(kind, ()))
-                out.append(stable([kind, agreement_value({k: v for k, v in event.items() if k in allowed}, skip)]))
-    return stable(sorted(out))
+    """An order-free signature of a record's events, on comparable fields only.
+
+    An event type with an empty list differs from an absent one, and a comparable
+    field without a value (null, or empty) from one that isn't there.
+    """
+    skip, seen = frozenset(ignored), {}
+    for kind, members in events.items() if isinstance(events, Mapping) else ():
+        if isinstance(members, list):
+            names = set(comparable.get(kind, ())) - skip
+            seen[kind] = sorted(stable({n: agreement_value(e[n], skip) for n in names & e.keys()}) for e in members if isinstance(e, Mapping))
+    return stable(seen)
 
 
 def signature(events: Column, ignored: Iterable[str], comparable: Mapping[str, Iterable[str]]) -> Column:
@@ -139,37 +156,35 @@ def flatten(value: Mapping[str, Any], prefix: str = "") -> dict[str, str | None]
     Objects nest as ``parent_child``; lists join with ``;`` (empty: null);
     approximate dates and strings that look like partial dates are padded and get
     ``_precision`` (and ``_anchor`` if they have one).  H4: of two leaves with one
-    name, the later is kept under ``parent_name`` if it has a parent, else over the first.
+    name the later wins, or, with a ``prefix``, is kept under ``prefix_name``.
     """
     out: dict[str, str | None] = {}
-    _flatten(value, prefix, out)
+    for name, leaf in _leaves(value):
+        out[f"{prefix}_{name}" if prefix and name in out else name] = leaf
     return out
 
 
-def _flatten(value: Mapping[str, Any], prefix: str, out: dict[str, str | None]) -> None:
-    for name, v in value.items():
-        key = f"{prefix}_{name}" if prefix else str(name)
-        if isinstance(v, Mapping) and {"date", "precision"} <= v.keys():
-            date, code = v["date"], v["precision"]
-            date = None if date is None else str(date)
-            _put(out, key, _pad(date) if _form(date) != "unknown" else date, prefix)
-            known = isinstance(code, int) and not isinstance(code, bool) and 1 <= code <= 3
-            _put(out, f"{key}_precision", "unknown" if date is None else _PRECISION[code] if known else _form(date), prefix)
-            if v.get("anchor") is not None:
-                _put(out, f"{key}_anchor", str(v["anchor"]), prefix)
-        elif isinstance(v, Mapping):
-            _flatten(v, key, out)
-        elif isinstance(v, list):
-            _put(out, key, ";".join(map(str, v)) if v else None, prefix)
-        elif isinstance(v, str) and _PARTIAL.fullmatch(v):
-            _put(out, key, _pad(v), prefix)
-            _put(out, f"{key}_precision", _form(v), prefix)
-        else:
-            _put(out, key, None if v is None else str(v), prefix)
-
-
-def _put(out: dict[str, str | None], key: str, value: str | None, prefix: str) -> None:
-    out[f"{prefix}_{key}" if key in out and prefix else key] = value
+def _leaves(value: Mapping[str, Any], parents: str = "") -> Iterator[tuple[str, str | None]]:
+    """(name, text) of the leaves, in order."""
+    for own, v in value.items():
+        name = f"{parents}{own}"
+        match v:
+            case {"date": date, "precision": code}:
+                date = None if date is None else str(date)
+                known = type(code) is int and 1 <= code <= 3
+                yield name, date if _form(date) == "unknown" else _pad(date)
+                yield f"{name}_precision", "unknown" if date is None else _PRECISION[code] if known else _form(date)
+                if v.get("anchor") is not None:
+                    yield f"{name}_anchor", str(v["anchor"])
+            case Mapping():
+                yield from _leaves(v, f"{name}_")
+            case str() if _PARTIAL.fullmatch(v):
+                yield name, _pad(v)
+                yield f"{name}_precision", _form(v)
+            case list():
+                yield name, ";".join(map(str, v)) if v else None
+            case _:
+                yield name, None if v is None else str(v)
 
 
 def flattened(text: Column) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakework.functions.hashing import blake2b_128
-from lakework.functions.jsonx import data_fields, flatten, flattened, short_hash, stable
+from lakework.functions.jsonx import data_fields, flattened, short_hash, stable
+from lakework.operators.versions import highest_segment_rows
 from lakework.schemas import EXTRACTIONS, conform
 from lakework.types import struct
 
@@ -122,6 +123,12 @@ def explode_events(recs: DataFrame, identity: Mapping[str, Sequence[str]] | None
     return recs.select(*rest, F.explode(found("events_json")).alias("_e")).select(*rest, "_e.*")
 
 
+def batch_order(recs: DataFrame) -> DataFrame:
+    """Each note's records of its highest segment, ordered by ``line_no`` across segments."""
+    last = highest_segment_rows(recs, "note_id", "segment")
+    return last.withColumn("line_no", F.struct("segment", "line_no"))
+
+
 def slots(recs: DataFrame, identity: Mapping[str, Sequence[str]] | None = None, order: str = "line_no") -> DataFrame:
     """H6: events with ``event_key`` = note, type and identity, unique across the batch.
 
@@ -159,10 +166,6 @@ def event_table(recs: DataFrame, names: Iterable[str] | None = None) -> DataFram
     return widen(rows, "_map", ["note_id", "tool_name", "mrn", "gate_result"], names)
 
 
-def flatten_fields(fields: Mapping) -> dict[str, str | None]:
-    return flatten(fields)
-
-
 def run_tally(recs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Records, successes, failures and the success rate."""
     ok = F.count_if(F.coalesce("success", F.lit(False)))
