@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import time
 from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from typing import Any, Protocol
 
 import pyarrow as pa
@@ -53,6 +54,7 @@ class Limits:
     rounds: int = 12
     retries: int = 3
     wait_seconds: float = 0.0
+    debug_dir: str | None = None
 
 
 def prompt(system: str, note: str) -> list[dict]:
@@ -77,9 +79,12 @@ def tool_calls(items: list[Mapping[str, Any]]) -> list[tuple[str, dict]]:
 
 
 def extract_note(note_id: str, text: str, system: str, registry: Registry, backend: Backend, limits: Limits = Limits()) -> dict:
-    """Converse until a terminal call; failed calls are reported back and may be retried a few times.
+    """Converse until a terminal call; failed calls are reported back and may be retried a few times.
 
-    Returns the record without its envelope: events and plans by type, finish, rounds, tokens.
+    Every reply's calls and their results become part of the conversation, without the
+    note's id, so a backend needs no memory.  With ``debug_dir`` each round is written
+    there as JSON.  Returns the record without its envelope: events and plans by type,
+    finish, rounds, tokens.
     """
     tools, messages, retries = registry.fresh(), prompt(system, text), 0
     out = {"events": {}, "plans": {}, "finish": None, "rounds": 0, "input_tokens": 0, "output_tokens": 0, "reasoning_tokens": 0, "gate_result": None, "success": False, "error": None}
@@ -88,12 +93,17 @@ def extract_note(note_id: str, text: str, system: str, registry: Registry, backe
         out["rounds"] += 1
         for k in ("input_tokens", "output_tokens", "reasoning_tokens"):
             out[k] += getattr(reply, k)
+        asked, results = list(messages), []
         if not reply.calls:
             messages.append({"role": "user", "content": "Call a tool, or finish."})
+            _dump(limits.debug_dir, note_id, out["rounds"], asked, reply, results)
             continue
         problems = []
         for name, arguments in reply.calls:
             result = tools.execute(name, {"note_id": note_id, **arguments})
+            messages.append({"role": "assistant", "call": {"name": name, "arguments": {k: v for k, v in arguments.items() if k != "note_id"}}})
+            messages.append({"role": "tool", "name": name, "content": result["status"] if result["ok"] else result["error"]})
+            results.append({"name": name, **result})
             if not result["ok"]:
                 problems.append(result["error"])
                 continue
@@ -103,6 +113,7 @@ def extract_note(note_id: str, text: str, system: str, registry: Registry, backe
                 out["finish"] = value
             else:
                 out["plans" if tool.plan else "events"].setdefault(name, []).append(value)
+        _dump(limits.debug_dir, note_id, out["rounds"], asked, reply, results)
         if problems:
             retries += 1
             if retries > limits.retries:
@@ -119,6 +130,17 @@ def extract_note(note_id: str, text: str, system: str, registry: Registry, backe
     return out
 
 
+def _dump(folder: str | None, note_id: str, number: int, messages: list[dict], reply: Reply, results: list[dict]) -> None:
+    """One round as a JSON file, if asked; a fault in writing it is no fault of the extraction."""
+    if folder:
+        try:
+            os.makedirs(folder, exist_ok=True)
+            with open(os.path.join(folder, f"{re.sub(r'[^A-Za-z0-9._-]', '_', note_id)}_r{number}.json"), "w") as f:
+                json.dump({"note_id": note_id, "round": number, "request": messages, "response": asdict(reply), "results": results}, f, indent=2, default=str)
+        except OSError:
+            pass
+
+
 def record_of(note: Mapping[str, Any], definition: str, run_meta: Mapping[str, Any], at: str, work: Callable[[], dict]) -> dict:
     """A note's record; an exception makes a failed record, not a failed job."""
     head = {"note_id": note["id"], "mrn": note.get("mrn"), "definition_name": definition, "extracted_at": at, "source_content_hash": note.get("hash")}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from pathlib import Path
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,17 @@ from pyspark.sql import functions as F
 
 from lakework.functions.jsonx import strict_json
 
+#: A lake folder's id columns, which must not be null; folders that are keyed by hash need those columns too.
+ID_COLUMNS = {
+    "pathology": ("report_id",),
+    "fc_extractions": ("record_id",),
+    "fc_reviews": ("event_key",),
+    "fc_adjudications": ("adjudication_key",),
+    "runs": ("run_id",),
+    "tombstones": ("event_id",),
+}
+HASHED = ("pathology", "fc_extractions", "fc_reviews", "fc_adjudications")
+
 LAYOUT = "check string, severity string, dataset string, detail string, n bigint"
 
 
@@ -91,14 +103,30 @@ def alignment(lake: Mapping[str, DataFrame], tables: Mapping[str, DataFrame | No
 def run_checks(spark: SparkSession, paths: Mapping[str, str], keys: Mapping[str, Sequence[str]], logs: Mapping[str, DataFrame] | None = None, tables: Mapping[str, DataFrame | None] | None = None) -> DataFrame:
     """All findings.  The lake passes if none of them is an error."""
     good, findings = readable(spark, paths)
-    frames = [findings, required_columns(spark, good, {n: [*keys.get(n, ()), "key_hash", "content_hash"] for n in good})]
+    frames = [findings, required_columns(spark, good, {n: [*keys.get(n, ()), *(("key_hash", "content_hash") if n.split("/")[0] in HASHED or "/" not in n else ())] for n in good})]
     for name, df in good.items():
         frames += [null_ids(df, name, keys.get(name, ())), duplicate_keys(df, name), empty_dataset(df, name)]
     frames += [unparseable_lines(df, name) for name, df in (logs or {}).items()]
-    if tables is not None and good:
-        frames.append(alignment(good, tables))
+    if tables:
+        # what can't be read is reported already, and a table that isn't in the catalog yet isn't out of step
+        both = {n: df for n, df in good.items() if n in tables}
+        frames += [alignment(both, tables)] if both else []
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def check_lake(spark: SparkSession, inbox: Path, lake: Path, folders: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """N8 for a lake on disk: every table by folder and name, its id columns, the inbox's logs, and the catalog's tables if it has been built."""
+    paths, keys, tables = {}, {}, {}
+    for folder, (_, database) in folders.items():
+        for path in sorted((lake / folder).glob("*.parquet")):
+            name = f"{folder}/{path.stem}"
+            paths[name], keys[name] = str(path), ID_COLUMNS.get(folder, ())
+            if spark.catalog.databaseExists(database):
+                table = f"`{database}`.`{path.stem}`"
+                tables[name] = spark.table(table) if spark.catalog.tableExists(table) else None
+    logs = {str(p.relative_to(inbox)): spark.read.text(str(p)) for p in sorted(inbox.rglob("*.jsonl"))} if inbox.exists() else {}
+    return run_checks(spark, paths, keys, logs, {n: t for n, t in tables.items() if t is not None} or None)
+
+
 def passes(findings: DataFrame) -> bool:
     return findings.where("severity = 'error'").isEmpty()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,17 +94,22 @@ def promote(folder: Path, target: Path) -> Path:
     return target
 
 
-def write_package(worklist: DataFrame, path: Path, **head) -> Path:
-    """A review package from ``worklist`` rows; one patient is in memory at a time."""
+def review_patient(row) -> dict:
+    """A ``review.worklist`` row as a package has it."""
+    notes = {n["note_id"]: (n["note"].asDict() if n["note"] else {}) for n in row["notes"]}
+    events = [{**{k: e[k] for k in ("event_key", "event_type", "note_id", "fingerprint")}, "fields": json.loads(e["fields_json"])} for e in row["events"]]
+    return {"mrn": row["patient"], "notes": notes, "events": events}
+
+
+def write_package(patients: DataFrame, path: Path, to_patient: Callable = review_patient, **head) -> Path:
+    """A package from rows of patients; one patient is in memory at a time."""
     path.parent.mkdir(parents=True, exist_ok=True)
     staging = path.with_name(f".{path.name}.tmp")
     with staging.open("w") as f:
         f.write(json.dumps(head, indent=2, default=str)[:-2] + (",\n" if head else "\n") + '  "patients": [')
         first = True
-        for row in worklist.orderBy("patient").toLocalIterator():
-            notes = {n["note_id"]: (n["note"].asDict() if n["note"] else {}) for n in row["notes"]}
-            events = [{**{k: e[k] for k in ("event_key", "event_type", "note_id", "fingerprint")}, "fields": json.loads(e["fields_json"])} for e in row["events"]]
-            f.write(("" if first else ",") + "\n" + json.dumps({"mrn": row["patient"], "notes": notes, "events": events}, default=str))
+        for row in patients.orderBy("patient").toLocalIterator():
+            f.write(("" if first else ",") + "\n" + json.dumps(to_patient(row), default=str))
             first = False
         f.write("\n  ]\n}\n")
         f.flush()

@@ -262,7 +262,7 @@ def test_batches_are_incremental(spark, tmp_path):
     assert run(notes)["succeeded"] == 2
     assert run(notes)["processed"] == 0
     changed = notes.withColumn("hash", F.when(F.col("id") == "2", "new").otherwise(F.col("hash")))
-    assert run(changed) | {"run_id": 0} == {"run_id": 0, "segment": 2, "processed": 1, "succeeded": 1}
+    assert run(changed) | {"run_id": 0} == {"run_id": 0, "segment": 2, "processed": 1, "succeeded": 1, "categories": {"changed": 1, "new": 1, "skipped": 1}}
     assert run(notes, full=True)["segment"] == 3
     recs = events.records(readers.segments(spark, str(tmp_path / "fc_extractions" / "b")))
     assert recs.count() == 5 and events.event_table(recs).where("kind = 'size'").first().value == "4.0"
@@ -323,3 +323,80 @@ def test_command_line(spark, tmp_path, capsys):
     assert '"row_count": 1' in capsys.readouterr().out
     assert cli.main([*root, "forget", "cohort", "c"]) == 0 and cli.main([*root, "ingest", "cohorts"]) == 0
     assert not (tmp_path / "lake" / "cohorts" / "c.parquet").exists()
+
+
+def test_rounds_from_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    """Extract twice, review the flagged notes, adjudicate the two batches: each step reads what the one before wrote."""
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    inbox, out = tmp_path / "in", tmp_path / "out"
+    (tmp_path / "c.json").write_text(json.dumps({"inbox": str(inbox), "lake": str(out)}))
+    run = lambda *a: cli.main(["--config", str(tmp_path / "c.json"), *a])
+    assert run("init") == 0 and run("config") == 0
+    rows = [(f"r{i}", f"size is {i} mm" + "?" * (i % 2), "m") for i in range(6)]
+    spark.createDataFrame(rows, "report_id string, report_text string, mrn string").createOrReplaceTempView("notes_v")
+    source = spark.table("notes_v").withColumn("content_hash", F.unhex(F.md5("report_text")))
+    source.createOrReplaceTempView("notes_v")
+    (tmp_path / "ids.csv").write_text("report_id\nr1\nr2\n")
+    put(inbox / "cohorts" / "few.csv", "report_id\nr3\nr4\nr5\n")
+    assert run("ingest", "cohorts") == 0
+    assert run("fc", "run-single", "a", "--source", "notes_v", "--where", "report_id <> 'r0'") == 0
+    assert run("fc", "run-single", "b", "--source", "notes_v", "--cohort", "few") == 0
+    capsys.readouterr()
+    assert run("fc", "run-single", "a", "--source", "notes_v", "--where", "report_id <> 'r0'", "--force-rerun", str(tmp_path / "ids.csv")) == 0
+    assert json.loads(capsys.readouterr().out)["categories"] == {"forced": 2, "skipped": 3, "forced_missing": 0}
+    with pytest.raises(ValueError, match="keyed by"):
+        run("fc", "run-single", "b", "--source", "notes_v", "--cohort", "few", "--id-col", "mrn")
+    with pytest.raises(ValueError, match="source table"):
+        run("fc", "run-single", "b", "--jsonl", "x", "--where", "true")
+    assert run("fc", "review-package", "a", "--only-flagged") == 0
+    package = json.loads((inbox / "fc_reviews" / "a.001.review_pkg.json").read_text())
+    assert package["definition_name"] == "demo" and {e["note_id"] for p in package["patients"] for e in p["events"]} == {"r1", "r3", "r5"}
+    assert package["patients"][0]["notes"]["r1"]["note_text"] == "size is 1 mm?"
+    keys = [e["event_key"] for p in package["patients"] for e in p["events"]]
+    jsonl(inbox / "fc_reviews" / "a.001.review_log.jsonl", *({"event_key": k, "verdict": "approved", "reviewed_at": "2024"} for k in keys))
+    assert run("adjudication", "create", "r1", "a", "b") == 0
+    round_ = json.loads((inbox / "fc_adjudications" / "r1.adjudication_pkg.json").read_text())
+    assert round_["summary"] == {"left_records": 7, "right_records": 3, "disagreements": 3, "different": 0, "missing_left": 0, "missing_right": 3}
+    items = [e["adjudication_key"] for p in round_["patients"] for e in p["events"]]
+    jsonl(inbox / "fc_adjudications" / "r1.adjudication_log.jsonl", *({"adjudication_key": k, "decision": "left", "reviewed_at": "2024"} for k in items))
+    assert run("ingest") == 0
+    silver = spark.read.parquet(str(out / "fc_reviews" / "a.parquet"))
+    assert {(r.note_id, r.acceptance_reason) for r in silver.collect()} == {(f"r{i}", "flagged_reviewed" if i % 2 else "unflagged_autoaccept") for i in range(1, 6)}
+    assert spark.read.parquet(str(out / "fc_adjudications" / "r1.parquet")).count() == 3
+    assert run("runs", "list", "--type", "fc_single") == 0 and run("status", "--check") == 0
+
+
+def test_rounds_of_conversation_are_dumped(tmp_path):
+    class Slips(runner.FakeBackend):
+        seen = ()
+
+        def reply(self, messages, tools):
+            self.seen = (*self.seen, [m for m in messages if m["role"] in ("assistant", "tool")])
+            if len(self.seen) == 1:
+                return runner.Reply([("record_status", {"status": "wrong", "note_id": "n/1"})])
+            return super().reply(messages, tools)
+
+    backend = Slips()
+    out = runner.extract_note("n/1", "size 3 mm", "s", registry.DEMO, backend, runner.Limits(debug_dir=str(tmp_path)))
+    assert out["success"] and out["rounds"] == 2
+    assert backend.seen[1] == [{"role": "assistant", "call": {"name": "record_status", "arguments": {"status": "wrong"}}}, {"role": "tool", "name": "record_status", "content": "status: not one of present, absent, unclear"}]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["n_1_r1.json", "n_1_r2.json"]
+
+
+def test_settings(tmp_path, monkeypatch):
+    from lakework.config import BackendSettings, Config, load_config, save_config
+
+    config = Config(lake="l", backends={"b": BackendSettings("chat", "http://h", "m")})
+    for name in ("c.json", "c.yaml"):
+        assert load_config(save_config(config, tmp_path / name)) == config
+    assert load_config(tmp_path / "none.json") == Config()
+    (tmp_path / "bad.json").write_text('{"no": 1}')
+    with pytest.raises(ValueError, match="unknown settings"):
+        load_config(tmp_path / "bad.json")
+    with pytest.raises(ValueError, match="type must be"):
+        BackendSettings("other")
+    monkeypatch.delenv("LAKEWORK_API_KEY", raising=False)
+    with pytest.raises(ValueError, match="LAKEWORK_API_KEY"):
+        config.backend("b").api_key()
+    with pytest.raises(ValueError, match="no backend"):
+        config.backend("x")
