@@ -63,7 +63,7 @@ def log_last_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""SELECT event_type, k, count(*) AS n, count(*) FILTER (WHERE k % 2 = 0) AS succeeded
            FROM (SELECT event_type, json_extract_string(props, '$.k')::BIGINT AS k FROM events) GROUP BY event_type, k""")
 def json_extract_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3, E7."""
+    """A JSON field per row, by Spark's own parser, and its tally."""
     rows = _t(spark, sf_dir, "events").select("event_type", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
     return rows.groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("k") % 2 == 0).alias("succeeded"))
 
@@ -84,7 +84,7 @@ def cohort_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT doc_id, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def unlabelled_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F9, I6."""
+    """F9."""
     return diff.pair_anti(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"), ["doc_id"]).select("doc_id", "n_chars")
 
 
@@ -182,7 +182,7 @@ def snapshot_diff_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
            SELECT CASE WHEN NOT known THEN 'new' WHEN legacy THEN CASE WHEN forced THEN 'forced' ELSE 'skipped' END WHEN NOT same THEN 'changed'
                        WHEN NOT same_def THEN 'definition_changed' WHEN forced THEN 'forced' ELSE 'skipped' END AS category, count(*) AS n, sum(id)::BIGINT AS ids FROM f GROUP BY 1""")
 def delta_categorise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incremental categories with definition changes and forced ids."""
+    """Incremental categories with definition changes and forced ids."""
     docs = _t(spark, sf_dir, "documents").withColumn("id", F.col("doc_id").cast("string"))
     n = F.col("doc_id")
     src = F.when(n % 6 == 0, F.lit(None)).when(n % 4 == 0, F.md5(F.concat("text", F.lit("old")))).otherwise(F.md5("text"))
@@ -265,7 +265,7 @@ def adjudication_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""WITH s AS (SELECT user_id::VARCHAR AS note_id, list_sort(list(event_type)) AS a, list_sort(list(event_type) FILTER (WHERE event_id % 20 <> 0)) AS b, count(*) FILTER (WHERE event_id % 20 <> 0) AS n FROM events GROUP BY user_id)
            SELECT note_id FROM s WHERE n = 0 OR a <> b""")
 def disagreement_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notes where a second run lacks the note or sees other events."""
+    """Notes where a second run lacks the note or sees other events."""
     e = _t(spark, sf_dir, "events").withColumn("note_id", F.col("user_id").cast("string"))
 
     def run(rows: DataFrame) -> DataFrame:
@@ -367,7 +367,7 @@ def key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT 'a' AS part, doc_id, lang, NULL AS quality FROM documents UNION ALL SELECT 'b', doc_id, NULL, quality::BIGINT FROM labels")
 def union_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns that one side lacks are null, types widen."""
+    """columns that one side lacks are null, types widen."""
     a = _t(spark, sf_dir, "documents").select(F.lit("a").alias("part"), "doc_id", "lang")
     b = _t(spark, sf_dir, "labels").select(F.lit("b").alias("part"), "doc_id", F.col("quality").cast("bigint").alias("quality"))
     return diff.union_relaxed(a, b)
@@ -492,9 +492,11 @@ def tombstone_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""WITH a AS (SELECT user_id::VARCHAR AS k, max(event_id) AS l FROM events WHERE event_id % 3 <> 0 GROUP BY user_id), b AS (SELECT user_id::VARCHAR AS k, max(event_id) AS r FROM events WHERE event_id % 3 <> 1 GROUP BY user_id)
            SELECT k AS adjudication_key, CASE WHEN l IS NULL THEN 'missing_left' WHEN r IS NULL THEN 'missing_right' ELSE 'different' END AS adjudication_status, CASE k::BIGINT % 3 WHEN 0 THEN 'left' WHEN 1 THEN 'right' ELSE 'custom' END AS adjudication_decision,
                   CASE k::BIGINT % 3 WHEN 0 THEN l::VARCHAR WHEN 1 THEN r::VARCHAR ELSE 'own' END AS v
-           FROM a FULL JOIN b USING (k) WHERE l IS DISTINCT FROM r AND l IS NOT NULL AND r IS NOT NULL AND k::BIGINT % 5 <> 4""")
+           FROM a FULL JOIN b USING (k) WHERE l IS DISTINCT FROM r AND l IS NOT NULL AND r IS NOT NULL AND k::BIGINT % 5 <> 4
+           UNION ALL SELECT k, CASE WHEN l IS NULL THEN 'missing_left' ELSE 'missing_right' END, CASE WHEN l IS NULL THEN 'right' ELSE 'left' END, coalesce(l, r)::VARCHAR
+           FROM a FULL JOIN b USING (k) WHERE (l IS NULL OR r IS NULL) AND k::BIGINT % 5 <> 4""")
 def adjudicated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decisions applied to the disagreements of two batches; excluded items vanish."""
+    """Decisions applied to the disagreements of two batches, missing sides too; excluded items vanish."""
     from lakework.operators import adjudicate
 
     e = _t(spark, sf_dir, "events")
@@ -503,9 +505,9 @@ def adjudicated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         last = e.where(F.col("event_id") % 3 != rest).groupBy(F.col("user_id").cast("string").alias("event_key")).agg(F.max("event_id").alias("v"))
         return last.select("event_key", F.lit("e").alias("event_type"), F.col("event_key").alias("note_id"), F.lit("m").alias("mrn"), F.concat(F.lit('{"v":'), F.col("v").cast("string"), F.lit("}")).alias("fields_json"))
 
-    items = adjudicate.disagreements(adjudicate.align(side(0), side(1), {"e": ["v"]})).where("status = 'different'")
+    items = adjudicate.disagreements(adjudicate.align(side(0), side(1), {"e": ["v"]}))
     k = F.col("adjudication_key").cast("bigint")
-    decision = F.when(k % 5 == 4, "exclude").when(k % 3 == 0, "left").when(k % 3 == 1, "right").otherwise("custom")
+    decision = F.when(k % 5 == 4, "exclude").when(F.col("status") == "missing_left", "right").when(F.col("status") == "missing_right", "left").when(k % 3 == 0, "left").when(k % 3 == 1, "right").otherwise("custom")
     log = items.select("adjudication_key", decision.alias("decision"), F.lit('{"v":"own"}').alias("adjudicated_fields_json"))
     return adjudicate.adjudicated(items, log).select("adjudication_key", "adjudication_status", "adjudication_decision", "v")
 
