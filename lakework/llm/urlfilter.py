@@ -38,7 +38,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, _UPPER, _LOWER), path
 
 
-def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", hash_prefix: int = 8, max_broadcast_rules: int = 50_000, max_broadcast_urls: int = 300_000) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", hash_prefix: int = 8, max_broadcast_rules: int = 50_000, max_broadcast_urls: int = 20_000) -> DataFrame:
     """``pages`` with host, path, rule and verdict.
 
     A rule fits its host and all subdomains of it, if the path starts with the
@@ -78,7 +78,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     rule = F.concat("r_host", "r_path")
     best = hits.groupBy("u").agg(F.max(F.struct(F.length(rule).alias("n"), (F.col("r_verdict") == "block").alias("b"), rule.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("best"))
     best = best.select(F.col("u").alias(names["best_u"]), F.col("best.rule").alias(names["rule"]), F.col("best.verdict").alias(names["best_verdict"]))
-    best = small_or_plain(staged(best, "urls"), max_broadcast_urls, names["best_u"], names["rule"])
+    best = small_or_plain(staged(best, "urls"), max_broadcast_urls, names["best_u"], names["rule"], bytes_=4 << 20)
 
     # only URLs with a rule come back; hosts and paths are plain expressions of the row
     host, path = url_parts(F.col(f"`{url}`").cast("string"))

@@ -58,7 +58,7 @@ def test_edges(spark):
     assert as_rows(wide.select("page_id", "_host", "_path", "_rule", "_verdict")) == as_rows(out.select("page_id", "host", "path", "rule", "verdict"))
 
 
-@pytest.mark.parametrize("few", [0, 300_000])
+@pytest.mark.parametrize("few", [0, 20_000])
 def test_one_url_on_nine_tenths_of_the_pages(spark, few):
     urls = ["http://www.example.com/en/" if i % 10 else None if i % 20 else f"http://{i}.net/es/" for i in range(400)]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(8)
