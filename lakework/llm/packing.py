@@ -181,6 +181,16 @@ def cut(doc_id, ids: np.ndarray, p: Packing) -> tuple[list[tuple], tuple]:
     return [(doc_id, a, ids[a : a + p.window], total) for a in range(0, whole, p.window)], (doc_id, whole, ids[whole:], total)
 
 
+def short(numbers: np.ndarray) -> bytes:
+    """Numbers under 2**32 as bytes: their width, then two or four bytes each."""
+    return b"\2" + numbers.astype("<u2").tobytes() if numbers.max(initial=0) < 1 << 16 else b"\4" + numbers.astype("<u4").tobytes()
+
+
+def long(data: bytes) -> np.ndarray:
+    """What ``short`` packed."""
+    return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
+
+
 def profile(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids in order, and how often each stands."""
     return np.unique(ids, return_counts=True)
@@ -297,15 +307,15 @@ class _Frequencies:
     def __init__(self):
         self.df, self.n, self.tokens = np.zeros(1 << 16, np.int64), 0, 0
 
-    def add(self, terms: np.ndarray, tokens: int) -> None:
-        if len(terms) and terms[-1] >= len(self.df):
-            self.df = np.pad(self.df, (0, int(terms[-1]) + 1))
-        self.df[terms] += 1
-        self.n, self.tokens = self.n + 1, self.tokens + tokens
+    def add(self, ids: np.ndarray) -> None:
+        if (top := int(ids.max())) >= len(self.df):
+            self.df = np.pad(self.df, (0, top + 1))
+        self.df[ids] += 1  # an id that stands several times is counted once by this
+        self.n, self.tokens = self.n + 1, self.tokens + len(ids)
 
     def row(self) -> tuple:
         used = np.flatnonzero(self.df)
-        return (None, self.n, self.tokens, None, None, None, None, -1, None, used.astype("<u4").tobytes(), self.df[used].astype("<u4").tobytes())
+        return (None, self.n, self.tokens, None, None, None, None, -1, None, short(used), short(self.df[used]))
 
 
 def cut_documents(docs: DataFrame, p: Packing) -> DataFrame:
@@ -324,11 +334,10 @@ def cut_documents(docs: DataFrame, p: Packing) -> DataFrame:
                     for _, a, ids, _ in windows:
                         rows.append((i, a, len(ids), zlib.crc32(ids.tobytes()), total, WHOLE + row, 0, row, None, None, None))
                         row += 1
-                    terms, counts = profile(x)
-                    frequencies.add(terms, total)
-                    of = (terms.astype("<u4").tobytes(), counts.astype("<u4").tobytes()) if windows else (None, None)
+                    frequencies.add(x)
                     if len(left):
-                        rows.append((i, start, len(left), None, total, None, None, row, left.tobytes(), *of))
+                        of = map(short, profile(x)) if windows else (None, None)
+                        rows.append((i, start, len(left), None, total, None, None, row, short(left), *of))
                         row += 1
                 yield from _batch(rows, schema)
         yield from _batch([frequencies.row()], schema)
@@ -337,11 +346,15 @@ def cut_documents(docs: DataFrame, p: Packing) -> DataFrame:
 
 
 def _ids(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<u4") for x in column.to_pylist()]
+    return [long(x) for x in column.to_pylist()]
 
 
 def _profiles(ids: pa.Array, terms: pa.Array, counts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [profile(np.frombuffer(x, "<u4")) if t is None else (np.frombuffer(t, "<u4"), np.frombuffer(c, "<u4")) for x, t, c in zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist(), strict=True)]
+    return [profile(long(x)) if t is None else (long(t), long(c)) for x, t, c in zip(ids.to_pylist(), terms.to_pylist(), counts.to_pylist(), strict=True)]
+
+
+def _terms(ids: pa.Array, terms: pa.Array) -> list[np.ndarray]:
+    return [np.unique(long(x)) if t is None else long(t) for x, t in zip(ids.to_pylist(), terms.to_pylist(), strict=True)]
 
 
 def statistics(cuts: DataFrame) -> Statistics:
@@ -352,7 +365,7 @@ def statistics(cuts: DataFrame) -> Statistics:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n, tokens, terms, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                terms, counts = (np.frombuffer(x, "<u4").astype(np.int64) for x in (terms, counts))
+                terms, counts = (long(x).astype(np.int64) for x in (terms, counts))
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(terms, [-2, -1])), pa.array(np.append(counts, [n, tokens]))], schema=schema)
 
     sums = {r.term: r.df for r in cuts.where("row = -1").select("start", "length", "terms", "counts").mapInArrow(run, pair).groupBy("term").agg(F.sum("df").alias("df")).collect()}
@@ -382,7 +395,7 @@ def placed(items: DataFrame, corpus: Statistics, p: Packing) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = pa.array([place_key(t, corpus, p) for t, _ in _profiles(*batch.columns[4:7])], pa.binary())
+            key = pa.array([place_key(t, corpus, p) for t in _terms(*batch.columns[4:6])], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, key], schema=schema)
 
     return items.select(*names).mapInArrow(run, keyed).repartitionByRange("key", "row").sortWithinPartitions("key", "row")

@@ -161,13 +161,18 @@ def test_statistics_and_profiles_are_of_whole_documents(docs, texts, reference):
     assert (corpus.n, corpus.tokens) == (len(ids), sum(map(len, ids)))
     assert {t: n for t, n in enumerate(corpus.df.tolist()) if n} == {int(t): sum(t in x for x in ids) for t in np.unique(np.concatenate(ids))}
     for r in cuts.where("terms is not null and row >= 0").collect():
-        assert [x.tolist() for x in np.unique(ids[r.doc_id], return_counts=True)] == [np.frombuffer(x, "<u4").tolist() for x in (r.terms, r.counts)]
+        assert [x.tolist() for x in np.unique(ids[r.doc_id], return_counts=True)] == [packing.long(x).tolist() for x in (r.terms, r.counts)]
     assert {r.doc_id for r in cuts.where("terms is not null and row >= 0").collect()} == {i for i, x in enumerate(ids) if len(x) > p.window}
     profiles = [packing.profile(x) for x in ids]
     whole, part = packing.Index(profiles, p, corpus), packing.Index(profiles[:20], p, corpus)
     assert np.allclose(part.weight, whole.weight[whole.owner < 20])
 
 
+def test_numbers_are_packed():
+    for x in ([], [0], [65535, 1], [65536, 2**32 - 1]):
+        assert packing.long(packing.short(np.array(x, np.int64))).tolist() == x
+
+
 def test_a_document_of_whole_windows(spark, reference):
     """Nothing is left of it for others' windows, but it counts in the statistics."""
     text = " the" * 2047
