@@ -85,33 +85,36 @@ def _byte_classes() -> list[int]:
 
 def _word_hashes(data: bytes) -> np.ndarray:
     start, end = word_bounds(data)
-    return _range_hashes(data, start, end)
-
-
-def _range_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     prefix = prefix_hash(data)
     return mixed((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(np.uint64))
 
 
-def _bare_word_hashes(data: bytes) -> np.ndarray:
-    """Hashes of the words in lower case (A-Z) and without stops at their ends; words of stops only are left out."""
+def _short_codes(data: bytes) -> np.ndarray:
+    """The words of at most seven bytes in lower case (A-Z) and without stops at their ends, as their bytes and length in one number."""
     start, end = word_bounds(data)
-    if not len(start):
+    a = np.frombuffer(data, np.uint8)
+    kept = np.flatnonzero(~_IS_STOP[a])
+    if not len(start) or not len(kept):
         return np.zeros(0, np.uint64)
-    at = np.arange(len(data))
-    kept = ~_IS_STOP[np.frombuffer(data, np.uint8)]
-    following = np.minimum.accumulate(np.where(kept, at, len(data))[::-1])[::-1]
-    preceding = np.maximum.accumulate(np.where(kept, at, -1))
-    start, end = following[start], preceding[end - 1] + 1
-    some = start < end
-    return _range_hashes(data.lower(), start[some], end[some])
-
-
-def common_hashes(words: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the common words, and each one's place in the histogram."""
-    hashes = np.array([_word_hashes(w.encode())[0] for w in words], np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], order
+    first = kept[np.minimum(np.searchsorted(kept, start), len(kept) - 1)]
+    last = kept[np.searchsorted(kept, end) - 1] + 1
+    short = (first >= start) & (first < end) & (last > first) & (last - first < 8)
+    first, size = first[short], (last - first)[short]
+    code = size.astype(np.uint64) << np.uint64(56)
+    for i in range(7):
+        byte = a[np.minimum(first + i, len(a) - 1)]
+        byte = np.where((byte >= 65) & (byte <= 90), byte + np.uint8(32), byte)
+        code |= np.where(size > i, byte, np.uint8(0)).astype(np.uint64) << np.uint64(8 * i)
+    return code
+
+
+def common_codes(words: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes of the common words, of at most seven bytes each, and each one's place in the histogram."""
+    if any(not 0 < len(w.encode()) < 8 or len(_short_codes(w.encode())) != 1 for w in words):
+        raise ValueError("common words have one to seven bytes, no spaces, and no stops at their ends")
+    codes = np.array([_short_codes(w.encode())[0] for w in words], np.uint64)
+    order = np.argsort(codes)
+    return codes[order], order
 
 
 def _repeated_words(word: np.ndarray, size: int = 5) -> int:
@@ -133,7 +136,7 @@ def _repeated_words(word: np.ndarray, size: int = 5) -> int:
 
 
 def text_features(text: str | None, common: tuple[np.ndarray, np.ndarray]) -> dict:
-    """The counts of one whole text; ``common`` is ``common_hashes``.  Null counts as empty.
+    """The counts of one whole text; ``common`` is ``common_codes``.  Null counts as empty.
 
     For the histogram of common words, words are in lower case and bare of stops, so
     that ``The`` and ``the,`` count as ``the``.  The base counts take words as they stand.
@@ -151,12 +154,12 @@ def text_features(text: str | None, common: tuple[np.ndarray, np.ndarray]) -> di
             duplicates += 1
         elif line.strip():
             seen.add(line)
-    hashes, places = common
-    counts = np.zeros(len(hashes) + 1, np.int64)
-    if len(hashes):
-        bare = _bare_word_hashes(data)
-        at = np.minimum(np.searchsorted(hashes, bare), len(hashes) - 1)
-        counts[:-1] = np.bincount(places[at[hashes[at] == bare]], minlength=len(hashes))
+    codes, places = common
+    counts = np.zeros(len(codes) + 1, np.int64)
+    if len(codes):
+        bare = _short_codes(data)
+        at = np.minimum(np.searchsorted(codes, bare), len(codes) - 1)
+        counts[:-1] = np.bincount(places[at[codes[at] == bare]], minlength=len(codes))
     counts[-1] = len(word) - counts.sum()
     return {
         "n_words": len(word),
@@ -214,7 +217,7 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     sums of them per language, and at most one row per language is joined back; so
     are the cuts of the word distances.
     """
-    common = common_hashes(rules.common_words)
+    common = common_codes(rules.common_words)
     n_words, n_classes = len(rules.common_words) + 1, len(CLASSES)
     lang = F.col(language).cast("string") if language in docs.columns else F.lit(None).cast("string")
     narrow = docs.select(F.struct(*(F.col(c) for c in keep)).alias("id"), lang.alias("lang"), F.col("text").cast("string").alias("text"))

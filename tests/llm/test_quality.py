@@ -34,15 +34,16 @@ def test_base_counts_equal_brute_force(docs, texts):
 
 
 def test_whitespace_is_ascii_only():
-    f = quality.text_features("a\x85b c\x1cd\x0be　f", quality.common_hashes(()))
+    f = quality.text_features("a\x85b c\x1cd\x0be　f", quality.common_codes(()))
     assert (f["n_words"], f["word_chars"]) == (3, 9)
 
 
 def test_common_words_are_folded_and_bare():
-    common = quality.common_hashes(("the", "of", "and", "to", "in"))
+    common = quality.common_codes(("the", "of", "and", "to", "in"))
     count = lambda t: quality.text_features(t, common)["words"]
     assert count("The THE of, and. (To) in!") == count("the the of and to in") == [2, 1, 1, 1, 1, 0]
     assert count("ünd -- ... the-of the") == [1, 0, 0, 0, 0, 4]
+    assert count("the\0 thE\n(of) oof") == [1, 1, 0, 0, 0, 2] and count("-- the") == [1, 0, 0, 0, 0, 1]
     assert count("...") == [0, 0, 0, 0, 0, 1] and count("") == [0] * 6
 
 
