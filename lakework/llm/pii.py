@@ -14,6 +14,8 @@ import math
 import random
 import re
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: An entity has a digit or an ``@``, or is what a word for secrets is set to.
 _MAYBE = re.compile(r"""[0-9@]|(?i:token|password|passwd|pwd|secret|key)["']?[ \t]*[:=]""")
+_SPACE = re.compile(r"\s")
 _TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 
 
@@ -395,41 +398,52 @@ def _covered(tokens: list[tuple[int, int]], spans: list[tuple[int, int]], at: in
     return out
 
 
-def _line_spans(text: str, start: int, end: int, weights, covered: list[tuple[int, int]], first: int) -> list[tuple[str, int, int]]:
-    """A line's entities as character spans.
+#: Triggers with more tokens than this between them are decoded apart.
+GAP = 2 * (MAX_TOKENS + BEFORE) + 4
 
-    Only stretches of tokens near useful ones are decoded: no segment without a useful
-    token can be an entity, and each stretch begins with tokens that no segment reaches
-    (or with the line), so the result is that of decoding the line whole.
-    """
-    tokens = tokens_of(text, start, end)
-    barred = _covered(tokens, covered, first)
-    useful = Sentence(text, tokens).useful
-    out, stretches = [], []
-    for i in (i for i, u in enumerate(useful) if u and i not in barred):
-        low, high = max(0, i - MAX_TOKENS - BEFORE), min(len(tokens), i + MAX_TOKENS + 1)
-        if stretches and low <= stretches[-1][1]:
-            stretches[-1][1] = high
-        else:
-            stretches.append([low, high])
-    for low, high in stretches:
-        part = tokens[low:high]
-        for k, i, j in decode(Sentence(text, part, frozenset(i - low for i in range(low, high) if i in barred)), weights):
-            out.append((k, part[i][0], part[j - 1][1]))
-    return out
+
+def _low(text: str, at: int, start: int) -> int:
+    """Where the ``MAX_TOKENS + BEFORE + 1`` tokens before a position begin, or the line's ``start``."""
+    reach, need = 200, MAX_TOKENS + BEFORE + 1
+    while at - reach > start:
+        # a space is in no token, so the tokens after it are the line's
+        if space := _SPACE.search(text, at - reach, at):
+            tokens = tokens_of(text, space.end(), at)
+            if len(tokens) >= need:
+                return tokens[-need][0]
+        reach *= 2
+    return start
+
+
+def _stretches(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The parts of a line that triggers can have entities in, with tokens on both sides that no entity reaches."""
+    low = high = None
+    for m in _MAYBE.finditer(text, start, end):
+        if low is not None and m.start() - high > GAP and sum(1 for _ in islice(_TOKEN.finditer(text, high, m.start()), GAP + 1)) > GAP:
+            yield low, max([high, *(t.end() for t in islice(_TOKEN.finditer(text, high, end), MAX_TOKENS + BEFORE))])
+            low = None
+        low, high = _low(text, m.start(), start) if low is None else low, m.end()
+    if low is not None:
+        yield low, max([high, *(t.end() for t in islice(_TOKEN.finditer(text, high, end), MAX_TOKENS + BEFORE))])
 
 
 def field_spans(text: str, weights, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """The field's spans outside the base ones, line by line: an entity doesn't cross a line's end."""
-    out, at, covered = [], 0, sorted((a, b) for _, a, b in base)
-    first = 0
+    """The field's spans outside the base ones, line by line: an entity doesn't cross a line's end.
+
+    Only stretches near triggers are decoded: no segment without a useful token can be
+    an entity, and each stretch begins with tokens that no segment reaches (or with the
+    line), so the result is that of decoding the line whole.
+    """
+    out, at, covered, first = [], 0, sorted((a, b) for _, a, b in base), 0
     while m := _MAYBE.search(text, at):
-        start, end = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
-        end = len(text) if end < 0 else end
-        while first < len(covered) and covered[first][1] <= start:
-            first += 1
-        out += _line_spans(text, start, end, weights, covered, first)
-        at = end
+        start, at = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.start())
+        at = len(text) if at < 0 else at
+        for low, high in _stretches(text, start, at):
+            while first < len(covered) and covered[first][1] <= low:
+                first += 1
+            part = tokens_of(text, low, high)
+            for k, i, j in decode(Sentence(text, part, frozenset(_covered(part, covered, first))), weights):
+                out.append((k, part[i][0], part[j - 1][1]))
     return out
 
 
