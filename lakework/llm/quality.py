@@ -10,7 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,20 +176,45 @@ def text_features(text: str | None, common: tuple[np.ndarray, np.ndarray]) -> di
 _BYTE_CLASSES = _byte_classes()
 
 
-def _distances(counts: list[list[int]], references: list[list[int] | None]) -> list[float | None]:
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Lists of one length as rows; zeros for null."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    known = lists.is_valid().to_numpy(zero_copy_only=False)
+    if not known.any():
+        return np.zeros((len(lists), 0))
+    out = np.zeros((len(lists), len(flat) // int(known.sum())))
+    out[known] = flat.reshape(-1, out.shape[1])
+    return out
+
+
+def _distances(counts: pa.Array, references: pa.Array) -> pa.Array:
     """Jensen-Shannon distances (base 2) of count arrays; null if one of the two is empty."""
-    p, q = np.array(counts, float), np.array([r or [0] * len(counts[0]) for r in references], float)
+    if not len(counts):
+        return pa.array([], pa.float64())
+    p, q = _matrix(counts), _matrix(references)
+    q = q if q.shape == p.shape else np.zeros_like(p)  # no reference at all
     p_all, q_all = p.sum(axis=1, keepdims=True), q.sum(axis=1, keepdims=True)
     known = ((p_all > 0) & (q_all > 0))[:, 0]
-    p, q = p / np.maximum(p_all, 1), q / np.maximum(q_all, 1)
+    p /= np.maximum(p_all, 1)
+    q /= np.maximum(q_all, 1)
     m = np.maximum((p + q) / 2, 1e-300)
     part = lambda x: np.where(x > 0, x * np.log2(np.maximum(x, 1e-300) / m), 0).sum(axis=1)
-    out = np.sqrt(np.maximum((part(p) + part(q)) / 2, 0))
-    return [d if k else None for d, k in zip(out.tolist(), known.tolist(), strict=True)]
+    return pa.array(np.sqrt(np.maximum((part(p) + part(q)) / 2, 0)), mask=~known)
+
+
+_BOTH = T.StructType([T.StructField("words", T.DoubleType()), T.StructField("classes", T.DoubleType())])
+
+
+@F.arrow_udf(_BOTH)
+def _both_distances(words: pa.Array, ref_words: pa.Array, classes: pa.Array, ref_classes: pa.Array) -> pa.Array:
+    """Both distances by one Python worker a task."""
+    return pa.StructArray.from_arrays([_distances(words, ref_words), _distances(classes, ref_classes)], ["words", "classes"])
 
 
-def _distance(counts: Column, reference: Column) -> Column:
-    return arrow_column(lambda a, b: _distances(a, b) if a else [], T.DoubleType(), counts, reference)
+@F.arrow_udf(T.DoubleType())
+def _distance(counts: pa.Array, references: pa.Array) -> pa.Array:
+    return _distances(counts, references)
 
 
 #: Distances are counted in steps of one part of this, so that quartiles are the same however rows are dealt.
@@ -233,13 +259,14 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), language: str
     references = small_or_plain(references, rules.max_broadcast_languages)
 
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    with_words = lambda df: df.withColumn("word_distance", F.when(F.col("n_words") >= rules.min_words, _distance(F.col("words"), F.col("ref_words"))))
     same = F.col("lang").eqNullSafe(F.col("ref_lang"))
-    sound = counted.where(~base_failed & (F.col("n_words") >= rules.min_words)).select("lang", "n_words", "words")
-    cuts = staged(_word_cuts(with_words(sound.join(references, same, "left")), rules), "quality-cuts")
+    enough_words = F.col("n_words") >= rules.min_words
+    sound = counted.where(~base_failed & enough_words).select("lang", "words").join(references, same, "left")
+    cuts = staged(_word_cuts(sound.withColumn("word_distance", _distance(F.col("words"), F.col("ref_words"))), rules), "quality-cuts")
     cuts = small_or_plain(cuts, rules.max_broadcast_languages)
 
-    judged = with_words(counted.join(references, same, "left")).withColumn("class_all", _distance(F.col("classes"), F.col("ref_classes")))
+    judged = counted.join(references, same, "left").withColumn("d", _both_distances(F.col("words"), F.col("ref_words"), F.col("classes"), F.col("ref_classes")))
+    judged = judged.withColumns({"word_distance": F.when(enough_words, F.col("d.words")), "class_all": F.col("d.classes")})
     judged = judged.join(cuts, F.col("lang").eqNullSafe(F.col("cut_lang")), "left")
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda s, x: s + x)
     judged = judged.withColumns({"class_distance": F.when(chars >= rules.min_chars, F.col("class_all")), "base_failed": base_failed})
