@@ -230,9 +230,10 @@ def test_selection(spark):
     assert rows(review.flagged_notes(a)) == [("1",)]
     comparable = review.comparable_fields({"e": {"event_identity_fields": ["x"], "comparison_fields": []}, "f": {}})
     assert comparable == {"e": {"x"}}
-    assert rows(review.disagreement_notes(a, [b], comparable)) == [("3",)]
-    assert rows(review.disagreement_notes(a, [b], {"e": ["x", "y"]})) == [("1",), ("3",)]
-    assert rows(review.disagreement_notes(a, [b])) == [("3",)]
+    # note 2 has an event type without events, which the other run's note lacks
+    assert rows(review.disagreement_notes(a, [b], comparable)) == [("2",), ("3",)]
+    assert rows(review.disagreement_notes(a, [b], {"e": ["x", "y"]})) == [("1",), ("2",), ("3",)]
+    assert rows(review.disagreement_notes(a, [b])) == [("2",), ("3",)]
 
 
 def test_worklist(spark):
