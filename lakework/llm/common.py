@@ -88,14 +88,18 @@ BROADCAST_BYTES, ROW_BYTES = 48 << 20, 64
 
 
 def small_or_plain(df: DataFrame, most: int, *sized: str, bytes_: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows and weighs at most ``bytes_``, else as it is.
+    """``df`` with a broadcast hint if it has at most ``most`` rows and weighs at most ``bytes_``, else without.
 
     ``sized`` are the columns (strings, binaries) whose lengths vary.  Only ``most + 1``
-    rows are looked at, so the check costs the same at any size.
+    rows are looked at, so the check costs the same at any size.  A side with such columns
+    that fails it is merged: by itself Spark broadcasts files under its threshold, and
+    compressed strings may take many times their files' bytes.
     """
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in sized), F.lit(ROW_BYTES).cast("long"))
     n, weight = df.limit(most + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if n <= most and weight <= bytes_ else df
+    if n <= most and weight <= bytes_:
+        return F.broadcast(df)
+    return df.hint("merge") if sized else df
 
 
 _MULTIPLIER = 0x9E3779B97F4A7C15

@@ -64,3 +64,12 @@ def test_one_url_on_nine_tenths_of_the_pages(spark, few):
     df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").repartition(8)
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(df, urlfilter.rule_table(spark), max_broadcast_urls=few).collect()}
     assert got == {i: brute(u, urlfilter.RULES) for i, u in enumerate(urls)}
+
+
+def test_sides_over_the_bound_are_not_broadcast(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://{i}.net/es/") for i in range(400)], "page_id bigint, url string")
+    df.write.parquet(str(tmp_path / "pages"))
+    plan = lambda **few: urlfilter.judge(spark.read.parquet(str(tmp_path / "pages")), urlfilter.rule_table(spark), **few)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    merged = plan(max_broadcast_urls=0)
+    assert "SortMergeJoin" in merged and "BroadcastHashJoin" not in merged
