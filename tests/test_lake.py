@@ -194,6 +194,7 @@ def test_catalog(spark, lake_dirs):
     inbox, out = lake_dirs
     Ingest(spark, inbox, out).run(["pathology", "fc_extractions"])
     folders = {"raw": out / "pathology", "extractions_raw": out / "fc_extractions"}
+    spark.range(1).createOrReplaceTempView("passing")  # Spark lists it with every database's tables
     results = catalog.build(spark, folders, strict=True)
     assert results["raw"].loaded == {"reports": 3} and spark.table("extractions_transformed.counts").first().n == 2
     assert {(r.database, r.table, r.n_rows) for r in catalog.info(spark).collect()} == {("raw", "reports", 3), ("extractions_raw", "batch1", 2), ("extractions_transformed", "counts", 1)}
@@ -209,6 +210,7 @@ def test_catalog(spark, lake_dirs):
     assert catalog.unpeek(spark) == ["p"] and catalog.count_tables(spark, "scratch").count() == 0
     assert catalog.quoted("a`b", "c") == "`a``b`.`c`"
     catalog.reset(spark)
+    assert spark.catalog.dropTempView("passing")
 
 
 # --- extraction -----------------------------------------------------------------------------
