@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakework.llm import dedup, licenses, media, mixing, packing, pii, quality, repeats, urlfilter, warc
+from lakework.llm import dedup, exact, licenses, media, mixing, packing, pii, quality, repeats, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_semi_markov_pii,
         op9_warc_revisits,
         op10_wav_fingerprints,
+        op13_patricia_owners,
     )
 }
 
@@ -194,10 +199,20 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(quintets, lambda q
 FROM bits
 """
 
+_EXACT = r"""
+WITH bare AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
+)
+SELECT doc_id, first(doc_id) OVER (PARTITION BY t ORDER BY chars DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = first(doc_id) OVER (PARTITION BY t ORDER BY chars DESC, doc_id) AS kept, sha256(t) AS text_sha256
+FROM bare
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_divergence": _QUALITY,
     "op2_hyperminhash_dedup": _DEDUP,
     "op6_url_expressions": _URLS,
     "op7_poisson_mixing": _MIX,
     "op9_warc_revisits": _WARC,
+    "op13_patricia_owners": _EXACT,
 }
