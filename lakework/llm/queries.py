@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakework.llm import dedup, exact, licenses, media, mixing, packing, pii, quality, repeats, urlfilter, warc
+from lakework.llm import dedup, exact, licenses, media, mixing, packing, pii, quality, repeats, spelling, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(_table(spark, sf_dir, "documents"))
 
 
+def op12_wavelet_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_patricia_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_semi_markov_pii,
         op9_warc_revisits,
         op10_wav_fingerprints,
+        op12_wavelet_spelling,
         op13_patricia_owners,
     )
 }
@@ -199,6 +204,40 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(quintets, lambda q
 FROM bits
 """
 
+#: DuckDB has no CRC-32: its table of 16 entries, built by rule, is applied to the low and the high half of each byte.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, [1, 2, 3, 4]), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS crc
+  FROM (SELECT unnest(range(0, 16))::BIGINT AS i)
+)"""
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(0, octet_length(encode(KEY))), lambda j: list_transform([2 * j + 2, 2 * j + 1], lambda p: (instr('0123456789ABCDEF', substr(hex(encode(KEY)), p::INT, 1)) - 1)::BIGINT)))),
+  lambda c, x: xor(c // 16, crc[(xor(c, x) % 16 + 1)::INT])), 4294967295)"""
+
+_SPELLING = r"""
+WITH RECURSIVE CRC_TABLE, runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), hashed AS (
+  SELECT run, n, CRC AS h FROM (SELECT doc_id, run, count(*) AS n, doc_id::VARCHAR || ':' || run AS k FROM runs GROUP BY ALL), crc_table
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed
+  ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), dropped AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, LATERAL (SELECT unnest(range(0, length(word)))::INT AS i)
+), pairs AS (
+  SELECT a.word, b.word AS other, b.n FROM dropped a JOIN dropped b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM dropped a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM dropped a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({'less': -n, 'other': other}) AS b FROM pairs GROUP BY word
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 2 * n THEN b.other END AS form, CASE WHEN -b.less >= 2 * n THEN -b.less END AS form_n FROM words LEFT JOIN best USING (word)
+), chain(word, tip) AS (
+  SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.tip WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.tip AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms e ON e.word = c.tip AND e.form IS NULL
+""".replace("CRC_TABLE", _CRC_TABLE).replace("CRC", _CRC.replace("KEY", "k"))
+
 _EXACT = r"""
 WITH bare AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
@@ -214,5 +253,6 @@ ORACLES: dict[str, str] = {
     "op6_url_expressions": _URLS,
     "op7_poisson_mixing": _MIX,
     "op9_warc_revisits": _WARC,
+    "op12_wavelet_spelling": _SPELLING,
     "op13_patricia_owners": _EXACT,
 }
