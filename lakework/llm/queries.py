@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakework.llm import dedup, exact, licenses, media, mixing, packing, pii, quality, repeats, spelling, urlfilter, warc
+from lakework.llm import dedup, exact, licenses, media, mixing, packing, pii, quality, repeats, spelling, turns, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_wav_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_recursive_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op12_wavelet_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_semi_markov_pii,
         op9_warc_revisits,
         op10_wav_fingerprints,
+        op11_recursive_turns,
         op12_wavelet_spelling,
         op13_patricia_owners,
     )
@@ -212,6 +217,57 @@ _CRC_TABLE = """crc_table AS (
 _CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(0, octet_length(encode(KEY))), lambda j: list_transform([2 * j + 2, 2 * j + 1], lambda p: (instr('0123456789ABCDEF', substr(hex(encode(KEY)), p::INT, 1)) - 1)::BIGINT)))),
   lambda c, x: xor(c // 16, crc[(xor(c, x) % 16 + 1)::INT])), 4294967295)"""
 
+_TURNS = r"""
+WITH RECURSIVE CRC_TABLE, keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+), hashed AS (
+  SELECT *, CRC % 20 AS kind FROM keyed, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM hashed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, substr(role, 1, 1) AS r FROM damaged
+), said AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth FROM placed
+), faults AS (
+  SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY pos) || r AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM said
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faults GROUP BY conv_id
+), every AS (
+  SELECT c.conv_id, coalesce(n, 0) AS n FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts d ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+), steps(state, r, after) AS (
+  VALUES ('-', 's', 's'), ('-', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')
+), one AS (
+  SELECT state, after, CASE r WHEN 'u' THEN ['user:'] ELSE ['assistant:'] END AS lines FROM steps WHERE r <> 's'
+), inserts AS (
+  SELECT state, state AS after, '' AS edits, 0 AS cost, []::VARCHAR[] AS lines FROM (VALUES ('-'), ('s'), ('u'), ('a')) t(state)
+  UNION ALL SELECT state, after, 'I', 2, lines FROM one
+  UNION ALL SELECT a.state, b.after, 'II', 4, a.lines || b.lines FROM one a JOIN one b ON a.after = b.state
+), moves AS (
+  SELECT conv_id, pos, e.state, e.after, e.edit, e.cost + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 1 ELSE 0 END AS cost, CASE WHEN edit = 'D' THEN []::VARCHAR[] ELSE [coalesce(e.role, f.role) || ':' || text] END AS lines
+  FROM faults f JOIN (
+    SELECT state, state AS after, 'D' AS edit, 3 AS cost, NULL AS r, NULL AS role FROM (VALUES ('-'), ('s'), ('u'), ('a')) t(state)
+    UNION ALL SELECT state, after, 'K', 0, r, NULL FROM steps
+    UNION ALL SELECT state, after, 'R', 2, NULL, CASE r WHEN 'u' THEN 'user' ELSE 'assistant' END FROM steps WHERE r <> 's'
+  ) e ON (e.r IS NULL OR e.r = f.r) AND (edit = 'D' OR fault NOT IN ('blank', 'duplicate'))
+), best(conv_id, i, state, b) AS (
+  SELECT conv_id, 0::BIGINT, after, {'cost': cost::BIGINT, 'audit': edits, 'lines': lines} FROM every, inserts WHERE state = '-'
+  UNION ALL
+  SELECT p.conv_id, p.i + 1, t.after, min({'cost': p.b.cost + m.cost + t.cost, 'audit': p.b.audit || m.edit || t.edits, 'lines': p.b.lines || m.lines || t.lines})
+  FROM best p JOIN moves m ON p.conv_id IS NOT DISTINCT FROM m.conv_id AND p.i + 1 = m.pos AND p.state = m.state JOIN inserts t ON t.state = m.after
+  GROUP BY p.conv_id, p.i, t.after
+), chosen AS (
+  SELECT e.conv_id, min(p.b) AS b FROM every e JOIN best p ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = e.n WHERE p.state IN ('-', 'a') GROUP BY e.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       b.cost AS cost, b.audit AS audit, sha256(array_to_string(b.lines, chr(10))) AS repaired_sha256
+FROM chosen c LEFT JOIN counts d ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+""".replace("CRC_TABLE", _CRC_TABLE).replace("CRC", _CRC.replace("KEY", "k"))
+
 _SPELLING = r"""
 WITH RECURSIVE CRC_TABLE, runs AS (
   SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
@@ -253,6 +309,7 @@ ORACLES: dict[str, str] = {
     "op6_url_expressions": _URLS,
     "op7_poisson_mixing": _MIX,
     "op9_warc_revisits": _WARC,
+    "op11_recursive_turns": _TURNS,
     "op12_wavelet_spelling": _SPELLING,
     "op13_patricia_owners": _EXACT,
 }

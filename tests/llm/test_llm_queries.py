@@ -15,7 +15,9 @@ def test_query_equals_its_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_is_whole(spark, name):
-    table, key = ("pages", "page_id") if name in ("op6_url_expressions", "op9_warc_revisits") else ("documents", "doc_id")
+    if name == "op12_wavelet_spelling":
+        return  # its rows are words
+    table, key = {"op6_url_expressions": ("pages", "page_id"), "op9_warc_revisits": ("pages", "page_id"), "op11_recursive_turns": ("conversations", "conv_id")}.get(name, ("documents", "doc_id"))
     found = queries.QUERIES[name](spark, SF_DIR)
     ids = {r[0] for r in found.select(key).distinct().collect()}
     every = {r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect()}
