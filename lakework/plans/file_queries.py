@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from lakework.config import BackendSettings, Config, load_config, save_config
 from lakework.extract import registry, runner, segments
 from lakework.functions import dates, hashing, jsonx, text
-from lakework.operators import cohorts, delta, diff, events, projection, quality, reshape, review, runs, tombstones
+from lakework.operators import adjudicate, cohorts, delta, diff, events, projection, quality, reshape, review, runs, tombstones
 from lakework.plans import catalog, rounds
 from lakework.plans.ingest import Ingest
 from lakework.plans.queries import _RECORDS, _query, _records, _scratch, _t
 from lakework.schemas import REPORTS, conform
-from lakework.sources import lake, readers, sidecar, tombstone_files, transport
+from lakework.sources import lake, packages, readers, sidecar, tombstone_files, transport
 
 
 def _folder(spark: SparkSession, name: str) -> Path:
@@ -36,12 +36,10 @@ def _folder(spark: SparkSession, name: str) -> Path:
     return path
 
 
-def _one_file(lines: DataFrame, path: Path, order: str) -> Path:
-    """A table's column ``value`` as the lines of one file, in order."""
-    staging = path.with_name(f".{path.name}.parts")
-    lines.coalesce(1).sortWithinPartitions(order).select("value").write.text(str(staging))
-    path.parent.mkdir(parents=True, exist_ok=True)
-    return lake.promote(staging, path)
+def _one_file(lines: DataFrame, path: Path, *order: str) -> Path:
+    """A table's column ``value`` as the lines of one file, in order: a folder of the parts that Spark's sort writes."""
+    lines.orderBy(*order).select("value").write.text(str(path))
+    return path
 
 
 def _sql_rows(names: str, rows) -> str:
@@ -290,9 +288,9 @@ def notes_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT row_number() OVER (ORDER BY conv_id, turn)::VARCHAR AS row_id, conv_id::VARCHAR AS conv_id, turn::VARCHAR AS turn FROM conversations")
 def csv_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a file numbered in its order."""
-    path = _scratch(spark, "rows")
-    _t(spark, sf_dir, "conversations").coalesce(1).sortWithinPartitions("conv_id", "turn").select("conv_id", "turn", F.lit("a\nb").alias("note")).write.option("header", True).csv(path)
-    return readers.with_row_id(readers.read_csv(spark, path)).select("row_id", "conv_id", "turn")
+    c = _t(spark, sf_dir, "conversations").select(F.lit(1).alias("k"), "conv_id", "turn", F.concat_ws(",", F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.lit('"a\n""b"""')).alias("value"))
+    path = _one_file(c.union(spark.sql("SELECT 0, 0L, 0L, 'conv_id,turn,note'")), Path(_scratch(spark, "rows")), "k", "conv_id", "turn")
+    return readers.read_csv_numbered(spark, str(path)).where(F.col("note") == 'a\n"b"').select("row_id", "conv_id", "turn")
 
 
 @_query("""SELECT 'r' || lpad(n_nationkey::VARCHAR, 3, '0') AS run_id, n_name AS name, CASE WHEN n_nationkey % 2 = 1 THEN 'completed' ELSE 'started' END AS status, CASE WHEN n_nationkey % 2 = 1 THEN n_nationkey ELSE 0 END::BIGINT AS items_processed, CASE WHEN n_nationkey % 2 = 1 THEN 60.0 END::DOUBLE AS duration_seconds, 0::BIGINT AS total_events FROM nation""")
@@ -497,9 +495,10 @@ def source_state(spark: SparkSession, sf_dir: str) -> DataFrame:
               SELECT note_id, mrn, event_type AS kind, event_id FROM {_RECORDS} WHERE success UNION ALL SELECT note_id, mrn, 'flag_report_for_review', event_id FROM {_RECORDS} WHERE success AND event_id % 7 = 0)""")
 def package_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A package written as one JSON file, read back and validated."""
-    path = _folder(spark, "package") / "b.001.review_pkg.json"
-    lake.write_package(review.worklist(_records(spark, sf_dir)), path, definition_name="d", batch="b", generated_at="2024")
-    return review.package_events(readers.json_documents(spark, str(path))).select("event_key", "mrn", "batch_name")
+    items = lake.staged(review.worklist_items(_records(spark, sf_dir)), "worklist")
+    path = packages.write_package(items, f"{_scratch(spark, 'package')}/b.001.review_pkg.json", definition_name="d", batch="b", generated_at="2024")
+    found = lake.staged(packages.package_items(spark, path), "package")
+    return review.items_events(found, packages.package_head(found)).select("event_key", "mrn", "batch_name")
 
 
 def _batch(spark: SparkSession, sf_dir: str, inbox: Path, name: str, rest: int | None = None) -> None:
@@ -526,7 +525,8 @@ def review_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox, out = root / "inbox", root / "lake"
     _batch(spark, sf_dir, inbox, "b")
     package = rounds.review_package(spark, inbox, "b", "001", only_flagged=True)
-    work = review.package_events(readers.json_documents(spark, str(package)))
+    items = lake.staged(packages.package_items(spark, str(package)), "package")
+    work = review.items_events(items, packages.package_head(items))
     edits = F.when(F.col("event_type") == "flag_report_for_review", "{}").otherwise('{"note":"edited"}')
     verdict = F.when(F.col("note_id").cast("bigint") % 3 == 0, "rejected").otherwise("approved")
     line = F.concat(F.lit('{"event_key":"'), "event_key", F.lit('","verdict":"'), verdict, F.lit('","edits":'), edits, F.lit(',"reviewed_at":"2024"}'))
@@ -549,10 +549,10 @@ def adjudication_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = [r[0] for r in _t(spark, sf_dir, "events").select("event_type").distinct().collect()]  # a handful of declared event types
     schema = {k: {"fields": [{"name": "n", "control": "number"}], "comparison_fields": ["n"]} for k in kinds}
     package = rounds.adjudication_package(spark, inbox, "r1", "left", "right", schema, "demo", ("L", "R"))
-    head = json.loads(package.read_text())
-    items = [(e["adjudication_key"], "right" if e["left"] is None else "left") for p in head["patients"] for e in p["events"] if e["event_type"] != review.FLAG_EVENT]
-    flags = [(e["adjudication_key"], "exclude") for p in head["patients"] for e in p["events"] if e["event_type"] == review.FLAG_EVENT]
-    (inbox / "fc_adjudications" / "r1.adjudication_log.jsonl").write_text("".join(json.dumps({"adjudication_key": k, "decision": d, "reviewed_at": "2024"}) + "\n" for k, d in items + flags))
+    items = adjudicate.package_disagreements(lake.staged(packages.package_items(spark, str(package)), "package"))
+    decision = F.when(F.col("event_type") == review.FLAG_EVENT, "exclude").when(F.col("left_fields_json").isNull(), "right").otherwise("left")
+    line = F.to_json(F.struct("adjudication_key", decision.alias("decision"), F.lit("2024").alias("reviewed_at")))
+    _one_file(items.select(line.alias("value"), "adjudication_key"), inbox / "fc_adjudications" / "r1.adjudication_log.jsonl", "adjudication_key")
     Ingest(spark, inbox, out).run(["fc_adjudications"])
     rows = spark.read.parquet(str(out / "fc_adjudications" / "r1.parquet"))
     return rows.groupBy("adjudication_status", "adjudication_decision").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("n").cast("bigint")).alias("chosen"))
@@ -582,8 +582,8 @@ def lake_and_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An inbox ingested twice, and its catalog."""
     root, tag = _folder(spark, "lake"), f"lw_{uuid.uuid4().hex[:12]}"
     inbox, out = root / "inbox", root / "lake"
-    _one_file(_t(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("value")), inbox / "cohorts" / "ids.txt", "value")
-    (inbox / "cohorts" / "vip.csv").write_text("REPORT_ID\n" + (inbox / "cohorts" / "ids.txt").read_text())
+    with_head = lambda rows, head: rows.withColumn("k", F.lit(1)).unionByName(spark.sql(f"SELECT '{head}' AS value, 0L AS o, 0 AS k"))
+    _one_file(with_head(_t(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("value"), F.col("doc_id").alias("o")), "REPORT_ID"), inbox / "cohorts" / "vip.csv", "k", "o")
     (inbox / "cohorts" / "old.csv").write_text("mrn\n1\n")
     _batch(spark, sf_dir, inbox, "b")
     (inbox / "fc_extractions" / "b" / "b.sql").write_text(f"CREATE TABLE `{tag}_transformed`.`even` AS SELECT * FROM `{tag}_extractions`.`b` WHERE record_id % 2 = 0; -- done")
@@ -592,9 +592,7 @@ def lake_and_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.write_manifest(inbox / "runs", runs.start("fc_single", r.r_name))
     c = _t(spark, sf_dir, "conversations")
     line = F.concat_ws(",", F.col("conv_id").cast("string"), (F.col("turn") + 1).cast("string"), F.lit("line"))
-    _one_file(c.select(line.alias("value"), "conv_id", "turn"), inbox / "lines.txt", "turn")
-    (inbox / "pathology").mkdir()
-    (inbox / "pathology" / "2024-01-01_a.csv").write_text("report_id,row_id,mult_ln_val_storage\n" + (inbox / "lines.txt").read_text())
+    _one_file(with_head(c.select(line.alias("value"), F.col("turn").alias("o")), "report_id,row_id,mult_ln_val_storage"), inbox / "pathology" / "2024-01-01_a.csv", "k", "o")
     folders = ["pathology", "fc_extractions", "cohorts", "runs", "tombstones"]
 
     def ingest(names) -> list:

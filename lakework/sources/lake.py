@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakework.operators.upsert import upsert
+from lakework.session import shared_dir
 
 
 def _paths(spark: SparkSession, path: str):
@@ -35,6 +36,13 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"can't rename {old} to {new}")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: steps after it don't run those before it again."""
+    path = f"{shared_dir(df.sparkSession)}/lakework-{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
     """Replace a Parquet table: write beside it, then swap by renames.
 
@@ -92,27 +100,3 @@ def promote(folder: Path, target: Path) -> Path:
         os.fsync(out.fileno())
     staging.replace(target)
     return target
-
-
-def review_patient(row) -> dict:
-    """A ``review.worklist`` row as a package has it."""
-    notes = {n["note_id"]: (n["note"].asDict() if n["note"] else {}) for n in row["notes"]}
-    events = [{**{k: e[k] for k in ("event_key", "event_type", "note_id", "fingerprint")}, "fields": json.loads(e["fields_json"])} for e in row["events"]]
-    return {"mrn": row["patient"], "notes": notes, "events": events}
-
-
-def write_package(patients: DataFrame, path: Path, to_patient: Callable = review_patient, **head) -> Path:
-    """A package from rows of patients; one patient is in memory at a time."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    staging = path.with_name(f".{path.name}.tmp")
-    with staging.open("w") as f:
-        f.write(json.dumps(head, indent=2, default=str)[:-2] + (",\n" if head else "\n") + '  "patients": [')
-        first = True
-        for row in patients.orderBy("patient").toLocalIterator():
-            f.write(("" if first else ",") + "\n" + json.dumps(to_patient(row), default=str))
-            first = False
-        f.write("\n  ]\n}\n")
-        f.flush()
-        os.fsync(f.fileno())
-    staging.replace(path)
-    return path
