@@ -22,6 +22,11 @@ def put(path, text):
     return path
 
 
+def document(folder):
+    """A package's parts as the one document that they are."""
+    return json.loads("".join(p.read_text() for p in sorted(folder.glob("part-*"))))
+
+
 def jsonl(path, *records):
     return put(path, "".join(json.dumps(r) + "\n" for r in records))
 
@@ -351,13 +356,13 @@ def test_rounds_from_the_command_line(spark, tmp_path, capsys, monkeypatch):
     with pytest.raises(ValueError, match="source table"):
         run("fc", "run-single", "b", "--jsonl", "x", "--where", "true")
     assert run("fc", "review-package", "a", "--only-flagged") == 0
-    package = json.loads((inbox / "fc_reviews" / "a.001.review_pkg.json").read_text())
+    package = document(inbox / "fc_reviews" / "a.001.review_pkg.json")
     assert package["definition_name"] == "demo" and {e["note_id"] for p in package["patients"] for e in p["events"]} == {"r1", "r3", "r5"}
     assert package["patients"][0]["notes"]["r1"]["note_text"] == "size is 1 mm?"
     keys = [e["event_key"] for p in package["patients"] for e in p["events"]]
     jsonl(inbox / "fc_reviews" / "a.001.review_log.jsonl", *({"event_key": k, "verdict": "approved", "reviewed_at": "2024"} for k in keys))
     assert run("adjudication", "create", "r1", "a", "b") == 0
-    round_ = json.loads((inbox / "fc_adjudications" / "r1.adjudication_pkg.json").read_text())
+    round_ = document(inbox / "fc_adjudications" / "r1.adjudication_pkg.json")
     assert round_["summary"] == {"left_records": 7, "right_records": 3, "disagreements": 3, "different": 0, "missing_left": 0, "missing_right": 3}
     items = [e["adjudication_key"] for p in round_["patients"] for e in p["events"]]
     jsonl(inbox / "fc_adjudications" / "r1.adjudication_log.jsonl", *({"adjudication_key": k, "decision": "left", "reviewed_at": "2024"} for k in items))

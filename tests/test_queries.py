@@ -2,11 +2,9 @@ import os
 
 import pytest
 
-from lakework.plans import file_queries, queries
+from lakework.plans import file_queries, queries, temporal_queries  # noqa: F401 - importing adds queries
 from tests.oracle import SF_DIR, actual, expected
 
-assert file_queries  # importing it adds its queries
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 

@@ -1,0 +1,131 @@
+"""As-of and overlap joins, sessions and keyed streams against plain loops."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakework.operators import temporal, versions
+from lakework.streaming import latest
+
+
+def as_of(left, right):
+    """(left id, right id) by a plain scan."""
+    out = []
+    for i, k, at in left:
+        fits = [(t, r) for r, rk, t in right if k is not None and rk == k and t is not None and at is not None and t <= at]
+        out.append((i, max(fits)[1] if fits else None))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bucket", [3.0, 20.0, 1e9])
+def test_as_of(spark, bucket):
+    """Ties, nulls, a key with nine tenths of the rows, over one bucket and many."""
+    rng = random.Random(4)
+    key = lambda: rng.choice(["hot"] * 9 + ["a", "b", None])
+    left = [(i, key(), rng.choice((None, *range(-20, 80)))) for i in range(300)]
+    right = [(i, key(), rng.choice((None, *range(-5, 90, 3)))) for i in range(200)]
+    a = spark.createDataFrame(left, "id int, k string, at int").repartition(5)
+    b = spark.createDataFrame(right, "r_id int, k string, r_at int").repartition(3)
+    got = temporal.asof_join(a, b, ["k"], "at", "r_at", ["r_id"], ["r_id"], bucket=bucket)
+    assert got.columns == ["id", "k", "at", "r_id"]
+    assert sorted((r.id, r.r_id) for r in got.collect()) == as_of(left, right)
+    assert temporal.asof_join(a.limit(0), b, ["k"], "at", "r_at", ["r_id"], ["r_id"]).collect() == []
+    assert {r.r_id for r in temporal.asof_join(a, b.limit(0), ["k"], "at", "r_at", ["r_id"], ["r_id"]).collect()} == {None}
+
+
+def test_as_of_splits_a_hot_key(spark):
+    """No task sees more of a key than a bucket's rows; the window over a key is one row a bucket."""
+    a = spark.range(2000).select(F.col("id"), F.lit("hot").alias("k"), F.col("id").cast("double").alias("at"))
+    b = spark.range(2000).select(F.col("id").alias("r_id"), F.lit("hot").alias("k"), (F.col("id") + 0.5).alias("r_at"))
+    got = temporal.asof_join(a, b, ["k"], "at", "r_at", ["r_id"], ["r_id"], bucket=100.0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_tb" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert all(r.r_id == (r.id - 1 if r.id else None) for r in got.collect())
+
+
+@pytest.mark.parametrize("unit", [1.0, 0.1, 1000.0])
+def test_overlaps(spark, unit):
+    rng = random.Random(8)
+
+    def ranges(n):
+        out = []
+        for i in range(n):
+            start = rng.choice((None, *(rng.uniform(-50, 50) for _ in range(30))))
+            length = rng.choice((0, 0.5, 1, 3, 40, 200, -1, None))
+            out.append((i, rng.choice(["hot"] * 9 + ["a", None]), start, None if start is None or length is None else start + length))
+        return out
+
+    left, right = ranges(120), ranges(120)
+    a = spark.createDataFrame(left, "x int, xk string, x0 double, x1 double")
+    b = spark.createDataFrame(right, "y int, yk string, y0 double, y1 double")
+    fits = lambda p, q: None not in (*p[2:], *q[2:]) and p[2] <= p[3] and q[2] <= q[3] and p[2] <= q[3] and q[2] <= p[3]
+    got = temporal.overlap_join(a, b, ("x0", "x1"), ("y0", "y1"), [("xk", "yk")], unit=unit)
+    assert sorted((r.x, r.y) for r in got.collect()) == sorted((p[0], q[0]) for p in left for q in right if p[1] is not None and p[1] == q[1] and fits(p, q))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    every = temporal.overlap_join(a, b, ("x0", "x1"), ("y0", "y1"), unit=unit)
+    assert sorted((r.x, r.y) for r in every.collect()) == sorted((p[0], q[0]) for p in left for q in right if fits(p, q))
+    assert temporal.overlap_join(a.limit(0), b, ("x0", "x1"), ("y0", "y1")).collect() == []
+
+
+START = dt.datetime(2024, 1, 1)
+
+
+def test_sessions_of_a_batch_and_of_a_stream(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(1 if i % 10 else 2, START + dt.timedelta(minutes=rng.randint(0, 3000)), 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, at timestamp, v double")
+    want = []
+    for k in (1, 2):
+        times, run = sorted(at for key, at, _ in rows if key == k), []
+        for at in times:
+            if run and at - run[-1] > dt.timedelta(minutes=30):
+                want.append((k, run[0], run[-1], len(run), float(len(run))))
+                run = []
+            run.append(at)
+        want.append((k, run[0], run[-1], len(run), float(len(run))))
+    got = temporal.sessions(df, ["k"], "at", sums=["v"])
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # as a stream, in any order within the bound, ended by one far event
+    df.orderBy(F.rand(3)).repartition(3).write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([(9, START + dt.timedelta(days=40), 0.0)], df.schema).write.mode("append").parquet(str(tmp_path / "in2"))
+    for source in ("in", "in2"):  # the second run goes on from the first one's state
+        if source == "in2":
+            spark.read.parquet(str(tmp_path / "in2")).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        found = temporal.sessions(stream, ["k"], "at", late="10 days", sums=["v"])
+        query = found.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(want)
+    with pytest.raises(ValueError, match="late"):
+        temporal.sessions(stream, ["k"], "at")
+
+
+def test_latest_wins_whatever_the_order(spark, tmp_path):
+    """Shuffled micro-batches, a restart in between, ties, nulls and a hot key."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot"] * 9 + ["a", "b"]), rng.choice((None, START + dt.timedelta(minutes=rng.randint(0, 50)))), 2**60 + i, f"v{i}") for i in range(400)]
+    schema = "k string, at timestamp, line bigint, v string"
+    df = spark.createDataFrame(rows, schema)
+    for part in (df.where("line % 3 = 0"), df.where("line % 3 <> 0").repartition(2)):
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        changes = latest.latest_stream(stream, ["k"], ["at", "line"], ["v"])
+        latest.keep_latest(changes, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["at", "line"]).awaitTermination()
+    want = versions.latest(df, ["k"], ["at", "line"])
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(*df.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_timer_forgets_a_key(spark, tmp_path):
+    schema, at = "k string, at timestamp, line bigint", lambda h: START + dt.timedelta(hours=h)
+    seen = []
+    for n, rows in enumerate(([("a", at(0), 9)], [("b", at(100), 1)], [("b", at(101), 2)], [("a", at(102), 1)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        changes = latest.latest_stream(stream, ["k"], ["line"], at="at", late="1 hour", forget_ms=3_600_000)
+        query = changes.writeStream.outputMode("update").foreachBatch(lambda b, _, n=n: seen.extend((n, r.k, r.line) for r in b.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    # the last line of a is lower than its first, but that one was forgotten
+    assert seen == [(0, "a", 9), (1, "b", 1), (2, "b", 2), (3, "a", 1)]
