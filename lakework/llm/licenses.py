@@ -26,13 +26,15 @@ BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rig
 class Notice:
     """A short notice in normal form (lower case, words split by one space).
 
-    Words between asterisks tell it from other notices and must stand as they are.
+    Words between asterisks tell it from other notices and must stand as they are, but
+    for ``missing`` letters in all, where no other notice's words lack letters of them.
     Each part beside them may have an error for every ``per`` characters.
     """
 
     label: str
     text: str
     per: int = 8
+    missing: int = 0
 
     @property
     def parts(self) -> list[tuple[str, int | None]]:
@@ -46,18 +48,25 @@ class Notice:
 
     @property
     def errors(self) -> int:
-        return sum(k or 0 for _, k in self.parts)
+        return sum(self.missing if k is None else k for _, k in self.parts)
 
 
 #: Short forms of well-known notices.
 NOTICES = (
     Notice("apache-2.0", "under the *apache* license *version 2 0*"),
     Notice("apache-2.0", "under the *apache* license *2 0*"),
+    Notice("apache-2.0", "*apache* license *version 2 0*"),
+    Notice("apache-2.0", "*apache* license *2 0*"),
     Notice("mit", "under the *mit* license"),
+    Notice("mit", "*mit* license"),
     Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 12),
     Notice("isc", "under the *isc* license"),
     Notice("isc", "permission to use copy modify and or distribute this *software for any purpose*", 12),
+    Notice("isc", "*isc* license"),
     Notice("bsd", "under the *bsd* license"),
+    Notice("bsd", "*bsd* license"),
+    Notice("bsd", "*bsd 2* clause license"),
+    Notice("bsd", "*bsd 3* clause license"),
     Notice("bsd", "redistribution and use in source and binary forms with or without modification", 12),
     Notice("gpl", "under the *gpl* license"),
     Notice("gpl", "*gnu general public* license"),
@@ -74,7 +83,11 @@ NOTICES = (
     ),
     Notice("cc0", "*cc0*"),
     Notice("public-domain", "dedicated to the *public domain*"),
-    Notice("reserved", "all *rights reserved*", 3),
+    Notice("reserved", "all *rights reserved*", 3, missing=1),
+    *(
+        Notice(label, f"spdx license identifier *{words}*")
+        for label, words in (("mit", "mit"), ("isc", "isc"), ("apache-2.0", "apache 2 0"), ("bsd", "bsd 2 clause"), ("bsd", "bsd 3 clause"), ("gpl", "gpl"), ("lgpl", "lgpl"), ("agpl", "agpl"), ("mpl-2.0", "mpl 2 0"), ("cc0", "cc0"))
+    ),
 )
 
 SCAN = T.StructType(
@@ -109,7 +122,8 @@ def seeds(notice: Notice) -> list[tuple[int, bytes]]:
 def fuzzy_pattern(notice: Notice):
     """The notice with a space before it and one ahead; each part with its own bound on errors."""
     escaped = lambda x: regex.escape(x, special_only=True)
-    parts = [escaped(x) if not k else f"(?:{escaped(x)}){{e<={k}}}" for x, k in notice.parts]
+    exact = lambda x: f"(?:{escaped(x)}){{d<={notice.missing}}}" if notice.missing else escaped(x)
+    parts = [exact(x) if k is None else escaped(x) if not k else f"(?:{escaped(x)}){{e<={k}}}" for x, k in notice.parts]
     return regex.compile(f" {' '.join(parts)}(?= )".encode(), regex.ENHANCEMATCH)
 
 
@@ -118,7 +132,7 @@ class Scanner:
 
     def __init__(self, notices: tuple[Notice, ...] = NOTICES, exhaustive: bool = False):
         self.exhaustive = exhaustive
-        self.notices = [(n, n.plain, n.errors, seeds(n), [f" {x} ".encode() for x, k in n.parts if k is None], fuzzy_pattern(n)) for n in notices]
+        self.notices = [(n, n.plain, n.errors, seeds(n), [f" {x} ".encode() for x, k in n.parts if k is None and not n.missing], fuzzy_pattern(n)) for n in notices]
 
     @staticmethod
     def _places(data: bytes, pieces: list[tuple[int, bytes]], size: int, errors: int) -> list[list[int]]:

@@ -106,6 +106,20 @@ NEAR = {
     "CC0 1.0 Universal": "cc0",
     "Redistribution and use in sourse and binary form, with or without modification": "bsd",
     "Permission is hereby granted, free of charge, to any persons obtaining a copy": "mit",
+    "MIT License": "mit",
+    "BSD 3-Clause License": "bsd",
+    "BSD 2-Clause Licence": "bsd",
+    "BSD 4-Clause License": "",
+    "Apache License 2.0": "apache-2.0",
+    "Apache License 1.0": "",
+    "SPDX-License-Identifier: MIT": "mit",
+    "SPDX-Licence-Identifier: BSD-3-Clause": "bsd",
+    "SPDX-License-Identifier: NONE": "",
+    "under the terms of the MIT license": "mit",
+    "under the terms of the Apache License, Version 2.0": "apache-2.0",
+    "all right reserved": "reserved",
+    "all rights reservd": "reserved",
+    "all rights preserved": "",
     "Permission to use, copy, modify, and/or distribute this software for any purpose": "isc",
 }
 
