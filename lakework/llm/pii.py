@@ -177,36 +177,57 @@ class Sentence:
         return "none"
 
     def _features(self, span: str, i: int, j: int, context: str) -> tuple[str, ...]:
-        digits = _digits(span)
-        out = ["bias"]
-        shapes = [name for name, pattern in _SHAPES if pattern.fullmatch(span)]
-        for name in shapes or ["none"]:
-            out.append(f"shape:{name}")
-            out.append(f"shape:{name}|context:{context}")
-        if "ip" in shapes:
-            out.append(f"octets:{all(int(p) < 256 for p in span.split('.'))}")
-        n = len(digits)
-        out.append(f"digits:{0 if not n else '1-8' if n < 9 else '9-12' if n < 13 else '13-15' if n < 16 else '16-19' if n < 20 else 'more'}")
-        if "groups" in shapes and 13 <= n <= 19:
-            out.append(f"luhn:{luhn(digits)}")
-        if "iban" in shapes:
-            out.append(f"iban:{_iban_sum(span)}")
-        letters = sum(c.isalpha() for c in span)
-        letter_class = "none" if not letters else "all" if letters == len(span) else "some"
-        out.append(f"letters:{letter_class}")
-        if "(" in span or ")" in span:
-            out.append(f"brackets:{span.count('(') == span.count(')')}")
+        alike = span[0] + span[1:].translate(_ABSTRACT) if span[0] == "0" else span.translate(_ABSTRACT)
+        shapes, n, _, _ = _span_facts(alike)
+        octets = all(int(p) < 256 for p in span.split(".")) if "ip" in shapes else None
+        sums = luhn(_digits(span)) if "groups" in shapes and 13 <= n <= 19 else None
+        iban = _iban_sum(span) if "iban" in shapes else None
         start, end = self.tokens[i][0], self.tokens[j][1]
-        left, right = self.text[start - 1 : start], self.text[end : end + 1]
-        out.append(f"left:{_SIDES.get(left, 'other')}")
+        left, after = _SIDES.get(self.text[start - 1 : start], "other"), _SIDES.get(self.text[end : end + 1], "other")
         # a stop that more of the same word follows is no end
-        after = _SIDES.get(right, "other")
-        out.append(f"right:{'other' if after == 'stop' and self.text[end + 1 : end + 2].strip() else after}")
-        if self.set_by[i] is not None:
-            out.append(f"set:{self.set_by[i]}|letters:{letter_class}|spaces:{' ' in span}")
-            out.append(f"set|spaces:{' ' in span}")
-            out.append(f"set|long:{min(len(span) // 4, 4)}|right:{after}")
-        return tuple(out)
+        right = "other" if after == "stop" and self.text[end + 1 : end + 2].strip() else after
+        return _named(alike, octets, sums, iban, context, left, right, after, self.set_by[i])
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def _named(alike: str, octets: bool | None, sums: bool | None, iban: bool | None, context: str, left: str, right: str, after: str, set_by: str | None) -> tuple[str, ...]:
+    """The features of a segment; segments that read alike share them."""
+    shapes, _, letter_class, own = _span_facts(alike)
+    out = ["bias"]
+    for name in shapes or ("none",):
+        out.append(f"shape:{name}")
+        out.append(f"shape:{name}|context:{context}")
+    if octets is not None:
+        out.append(f"octets:{octets}")
+    out.append(own[0])
+    if sums is not None:
+        out.append(f"luhn:{sums}")
+    if iban is not None:
+        out.append(f"iban:{iban}")
+    out += own[1:]
+    out.append(f"left:{left}")
+    out.append(f"right:{right}")
+    if set_by is not None:
+        out.append(f"set:{set_by}|letters:{letter_class}|spaces:{' ' in alike}")
+        out.append(f"set|spaces:{' ' in alike}")
+        out.append(f"set|long:{min(len(alike) // 4, 4)}|right:{after}")
+    return tuple(out)
+
+
+#: Characters that no shape tells apart are one: digits but a leading 0, and letters by whether a hex number has them.
+_ABSTRACT = {ord(c): stands for cs, stands in (("0123456789", "1"), ("abcdef", "a"), ("ghijklmnopqrstuvwxyz", "z"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A")) for c in cs}
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def _span_facts(span: str) -> tuple[tuple[str, ...], int, str, tuple[str, ...]]:
+    """Shapes, number of digits, kind of letters and features of an abstract span; all spans that read alike share them."""
+    shapes = tuple(name for name, pattern in _SHAPES if pattern.fullmatch(span))
+    n, letters = len(_digits(span)), sum(c.isalpha() for c in span)
+    letter_class = "none" if not letters else "all" if letters == len(span) else "some"
+    own = [f"digits:{0 if not n else '1-8' if n < 9 else '9-12' if n < 13 else '13-15' if n < 16 else '16-19' if n < 20 else 'more'}", f"letters:{letter_class}"]
+    if "(" in span or ")" in span:
+        own.append(f"brackets:{span.count('(') == span.count(')')}")
+    return shapes, n, letter_class, tuple(own)
 
 
 def _score(weights, features, label: str) -> float:
@@ -220,23 +241,59 @@ def _arcs(s: Sentence, weights, i: int) -> list[tuple[int, str, float]]:
     return arcs
 
 
+class Scores:
+    """Fixed weights, with the scores of sets of features that were seen: texts have far fewer of these than segments."""
+
+    def __init__(self, weights, most: int = 1 << 14):
+        self.weights, self.most, self.known = weights, most, {}
+        self.steps = {label: {p: weights.get((p, label), 0.0) for p in ("^", "O", *KINDS)} for label in ("O", *KINDS)}
+
+    def of(self, features: tuple[str, ...], labels: tuple[str, ...]) -> tuple[float, ...]:
+        found = self.known.get(features)
+        if found is None:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            found = self.known[features] = tuple(_score(self.weights, features, k) for k in labels)
+        return found
+
+
+_OUTSIDE = ("O",)
+
+
 def decode(s: Sentence, weights) -> list[tuple[str, int, int]]:
     """The best segmentation's entities as (kind, first token, end token).
 
     Candidates are made token by token; of a token only the best way to each label is
     kept, so memory grows with the tokens, not with their segments.
     """
+    scores = weights if isinstance(weights, Scores) else Scores(weights)
     n = len(s.tokens)
     best: list[dict[str, tuple[float, int, str]]] = [{} for _ in range(n + 1)]
     best[0]["^"] = (0.0, -1, "")
+
+    def into(here: dict, label: str) -> tuple[float, str]:
+        """The best way to a segment of a label that starts here: score and the label before."""
+        step = scores.steps[label]
+        if len(here) == 1:
+            ((p, (v, _, _)),) = here.items()
+            return v + step[p], p
+        return max([(v + step[p], p) for p, (v, _, _) in here.items()])
+
     for i in range(n):
-        into: dict[str, tuple[float, str] | None] = {}
-        for end, label, score in _arcs(s, weights, i):
-            if label not in into:
-                into[label] = max(((v + weights.get((p, label), 0.0), p) for p, (v, _, _) in best[i].items()), default=None)
-            top = into[label]
-            if top and (label not in best[end] or top[0] + score > best[end][label][0]):
-                best[end][label] = (top[0] + score, i, top[1])
+        here = best[i]
+        if not here:
+            continue
+        value, before = into(here, "O")
+        value += scores.of(s.outside(i), _OUTSIDE)[0]
+        if "O" not in best[i + 1] or value > best[i + 1]["O"][0]:
+            best[i + 1]["O"] = (value, i, before)
+        ways = None
+        for end, features in s.segments(i):
+            ways = ways or [(k, *into(here, k)) for k in KINDS]
+            there = best[end]
+            for (k, value, before), score in zip(ways, scores.of(features, KINDS), strict=True):
+                if k not in there or value + score > there[k][0]:
+                    there[k] = (value + score, i, before)
     out, at = [], n
     label = max(best[n], key=lambda k: best[n][k][0]) if n else "^"
     while at > 0:
@@ -471,7 +528,7 @@ def detect(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     spans of different kinds may overlap; the field's overlap nothing.  Texts of any
     length are decoded whole, line by line.  Each row is handled where it is read.
     """
-    weights = trained()
+    weights = Scores(trained())
 
     def one(text):
         base, spans = find_spans(text, weights)
@@ -501,5 +558,5 @@ def redact_text(text: str | None, weights) -> str | None:
 
 def redacted(text: Column) -> Column:
     """A column with personal data replaced; null stays null."""
-    weights = trained()
+    weights = Scores(trained())
     return arrow_column(lambda texts: [redact_text(t, weights) for t in texts], T.StringType(), text.cast("string"))
