@@ -192,7 +192,7 @@ def check_arguments(jsonl: str | None, source: str | None, where: str | None = N
 
 
 def snake(name: str) -> str:
-    """``KidneyBasic`` and ``kidney-basic`` name the same definition."""
+    """``StudyForm`` and ``study-form`` name the same definition."""
     return re.sub(r"[\s\-]+", "_", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name)).lower()
 
 

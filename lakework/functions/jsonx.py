@@ -150,18 +150,15 @@ def _form(date: str | None) -> str:
     return {4: "year", 7: "month", 10: "day"}.get(len(date or ""), "unknown") if _PARTIAL.fullmatch(date or "") else "unknown"
 
 
-def flatten(value: Mapping[str, Any], prefix: str = "") -> dict[str, str | None]:
+def flatten(value: Mapping[str, Any]) -> dict[str, str | None]:
     """H3: an object's leaves as strings.
 
     Objects nest as ``parent_child``; lists join with ``;`` (empty: null);
     approximate dates and strings that look like partial dates are padded and get
     ``_precision`` (and ``_anchor`` if they have one).  H4: of two leaves with one
-    name the later wins, or, with a ``prefix``, is kept under ``prefix_name``.
+    name the later wins.
     """
-    out: dict[str, str | None] = {}
-    for name, leaf in _leaves(value):
-        out[f"{prefix}_{name}" if prefix and name in out else name] = leaf
-    return out
+    return dict(_leaves(value))
 
 
 def _leaves(value: Mapping[str, Any], parents: str = "") -> Iterator[tuple[str, str | None]]:

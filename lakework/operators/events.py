@@ -134,8 +134,8 @@ def slots(recs: DataFrame, identity: Mapping[str, Sequence[str]] | None = None,
 
     The identity is a hash of the declared fields if none of them is null, else the
     event's ordinal of its type in the note; repeated keys get ``::1``, ``::2`` in
-    batch order.  Windows are per note and type, so none is larger than a note's
-    events of one type.
+    batch order.  Windows are per note and type; notes without an id are one note, whose
+    numbers run through the batch.
     """
     rows = explode_events(recs, identity).withColumn("note_id", F.coalesce("note_id", F.lit("")))
     in_order = [order, "type_order", "position"]

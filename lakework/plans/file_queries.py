@@ -281,7 +281,8 @@ def notes_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.concat(F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('"'))
     _t(spark, sf_dir, "events").select(F.when(k == 0, head).when(k == 1, F.concat(head, F.lit("}"))).otherwise(F.concat(head, F.lit(',"text":"'), "event_type", F.lit('"}')))).write.text(path)
     notes, counters = readers.notes_from_jsonl(spark, path, "id", "text")
-    counted = counters.select(F.explode(F.array(*(F.struct(F.lit(n).alias("what"), F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("text"), F.col(n).alias("n")) for n in ("malformed", "missing")))).alias("x")).select("x.*")
+    notes = lake.staged(notes, "notes")  # the one pass
+    counted = spark.createDataFrame([(what, None, None, counters.get[what]) for what in ("malformed", "missing")], "what string, id string, text string, n bigint")
     return notes.select(F.lit("note").alias("what"), "id", "text", F.lit(1).cast("bigint").alias("n")).unionByName(counted)
 
 
@@ -450,11 +451,11 @@ def field_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("""SELECT n, ok FROM (VALUES (1, true), (2, false), (3, false), (4, false), (5, true), (6, false), (7, false), (8, true), (9, false)) AS v(n, ok)""")
 def run_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which options go together; names of definitions."""
-    known = {"KidneyBasic": registry.DEMO}
+    known = {"StudyForm": registry.DEMO}
     steps = [
         lambda: runner.check_arguments(None, "t", "x > 1", "c", True), lambda: runner.check_arguments("j", "t"), lambda: runner.check_arguments(None, None), lambda: runner.check_arguments("j", None, "x > 1"),
         lambda: runner.check_arguments("j", None), lambda: runner.check_arguments(None, "t", delta=True, full=True), lambda: runner.check_arguments("j", None, batch="a-b"),
-        lambda: runner.resolve_definition("kidney-basic", known), lambda: runner.resolve_definition("other", known),
+        lambda: runner.resolve_definition("study-form", known), lambda: runner.resolve_definition("other", known),
     ]
     rows = []
     for n, step in enumerate(steps, 1):

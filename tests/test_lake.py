@@ -49,7 +49,7 @@ def test_json_readers(spark, tmp_path):
     assert readers.json_lines(spark, str(tmp_path)).count() == 2
     assert [(r.line_no, r.value[:5]) for r in readers.numbered_lines(spark, str(tmp_path)).collect()] == [(1, '{"id"'), (3, "{bad"), (4, '{"id"')]
     notes, counters = readers.notes_from_jsonl(spark, str(tmp_path), "id", "text")
-    assert notes.count() == 1 and counters.first().asDict() == {"malformed": 1, "missing": 1}
+    assert len(notes.collect()) == 1 and counters.get == {"read": 3, "malformed": 1, "missing": 1}
     assert readers.json_documents(spark, str(put(tmp_path / "d" / "o.json", {"a": 1}))).first().json == '{"a": 1}'
     with pytest.raises(ValueError, match="b.csv, x.txt"):
         readers.dated_files(["2021-01-01_a.csv", "x.txt", "b.csv"])
@@ -284,7 +284,7 @@ def test_argument_rules():
     for bad in ({"jsonl": "x", "source": "y"}, {"jsonl": None, "source": None}, {"jsonl": "x", "source": None, "where": "1"}, {"jsonl": None, "source": "y", "delta": True, "full": True}, {"jsonl": "x", "source": None, "batch": "a-b"}):
         with pytest.raises(ValueError):
             runner.check_arguments(**bad)
-    assert runner.resolve_definition("KidneyBasic", {"kidney_basic": registry.DEMO}) is registry.DEMO
+    assert runner.resolve_definition("StudyForm", {"study_form": registry.DEMO}) is registry.DEMO
     with pytest.raises(KeyError):
         runner.resolve_definition("x", {})
 

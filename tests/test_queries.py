@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from lakework.plans import file_queries, queries, temporal_queries  # noqa: F401 - importing adds queries
+from lakework.plans import file_queries, kept_queries, queries, temporal_queries  # noqa: F401 - importing adds queries
 from tests.oracle import SF_DIR, actual, expected
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
