@@ -23,7 +23,8 @@ def field_types(recs: DataFrame, place: Sequence[str] = ("segment", "line_no"))
 
     ``control`` is of the first value that isn't null; ``shape`` is the type that all
     values fit.  One aggregation, partial before its shuffle, so an event type with most of
-    the events is a row per field and task.  ``place`` orders records, across segments too.
+    the events is a row per field and task.  ``place`` orders records, across segments too;
+    an event's own fields are in the order of their names.
     """
     rows = events.explode_events(recs)
     at = F.struct(*place, "type_order", "position")
