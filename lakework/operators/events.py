@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakework.functions.hashing import blake2b_128
-from lakework.functions.jsonx import data_fields, flattened, short_hash, stable
+from lakework.functions.jsonx import data_fields, flatten, short_hash, stable
 from lakework.operators.versions import highest_segment_rows
 from lakework.schemas import EXTRACTIONS, conform
 from lakework.types import struct
@@ -67,14 +67,19 @@ def parse_record(line: str | None) -> dict | None:
 
 
 def records(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Parsed records of a table of JSON lines, other columns kept; blank and malformed lines vanish."""
+    """Parsed records of a table of JSON lines, other columns kept; blank and malformed lines vanish.
 
-    @F.arrow_udf(RECORD)
+    A line is a list of one record or none: a filter on a parsed column would move below it, and
+    with it a second copy of the parser and its Python workers.
+    """
+    kind = T.ArrayType(RECORD)
+
+    @F.arrow_udf(kind)
     def parse(column: pa.Array) -> pa.Array:
-        return pa.array([parse_record(v) for v in column.to_pylist()], _arrow(RECORD))
+        return pa.array([[] if (r := parse_record(v)) is None else [r] for v in column.to_pylist()], _arrow(kind))
 
     rest = [c for c in lines.columns if c != value]
-    return lines.select(*rest, parse(F.col(value)).alias("_r")).where("_r is not null").select(*rest, "_r.*")
+    return lines.select(*rest, F.inline(parse(F.col(value))))
 
 
 def wide(recs: DataFrame, batch: str, segment: int | Column | None = None, only_successful: bool = True) -> DataFrame:
@@ -95,19 +100,25 @@ def wide(recs: DataFrame, batch: str, segment: int | Column | None = None, only_
     return conform(out.withColumn("key_hash", blake2b_128(F.col("record_id"))), EXTRACTIONS, extras=False)
 
 
-def events_of(text: str | None, identity: Mapping[str, Sequence[str]]) -> list[dict]:
-    """H2: a record's events, in order; members that aren't lists of objects are skipped."""
+def members_of(text: str | None) -> Iterator[tuple[str, int, int, dict]]:
+    """H2: (type, order, position, fields) of a record's events; members that aren't lists of objects are skipped."""
     found = json.loads(text) if text else {}
-    out = []
     for order, (kind, members) in enumerate(found.items() if isinstance(found, dict) else ()):
         for position, event in enumerate(members if isinstance(members, list) else ()):
             if isinstance(event, dict):
-                names = identity.get(kind) or ()
-                own = bool(names) and all(event.get(n) is not None for n in names)
-                key = "id-" + short_hash({n: event.get(n) for n in names}) if own else None
-                data = data_fields(event)
-                out.append({"event_type": str(kind), "type_order": order, "position": position, "fields_json": json.dumps(event, default=str), "data_json": stable(data),
-                            "fingerprint": hashlib.sha256(stable(data).encode()).hexdigest()[:12], "identity": key})
+                yield str(kind), order, position, event
+
+
+def events_of(text: str | None, identity: Mapping[str, Sequence[str]]) -> list[dict]:
+    """H2: a record's events, in order."""
+    out = []
+    for kind, order, position, event in members_of(text):
+        names = identity.get(kind) or ()
+        own = bool(names) and all(event.get(n) is not None for n in names)
+        key = "id-" + short_hash({n: event.get(n) for n in names}) if own else None
+        data = stable(data_fields(event))
+        out.append({"event_type": kind, "type_order": order, "position": position, "fields_json": json.dumps(event, default=str), "data_json": data,
+                    "fingerprint": hashlib.sha256(data.encode()).hexdigest()[:12], "identity": key})
     return out
 
 
@@ -161,8 +172,13 @@ def widen(df: DataFrame, column: str, keep: Sequence[str], names: Iterable[str]
 
 def event_table(recs: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """A flat row per event: note, tool, mrn, gate result, then every leaf as a column."""
-    rows = explode_events(recs).withColumn("_map", flattened(F.col("fields_json")))
-    rows = rows.withColumnRenamed("event_type", "tool_name")
+    kind = T.ArrayType(T.StructType([T.StructField("tool_name", T.StringType()), T.StructField("_map", T.MapType(T.StringType(), T.StringType()))]))
+
+    @F.arrow_udf(kind)
+    def leaves(column: pa.Array) -> pa.Array:
+        return pa.array([[{"tool_name": k, "_map": list(flatten(event).items())} for k, _, _, event in members_of(v)] for v in column.to_pylist()], _arrow(kind))
+
+    rows = recs.select("note_id", "mrn", "gate_result", F.inline(leaves("events_json")))
     return widen(rows, "_map", ["note_id", "tool_name", "mrn", "gate_result"], names)
 
 

@@ -129,6 +129,15 @@ def test_records_are_lenient(spark):
     assert (tally.total, tally.succeeded, tally.failed, tally.success_rate) == (2, 1, 1, 0.5)
 
 
+def test_records_are_parsed_once(spark):
+    """A filter on what was parsed doesn't bring a second copy of the parser, nor leaves a second pass over an event's JSON."""
+    recs = events.records(lines_of(spark, record("a", {"t": [{"v": 1.5}, {"w": ["é", None]}]}), "{bad", record("b", success=False)))
+    steps = lambda df: df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+    assert steps(recs.where("success")) == 1 and recs.where("success").count() == 1
+    table = events.event_table(recs.where("success"))
+    assert steps(table) == 2 and rows(table.na.fill("-"), "note_id", "v", "w") == [("a", "-", "é;None"), ("a", "1.5", "-")]
+
+
 def test_wide_rows(spark):
     recs = events.records(lines_of(spark, record("a", {"t": [{"b": 1, "a": "é"}]}), record("b", success=False)))
     out = events.wide(recs, "batch", 3).collect()
