@@ -67,6 +67,6 @@ def merged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(ORACLES["event_flatten"])
 def declared_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H3 to H5: a flat row per event with declared leaves, by a table function that knows its columns beforehand."""
+    """H3 to H5: a flat row per event with declared leaves, in columns that are known beforehand."""
     found = flat.declared_events(_records(spark, sf_dir), ["reason", "at", "at_precision", "deep_k", "deep_l", "n"], ("note_id", "mrn"), strict=True)
     return found

@@ -98,3 +98,17 @@ def test_declared_leaves(spark):
         flat.declared_events(recs, ["x"], strict=True).collect()
     with pytest.raises(Exception, match="declared twice"):
         flat.declared_events(recs, ["x", "X"])
+
+
+def test_declared_leaves_by_batch(spark):
+    """Not a call and a conversion per record; the table function yields the same rows in SQL."""
+    lines = [(json.dumps({"note_id": f"n{i}", "mrn": "m", "events": {"t": [{"x": i, "d": {"k": "2024"}}, {"y": None}], "none": []}}),) for i in range(20)]
+    recs = events.records(spark.createDataFrame(lines, "value string"))
+    got = flat.declared_events(recs, ["x", "d_k"], ("note_id",))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "UDTF" not in plan and plan.count("ArrowEvalPython") == 2
+    spark.udtf.register("flat_events", F.udtf(flat.FlatEvents, useArrow=True))
+    recs.createOrReplaceTempView("flat_recs")
+    sql = spark.sql("""SELECT note_id, f.* FROM flat_recs, LATERAL flat_events(events_json, '["x", "d_k"]', false) f""")
+    spark_rows = lambda df: sorted(map(repr, df.select(*got.columns).collect()))
+    assert spark_rows(got) == spark_rows(sql) and got.count() == 40
