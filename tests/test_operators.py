@@ -138,6 +138,16 @@ def test_records_are_parsed_once(spark):
     assert steps(table) == 2 and rows(table.na.fill("-"), "note_id", "v", "w") == [("a", "-", "é;None"), ("a", "1.5", "-")]
 
 
+def test_package_events_are_made_once(spark):
+    """The check for repeated keys doesn't parse the package's events a second time."""
+    package = {"definition_name": "d", "patients": [{"mrn": "m", "notes": {}, "events": [{"event_key": "a", "note_id": "n"}, {"event_key": "b", "note_id": "n"}]}]}
+    found = review.package_events(spark.createDataFrame([(json.dumps(package),)], "json string"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1 and rows(found, "event_key") == [("a",), ("b",)]
+    package["patients"].append({"mrn": "q", "events": [{"event_key": "b"}]})
+    with pytest.raises(Exception, match="repeated event_key"):
+        review.package_events(spark.createDataFrame([(json.dumps(package),)], "json string")).collect()
+
+
 def test_wide_rows(spark):
     recs = events.records(lines_of(spark, record("a", {"t": [{"b": 1, "a": "é"}]}), record("b", success=False)))
     out = events.wide(recs, "batch", 3).collect()
