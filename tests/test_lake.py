@@ -407,3 +407,16 @@ def test_settings(tmp_path, monkeypatch):
         config.backend("b").api_key()
     with pytest.raises(ValueError, match="no backend"):
         config.backend("x")
+
+
+def test_steps_are_run_once(spark, tmp_path, monkeypatch):
+    """What is counted, written and looked through several times is parsed and merged once."""
+    from lakework.plans import ingest, rounds
+
+    names, staged = [], ingest.store.staged
+    monkeypatch.setattr(ingest.store, "staged", lambda df, name: names.append(name) or staged(df, name))
+    folder = tmp_path / "inbox" / "fc_extractions" / "b"
+    folder.mkdir(parents=True)
+    (folder / "001.jsonl").write_text('{"note_id": "n", "success": true, "events": {"t": [{"v": 1}]}}\n')
+    rounds.review_package(spark, tmp_path / "inbox", "b")
+    assert names.count("records") == 1
