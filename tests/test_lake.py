@@ -420,3 +420,5 @@ def test_steps_are_run_once(spark, tmp_path, monkeypatch):
     (folder / "001.jsonl").write_text('{"note_id": "n", "success": true, "events": {"t": [{"v": 1}]}}\n')
     rounds.review_package(spark, tmp_path / "inbox", "b")
     assert names.count("records") == 1
+    ingest.Ingest(spark, tmp_path / "inbox", tmp_path / "lake").run(["fc_extractions"])
+    assert names.count("extractions") == 1 and spark.read.parquet(str(tmp_path / "lake" / "fc_extractions" / "b.parquet")).count() == 1
