@@ -14,7 +14,7 @@ from lakework.extract.runner import Backend, FakeBackend, Limits, extract
 from lakework.functions.hashing import definition_hash
 from lakework.operators import delta, events, runs
 from lakework.sources import readers
-from lakework.sources.lake import promote, write_json
+from lakework.sources.lake import promote, staged, write_json
 
 
 def next_segment(folder: Path) -> int:
@@ -50,9 +50,10 @@ def run_batch(spark: SparkSession, notes: DataFrame, inbox: Path, batch: str, de
     pin(folder, definition, source, id_column)
     identity, counts, todo = definition_of(system, registry), {}, notes
     if not full and any(folder.glob("*.jsonl")):
-        history = delta.batch_history(events.records(readers.segments(spark, str(folder))))
+        history = delta.batch_history(events.heads(readers.segments(spark, str(folder))))
         state = notes.select("id", F.col("hash").alias("current"))
-        placed = delta.categorise(state, history, identity, forced, on_definition_change)
+        # counted and joined: the history is parsed once
+        placed = staged(delta.categorise(state, history, identity, forced, on_definition_change).select("id", "category"), "categories")
         counts = {r.category: r.n for r in placed.groupBy("category").agg(F.count(F.lit(1)).alias("n")).collect()}
         if forced is not None:
             counts["forced_missing"] = delta.unseen_forced(state, forced).count()
@@ -63,8 +64,7 @@ def run_batch(spark: SparkSession, notes: DataFrame, inbox: Path, batch: str, de
     staging = folder / f".segment-{run['run_id']}"
     out = extract(todo, definition, system, registry, make_backend, {"run_id": run["run_id"], "definition_hash": identity}, run["started_at"], Limits(debug_dir=debug_dir), workers)
     out.select("line").write.text(str(staging))
-    recs = events.records(spark.read.text(str(staging)))
-    tally = events.run_tally(recs).first()
+    tally = events.run_tally(events.heads(spark.read.text(str(staging)))).first()
     total, ok = (tally.total, tally.succeeded) if tally else (0, 0)
     if total:
         promote(staging, folder / f"{number:03d}.jsonl")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,7 @@ RECORD = struct(
     "rounds int, input_tokens bigint, output_tokens bigint, reasoning_tokens bigint, system_prompt_hash string, definition_hash string, "
     "events_json string, plans_json string, finish_json string, run_meta_json string"
 )
+HEAD = struct("note_id string, source_content_hash string, success boolean, definition_hash string")
 EVENT = T.ArrayType(struct("event_type string, type_order int, position int, fields_json string, data_json string, fingerprint string, identity string"))
 
 
@@ -39,25 +40,50 @@ def _integer(value) -> int:
         return 0
 
 
-def parse_record(line: str | None) -> dict | None:
-    """One record of a JSON line; null if it isn't a JSON object.  Nested values keep Python's default JSON bytes, keys sorted."""
+def _object(line: str | None) -> dict | None:
     try:
         record = json.loads(line) if line else None
     except ValueError:
         return None
-    if not isinstance(record, dict):
+    return record if isinstance(record, dict) else None
+
+
+def _text(value) -> str | None:
+    return None if value is None else str(value)
+
+
+def _meta(record: Mapping) -> Mapping:
+    return record.get("run_meta") if isinstance(record.get("run_meta"), dict) else {}
+
+
+def parse_head(line: str | None) -> dict | None:
+    """A record's identity and success alone; null if the line isn't a JSON object."""
+    record = _object(line)
+    if record is None:
+        return None
+    meta = _meta(record)
+    return {
+        **{k: _text(record.get(k)) for k in ("note_id", "source_content_hash")},
+        "success": bool(record.get("success", False)),
+        # an old record's definition is identified by its prompt
+        "definition_hash": _text(meta.get("definition_hash") or meta.get("system_prompt_hash")),
+    }
+
+
+def parse_record(line: str | None) -> dict | None:
+    """One record of a JSON line; null if it isn't a JSON object.  Nested values keep Python's default JSON bytes, keys sorted."""
+    record = _object(line)
+    if record is None:
         return None
-    text = lambda v: None if v is None else str(v)
     nested = lambda v: stable(v, compact=False) if v else None
-    events = record.get("events")
-    meta = record.get("run_meta") if isinstance(record.get("run_meta"), dict) else {}
+    events, meta = record.get("events"), _meta(record)
     return {
-        **{k: text(record.get(k)) for k in ("note_id", "mrn", "definition_name", "extracted_at", "source_content_hash", "gate_result", "error")},
+        **{k: _text(record.get(k)) for k in ("note_id", "mrn", "definition_name", "extracted_at", "source_content_hash", "gate_result", "error")},
         "success": bool(record.get("success", False)),
         **{k: _integer(record.get(k)) for k in ("rounds", "input_tokens", "output_tokens", "reasoning_tokens")},
-        "system_prompt_hash": text(meta.get("system_prompt_hash")),
+        "system_prompt_hash": _text(meta.get("system_prompt_hash")),
         # an old record's definition is identified by its prompt
-        "definition_hash": text(meta.get("definition_hash") or meta.get("system_prompt_hash")),
+        "definition_hash": _text(meta.get("definition_hash") or meta.get("system_prompt_hash")),
         # insertion order of event types matters to slots, so it is kept here and sorted where bytes are hashed
         "events_json": json.dumps(events, default=str) if isinstance(events, dict) else "{}",
         "plans_json": nested(record.get("plans")),
@@ -66,22 +92,30 @@ def parse_record(line: str | None) -> dict | None:
     }
 
 
-def records(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Parsed records of a table of JSON lines, other columns kept; blank and malformed lines vanish.
-
-    A line is a list of one record or none: a filter on a parsed column would move below it, and
+def _parsed(lines: DataFrame, value: str, one: Callable[[str | None], dict | None], struct_: T.StructType) -> DataFrame:
+    """A line is a list of one row or none: a filter on a parsed column would move below it, and
     with it a second copy of the parser and its Python workers.
     """
-    kind = T.ArrayType(RECORD)
+    kind = T.ArrayType(struct_)
 
     @F.arrow_udf(kind)
     def parse(column: pa.Array) -> pa.Array:
-        return pa.array([[] if (r := parse_record(v)) is None else [r] for v in column.to_pylist()], _arrow(kind))
+        return pa.array([[] if (r := one(v)) is None else [r] for v in column.to_pylist()], _arrow(kind))
 
     rest = [c for c in lines.columns if c != value]
     return lines.select(*rest, F.inline(parse(F.col(value))))
 
 
+def records(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Parsed records of a table of JSON lines, other columns kept; blank and malformed lines vanish."""
+    return _parsed(lines, value, parse_record, RECORD)
+
+
+def heads(lines: DataFrame, value: str = "value") -> DataFrame:
+    """``records`` with the columns alone that a batch's history and tally need; nested values aren't made again."""
+    return _parsed(lines, value, parse_head, HEAD)
+
+
 def wide(recs: DataFrame, batch: str, segment: int | Column | None = None, only_successful: bool = True) -> DataFrame:
     """H1: one row per record in the fixed extraction schema."""
 

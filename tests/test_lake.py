@@ -279,6 +279,44 @@ def test_batches_are_incremental(spark, tmp_path):
     assert table.where("status = 'completed'").count() == 4 and table.agg(F.sum("items_succeeded")).first()[0] == 5
 
 
+def test_notes_of_one_partition_are_spread(spark):
+    """A small source file is one partition, but a note's extraction is much work."""
+    notes = spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit("size 3 mm").alias("text"), F.lit("m").alias("mrn"), F.lit("h").alias("hash")).coalesce(1)
+    out = runner.extract(notes, "demo", "s", registry.DEMO)
+    shares = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(r["count"] for r in shares) == 200
+    assert runner.extract(notes, "demo", "s", registry.DEMO, workers=2).select(F.spark_partition_id()).distinct().count() == 2
+
+
+def test_a_batch_reads_its_history_once(spark, tmp_path, monkeypatch):
+    notes = spark.range(20).select(F.col("id").cast("string").alias("id"), F.lit("size 3 mm").alias("text"), F.lit("m").alias("mrn"), F.lit("h").alias("hash"))
+    run = lambda df: segments.run_batch(spark, df, tmp_path / "inbox", "b", "demo", "s", registry.DEMO, "t")
+    run(notes)
+    seen, whole = tmp_path / "seen", segments.delta.batch_history
+
+    def noted(recs):
+        def note(batches):
+            for batch in batches:
+                with seen.open("a") as f:
+                    f.write("x" * batch.num_rows)
+                yield batch
+
+        history = whole(recs)
+        return history.mapInArrow(note, history.schema)
+
+    monkeypatch.setattr(segments.delta, "batch_history", noted)
+    changed = notes.withColumn("hash", F.when(F.col("id") == "7", "new").otherwise(F.col("hash")))
+    assert run(changed) | {"run_id": 0} == {"run_id": 0, "segment": 2, "processed": 1, "succeeded": 1, "categories": {"changed": 1, "skipped": 19}}
+    assert len(seen.read_text()) == 20
+
+
+def test_heads_are_those_of_records(spark):
+    lines = [None, "", "{bad", "[1]", "{}", '{"note_id": 5, "success": 1, "run_meta": 3}', '{"note_id": null, "source_content_hash": "é", "success": "", "run_meta": {"system_prompt_hash": "p", "definition_hash": ""}, "events": {"t": [{}]}}']
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "line_no int, value string")
+    kept = lambda recs: sorted(map(str, recs.select("line_no", *events.HEAD.names).collect()))
+    assert kept(events.heads(df)) == kept(events.records(df)) and events.heads(df).count() == 3
+
+
 def test_argument_rules():
     runner.check_arguments("x.jsonl", None)
     for bad in ({"jsonl": "x", "source": "y"}, {"jsonl": None, "source": None}, {"jsonl": "x", "source": None, "where": "1"}, {"jsonl": None, "source": "y", "delta": True, "full": True}, {"jsonl": "x", "source": None, "batch": "a-b"}):
