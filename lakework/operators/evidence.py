@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
@@ -78,7 +79,8 @@ def quote_spans(notes: DataFrame, quotes: DataFrame, id_column: str = "note_id",
 
     Offsets are code points of the text itself.  Repeated quotes count once.  A note with more than
     ``per_pass`` quotes is searched in several passes, each of a share of them, so no row
-    or automaton grows with a note's quotes; the passes' spans are merged by a window.
+    or automaton grows with a note's quotes; the spans of several passes, or of several notes
+    with one id, are merged by a window.
     Notes without quotes, null texts, ids and quotes have no spans.
     """
     from pyspark.sql.pandas.types import to_arrow_type
@@ -87,18 +89,27 @@ def quote_spans(notes: DataFrame, quotes: DataFrame, id_column: str = "note_id",
 
     @F.arrow_udf(SPANS)
     def located(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        out = []
-        for t, qs in zip(texts.to_pylist(), lists.to_pylist(), strict=True):
-            out.append([{"start": a, "end": b} for a, b in spans_of(t or "", qs or ())])
-        return pa.array(out, arrow)
+        ends, starts, stops = array("i", [0]), array("q"), array("q")
+        for t, qs in zip(texts, lists, strict=True):
+            for a, b in spans_of(t.as_py() or "", qs.as_py() or ()):
+                starts.append(a)
+                stops.append(b)
+            ends.append(len(starts))
+        spans = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], fields=list(arrow.value_type))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans, type=arrow)
 
     distinct = quotes.where(F.col(f"`{id_column}`").isNotNull() & (F.trim(F.col(f"`{quote}`")) != "")).select(F.col(f"`{id_column}`").alias("q_id"), F.col(f"`{quote}`").alias("q")).distinct()
     counts = distinct.groupBy(F.col("q_id").alias("c_id")).agg(F.ceil(F.count(F.lit(1)) / per_pass).alias("passes")).where("passes > 1")
+    again = notes.groupBy(F.col(f"`{id_column}`").alias("a_id")).agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("a_id")
     share = F.pmod(F.xxhash64("q"), F.coalesce("passes", F.lit(1)))
-    lists = distinct.join(counts, F.col("q_id") == F.col("c_id"), "left").groupBy("q_id", share.alias("pass")).agg(F.collect_list("q").alias("quotes"))
+    lists = distinct.join(counts, F.col("q_id") == F.col("c_id"), "left").groupBy("q_id", share.alias("pass"), F.col("passes").isNotNull().alias("shared")).agg(F.collect_list("q").alias("quotes"))
+    mixed = notes.schema[id_column].dataType != quotes.schema[id_column].dataType  # then ids that differ may meet
+    lists = lists.join(again, F.col("q_id") == F.col("a_id"), "left").select("q_id", "quotes", (F.lit(mixed) | F.col("shared") | F.col("a_id").isNotNull()).alias("several"))
     texts = notes.select(F.col(f"`{id_column}`").alias("n_id"), F.col(f"`{text}`").alias("t"))
-    spans = texts.join(lists, F.col("n_id") == F.col("q_id")).select("n_id", F.explode(located("t", "quotes")).alias("s")).select("n_id", "s.start", "s.end").distinct()
-    return merged_spans(spans, "n_id").select(F.col("n_id").alias(id_column), "start", "end")
+    found = lambda some: texts.join(lists.where(some), F.col("n_id") == F.col("q_id")).select("n_id", F.explode(located("t", "quotes")).alias("s")).select("n_id", "s.start", "s.end")
+    # an id's one search gives its spans as they are; only those of several are shuffled and sorted
+    spans = found(~F.col("several")).unionByName(merged_spans(found(F.col("several")).distinct(), "n_id"))
+    return spans.select(F.col("n_id").alias(id_column), "start", "end")
 
 
 def merged_spans(spans: DataFrame, key: str) -> DataFrame:

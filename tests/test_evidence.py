@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakework.operators import evidence
 
@@ -49,3 +50,18 @@ def test_spans_of_notes(spark, per_pass):
     want = [(i, *s) for i, t in notes if i is not None and t for s in by_patterns(t, [q for k, q in quotes if k == i and q])]
     assert got == sorted(want)
     assert evidence.quote_spans(a.limit(0), b).collect() == []
+
+
+def test_spans_of_one_search_are_not_sorted(spark):
+    """Only ids with several passes or texts reach a window; nothing is shuffled after the search of the others."""
+    notes = [(1, "a b a"), (2, "a b"), (2, "b  c a"), (2, "b a"), (3, "abc"), (4, "x")]
+    quotes = [(1, "a"), (1, "A  b"), (2, "a"), (2, "b"), (3, "a"), (3, "b"), (3, "c"), (5, "x")]
+    a, b = spark.createDataFrame(notes, "note_id int, note_text string"), spark.createDataFrame(quotes, "note_id int, quote string")
+    found = evidence.quote_spans(a, b, per_pass=2)
+    assert sorted(map(tuple, found.collect())) == [(1, 0, 3), (1, 4, 5), (2, 0, 1), (2, 2, 3), (2, 5, 6), (3, 0, 3)]
+    tree = found._jdf.queryExecution().optimizedPlan().toString().split("Union")[1]
+    once = tree[: tree.index("ArrowEvalPython")]
+    assert "Window" not in once and "Aggregate" not in once and "Window" in tree
+    # ids of another type: "1" and "01" are both 1
+    texts = b.select(F.concat(F.lit("0"), F.col("note_id").cast("string")).alias("note_id"), "quote").union(b.select(F.col("note_id").cast("string"), "quote"))
+    assert sorted(map(tuple, evidence.quote_spans(a, texts).collect())) == sorted(map(tuple, found.collect()))
