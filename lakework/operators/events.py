@@ -33,6 +33,12 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+def made(column: pa.Array, one: Callable[[str | None], object], kind: pa.DataType, step: int = 500) -> pa.Array:
+    """``one`` of each text of a batch as an Arrow array, a slice at a time: Python objects are those of ``step`` rows, not of the batch."""
+    starts = range(0, max(len(column), 1), step)
+    return pa.concat_arrays([pa.array([one(v) for v in column.slice(i, step).to_pylist()], kind) for i in starts])
+
+
 def _integer(value) -> int:
     try:
         return int(value or 0)
@@ -100,7 +106,7 @@ def _parsed(lines: DataFrame, value: str, one: Callable[[str | None], dict | Non
 
     @F.arrow_udf(kind)
     def parse(column: pa.Array) -> pa.Array:
-        return pa.array([[] if (r := one(v)) is None else [r] for v in column.to_pylist()], _arrow(kind))
+        return made(column, lambda v: [] if (r := one(v)) is None else [r], _arrow(kind))
 
     rest = [c for c in lines.columns if c != value]
     return lines.select(*rest, F.inline(parse(F.col(value))))
@@ -121,7 +127,7 @@ def wide(recs: DataFrame, batch: str, segment: int | Column | None = None, only_
 
     @F.arrow_udf(T.StringType())
     def sorted_json(column: pa.Array) -> pa.Array:
-        return pa.array([stable(json.loads(v), compact=False) for v in column.to_pylist()], pa.string())
+        return made(column, lambda v: stable(json.loads(v), compact=False), pa.string())
 
     segment = segment if isinstance(segment, Column) else F.lit(segment)
     out = recs.where("success") if only_successful else recs
@@ -162,7 +168,7 @@ def explode_events(recs: DataFrame, identity: Mapping[str, Sequence[str]] | None
 
     @F.arrow_udf(EVENT)
     def found(column: pa.Array) -> pa.Array:
-        return pa.array([events_of(v, identity) for v in column.to_pylist()], _arrow(EVENT))
+        return made(column, lambda v: events_of(v, identity), _arrow(EVENT))
 
     rest = [c for c in recs.columns if c not in ("events_json", "plans_json", "finish_json", "run_meta_json")]
     return recs.select(*rest, F.explode(found("events_json")).alias("_e")).select(*rest, "_e.*")
@@ -210,7 +216,7 @@ def event_table(recs: DataFrame, names: Iterable[str] | None = None) -> DataFram
 
     @F.arrow_udf(kind)
     def leaves(column: pa.Array) -> pa.Array:
-        return pa.array([[{"tool_name": k, "_map": list(flatten(event).items())} for k, _, _, event in members_of(v)] for v in column.to_pylist()], _arrow(kind))
+        return made(column, lambda v: [{"tool_name": k, "_map": list(flatten(event).items())} for k, _, _, event in members_of(v)], _arrow(kind))
 
     rows = recs.select("note_id", "mrn", "gate_result", F.inline(leaves("events_json")))
     return widen(rows, "_map", ["note_id", "tool_name", "mrn", "gate_result"], names)

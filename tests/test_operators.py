@@ -1,6 +1,8 @@
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +150,32 @@ def test_package_events_are_made_once(spark):
         review.package_events(spark.createDataFrame([(json.dumps(package),)], "json string")).collect()
 
 
+def test_a_batch_is_made_in_slices():
+    """The Python objects of a batch of records are those of a slice, with the same array as a result."""
+    lines = pa.array([None if i % 9 == 0 else json.dumps({"note_id": str(i), "events": {"t": [{"v": i, "w": "x" * 50}] * 3}}) for i in range(10_001)])
+    kind = events._arrow(events.EVENT)
+    one = lambda v: events.events_of((events.parse_record(v) or {}).get("events_json"), {})
+    peaks, found = [], []
+    for step in (20_000, 500):
+        tracemalloc.start()
+        found.append(events.made(lines, one, kind, step))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert found[0].equals(found[1]) and found[1].null_count == 0 and peaks[1] < peaks[0] / 5
+    for n in (0, 1, 500, 501, 1000):
+        assert events.made(lines.slice(3, n), one, kind).equals(pa.array([one(v) for v in lines.slice(3, n).to_pylist()], kind))
+
+
+def test_records_reach_spark_in_slices(spark, monkeypatch):
+    """Parser, events and leaves of a batch all go by slices."""
+    sizes, whole = [], pa.array
+    recs = events.records(lines_of(spark, *(record(f"n{i}", {"t": [{"v": i}]}) for i in range(1_201))).coalesce(1))
+    assert recs.count() == 1_201 and events.explode_events(recs).count() == 1_201 and events.event_table(recs).select("v").distinct().count() == 1_201
+    monkeypatch.setattr(events.pa, "array", lambda values, kind=None: (sizes.append(len(values)), whole(values, kind))[1])
+    events.made(whole(["{}"] * 1_201), events.parse_head, events._arrow(events.HEAD))
+    assert sizes == [500, 500, 201]
+
+
 def test_wide_rows(spark):
     recs = events.records(lines_of(spark, record("a", {"t": [{"b": 1, "a": "é"}]}), record("b", success=False)))
     out = events.wide(recs, "batch", 3).collect()
